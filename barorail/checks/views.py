@@ -11,10 +11,11 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..plans import gtfs, harmonize, lines, realtime, stations
 from ..schemas import COUNTRIES, STOPS
-from ..session import tune
+from ..session import scratch_dir, tune
 
 NOW = 1705363200  # 2024-01-16 00:00 UTC, inside the period of the events
 AS_OF = datetime.date(2024, 1, 31)
@@ -48,13 +49,23 @@ def position_text(name: Column, key: Column) -> Column:
     return _text(lat, ".", milli, ", ", lon, ".", milli)
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class Views:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune(spark)
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            path = f"{self.sf_dir}/{name}.parquet"
+            # Looking up a schema is a job of its own; once per path is enough.
+            if path not in _SCHEMAS:
+                _SCHEMAS[path] = self.spark.read.parquet(path).schema
+            self._tables[name] = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        return self._tables[name]
 
     # Monthly sources
 
@@ -182,10 +193,14 @@ class Views:
             _coordinate(key, 37, 170, 85).cast("double").alias("latitude"),
         )
 
+    @cached_property
+    def fr_slice(self) -> DataFrame:
+        return stations.stations_fr(self.gares)
+
     @cached_property
     def slices(self) -> list[DataFrame]:
         return [
-            stations.stations_fr(self.gares),
+            self.fr_slice,
             stations.stations_ch(self.ch_stops),
             *[stations.stations_gtfs(self.gtfs_stops(c), c) for c in ("NL", "IT", "PL", "DE", "SE")],
             stations.stations_fi(self.fi_stations),
@@ -197,7 +212,7 @@ class Views:
 
     @cached_property
     def fr_stations(self) -> DataFrame:
-        return stations.stations_all(self.slices[:1])
+        return stations.stations_all([self.fr_slice])
 
     @cached_property
     def lookup(self) -> DataFrame:
@@ -511,3 +526,10 @@ class Views:
             F.lit(NOW),
             max_age_s=3600,
         )
+
+    @cached_property
+    def live_table(self) -> DataFrame:
+        """The live trains written once, for queries that read them several times."""
+        path = scratch_dir(self.spark, "live")
+        self.live.write.parquet(path)
+        return self.spark.read.parquet(path)

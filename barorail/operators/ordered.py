@@ -23,15 +23,16 @@ def running_counts(counts: DataFrame, keys: list[str], value: str, n: str = "n")
     if not keys:
         counts = counts.withColumn("_all", F.lit(1))
     by_hash = Window.partitionBy(*group).orderBy(F.xxhash64(value), F.col(value))
+    # The counts ride along in the sample so that its input is the very exchange that feeds the
+    # ranges: the planner then computes the counts once and reuses them.
     splitters = (
-        counts.select(*group, value)
-        .withColumn("_rn", F.row_number().over(by_hash))
+        counts.withColumn("_rn", F.row_number().over(by_hash))
         .filter(F.col("_rn") <= RANGES_PER_GROUP)
         .groupBy(*group)
-        .agg(F.collect_list(value).alias("_cuts"))
+        .agg(F.collect_list(F.struct(value, n)).alias("_cuts"))
     )
     ranged = counts.join(splitters, group).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda cut: cut < F.col(value)))
+        "_range", F.size(F.filter("_cuts", lambda cut: cut[value] < F.col(value)))
     ).drop("_cuts")
     earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -61,23 +62,30 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
 
 
-def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float, name: str) -> DataFrame:
-    """One row per group: the ``q`` quantile, interpolated linearly between neighbours."""
+def quantile_summary(df: DataFrame, keys: list[str], value: str, q: float) -> DataFrame:
+    """Per group ``total, lowest, highest`` and ``quantile``, interpolated between neighbours."""
     ranked = running_counts(value_counts(df, keys, value), keys, value)
     position = F.lit(float(q)) * (F.col("total") - 1)
     low, high = F.floor(position), F.ceil(position)
     upto = F.col("before") + F.col("n")
 
-    def holds(index):
-        return (F.col("before") <= index) & (upto > index)
+    def at(index):
+        return F.max(F.when((F.col("before") <= index) & (upto > index), F.col(value)))
 
-    ends = ranked.filter(holds(low) | holds(high)).groupBy(*keys).agg(
-        F.max(F.when(holds(low), F.col(value))).alias("_low"),
-        F.max(F.when(holds(high), F.col(value))).alias("_high"),
+    ends = ranked.groupBy(*keys).agg(
+        F.max("total").alias("total"),
+        F.min(value).alias("lowest"),
+        F.max(value).alias("highest"),
+        at(low).alias("_low"),
+        at(high).alias("_high"),
         F.max(position - low).alias("_part"),
     )
     return ends.select(
-        *keys, (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")).alias(name)
+        *keys,
+        "total",
+        "lowest",
+        "highest",
+        (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")).alias("quantile"),
     )
 
 

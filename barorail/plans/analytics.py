@@ -9,7 +9,7 @@ from ..functions.numeric import exact_mean, mean_from, round_to, scaled_sum
 from ..functions.text import label_search
 from ..functions.times import year_of
 from ..operators.keyed import ranked_ends
-from ..operators.ordered import exact_quantile
+from ..operators.ordered import quantile_summary
 from ..schemas import LINE_TYPES
 
 MIN_MONTHS = 12
@@ -132,20 +132,14 @@ def _standard_fares(fares: DataFrame) -> DataFrame:
 def price_per_km(fares: DataFrame) -> DataFrame:
     """Median, lowest and highest price per kilometre by line type."""
     chosen = _standard_fares(fares).select("type_ligne", "prix_moyen_km")
-    bounds = chosen.groupBy("type_ligne").agg(
-        F.count("*").alias("nb_tarifs"),
-        round_to(F.min("prix_moyen_km"), 3).alias("prix_km_min"),
-        round_to(F.max("prix_moyen_km"), 3).alias("prix_km_max"),
-    )
-    median = exact_quantile(chosen, ["type_ligne"], "prix_moyen_km", 0.5, "_median")
     return (
-        bounds.join(median, "type_ligne")
+        quantile_summary(chosen, ["type_ligne"], "prix_moyen_km", 0.5)
         .select(
             "type_ligne",
-            "nb_tarifs",
-            round_to(F.col("_median"), 3).alias("prix_km_median"),
-            "prix_km_min",
-            "prix_km_max",
+            F.col("total").alias("nb_tarifs"),
+            round_to(F.col("quantile"), 3).alias("prix_km_median"),
+            round_to(F.col("lowest"), 3).alias("prix_km_min"),
+            round_to(F.col("highest"), 3).alias("prix_km_max"),
         )
         .orderBy("type_ligne")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import safe_double
-from ..operators.ordered import exact_quantile
+from ..operators.ordered import running_counts, value_counts
 
 OUTLIER_QUANTILE = 0.99
 
@@ -71,23 +71,27 @@ def outlier_count(
 ) -> DataFrame:
     """Values above the ``q`` quantile: exact by default, approximate when ``accuracy`` is given.
 
-    Values are counted once each first, and those counts serve both the threshold and the sum.
+    Equal values are counted first. The exact form needs no threshold row: a value lies above the
+    quantile when the rank of the quantile is below the rank of its first occurrence.
     """
     values = df.select(safe_double(F.col(f"`{column}`").cast("string")).alias("_v")).filter(
         F.col("_v").isNotNull()
     )
     if accuracy is None:
-        limit = exact_quantile(values, [], "_v", q, "_limit")
+        ranked = running_counts(value_counts(values, [], "_v"), [], "_v")
+        above = ranked.agg(
+            F.coalesce(
+                F.sum(F.when(F.col("before") > F.lit(float(q)) * (F.col("total") - 1), F.col("n"))), F.lit(0)
+            ).alias("_out")
+        )
     else:
-        limit = values.agg(F.percentile_approx("_v", q, accuracy).alias("_limit"))
-    # The threshold is a single row; the equi-join on a constant keeps it out of the driver.
-    above = (
-        values.groupBy("_v")
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_k", F.lit(1))
-        .join(F.broadcast(limit.withColumn("_k", F.lit(1))), "_k")
-        .agg(F.coalesce(F.sum(F.when(F.col("_v") > F.col("_limit"), F.col("_n"))), F.lit(0)).alias("_out"))
-    )
+        limit = values.agg(F.percentile_approx("_v", q, accuracy).alias("_limit"), F.lit(1).alias("_k"))
+        # The threshold is one row.
+        above = (
+            values.withColumn("_k", F.lit(1))
+            .join(F.broadcast(limit), "_k")
+            .agg(F.count_if(F.col("_v") > F.col("_limit")).alias("_out"))
+        )
     return _metrics(above, {"_out": column}, "aberrants_p99", source)
 
 
