@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import facts, live  # noqa: F401  (importing them registers the queries)
+from . import facts, live, streams  # noqa: F401  (importing them registers the queries)
 from .registry import QUERIES, SQL, runner
 
 

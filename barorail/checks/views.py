@@ -325,6 +325,25 @@ class Views:
     def fares(self) -> DataFrame:
         return lines.fares(self.tgv_fares, self.ic_fares, self.lines, AS_OF)
 
+    # Written gold tables, for queries that read a table more than once
+
+    def written(self, name: str, df: DataFrame) -> DataFrame:
+        path = scratch_dir(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    @cached_property
+    def fact_table(self) -> DataFrame:
+        return self.written("fact", self.fact)
+
+    @cached_property
+    def lines_table(self) -> DataFrame:
+        return self.written("liaisons", lines.liaisons(self.fact_table, self.fr_stations))
+
+    @cached_property
+    def fares_table(self) -> DataFrame:
+        return self.written("fares", lines.fares(self.tgv_fares, self.ic_fares, self.lines_table, AS_OF))
+
     # Live data
 
     @cached_property
@@ -529,7 +548,4 @@ class Views:
 
     @cached_property
     def live_table(self) -> DataFrame:
-        """The live trains written once, for queries that read them several times."""
-        path = scratch_dir(self.spark, "live")
-        self.live.write.parquet(path)
-        return self.spark.read.parquet(path)
+        return self.written("live", self.live)

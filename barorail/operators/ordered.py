@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES_PER_GROUP = 256
+# Splitters per group; a value is placed by strides first and then inside its stride.
+STRIDE = 16
+RANGES_PER_GROUP = STRIDE * STRIDE
 
 
 def running_counts(counts: DataFrame, keys: list[str], value: str, n: str = "n") -> DataFrame:
@@ -29,11 +31,27 @@ def running_counts(counts: DataFrame, keys: list[str], value: str, n: str = "n")
         counts.withColumn("_rn", F.row_number().over(by_hash))
         .filter(F.col("_rn") <= RANGES_PER_GROUP)
         .groupBy(*group)
-        .agg(F.collect_list(F.struct(value, n)).alias("_cuts"))
+        .agg(F.sort_array(F.collect_list(F.struct(value, n))).alias("_cuts"))
+        .select(*group, F.transform("_cuts", lambda cut: cut[value]).alias("_cuts"))
+        .select(
+            *group,
+            F.filter("_cuts", lambda _, i: (i + 1) % STRIDE == 0).alias("_strides"),
+            F.transform(
+                F.array(*[F.lit(i) for i in range(STRIDE + 1)]),
+                lambda i: F.slice("_cuts", i * STRIDE + 1, STRIDE),
+            ).alias("_inside"),
+        )
+    )
+
+    def below(cuts):
+        return F.size(F.filter(cuts, lambda cut: cut < F.col(value)))
+
+    ranged = (
+        counts.join(splitters, group)
+        .withColumn("_stride", below("_strides"))
+        .withColumn("_range", F.col("_stride") * STRIDE + below(F.get("_inside", F.col("_stride"))))
+        .drop("_strides", "_inside", "_stride")
     )
-    ranged = counts.join(splitters, group).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda cut: cut[value] < F.col(value)))
-    ).drop("_cuts")
     earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy(*group, "_range")

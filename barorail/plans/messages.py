@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.times import iso_epoch, minutes_to_seconds, scheduled_epoch
 from ..functions.ids import dated_trip_id
-from ..operators.keyed import latest_per_key, spread_nulls
+from ..operators.keyed import latest_per_key
 from ..schemas import STOPS
 
 SEQUENCE_TZ = "Europe/Warsaw"
@@ -101,15 +101,12 @@ def resolved_stops(
         F.col("_u.departure.time"),
         delay("departure", "departure_seconds"),
     )
-    # Null-safe message key: a struct groups equal NULLs together.
-    grouped = met.groupBy(F.struct(*key).alias("_key")).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_pos"), stop.alias("stop")))).alias("_stops"),
-        *[F.first(c).alias(c) for c in carried if c not in key],
+    # All columns but the stops are the same within a message, so they can all be the group.
+    grouped = met.groupBy(*key, *carried).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("_pos"), stop.alias("stop")))).alias("_stops")
     )
     return grouped.select(
-        *[F.col(f"_key.{c}").alias(c) for c in key],
-        *[c for c in carried if c not in key],
-        F.transform("_stops", lambda s: s["stop"]).cast(STOPS).alias("stops"),
+        *key, *carried, F.transform("_stops", lambda s: s["stop"]).cast(STOPS).alias("stops")
     )
 
 
@@ -213,17 +210,3 @@ def with_default_country(messages: DataFrame) -> DataFrame:
     if "pays" not in messages.columns:
         return messages.withColumn("pays", F.lit("FR"))
     return messages.withColumn("pays", F.coalesce("pays", F.lit("FR")))
-
-
-__all__ = [
-    "allow",
-    "as_messages",
-    "feed_entities",
-    "finnish_messages",
-    "last_map_entries",
-    "published_stops",
-    "resolved_stops",
-    "spread_nulls",
-    "trip_messages",
-    "with_default_country",
-]
