@@ -66,8 +66,8 @@ def rank_test_p(rho: float | None, n: int) -> float | None:
 
 
 # Both run on a single result row.
-_f_test_p = F.udf(f_test_p, T.DoubleType())
-_rank_test_p = F.udf(rank_test_p, T.DoubleType())
+_f_test_p = F.udf(lambda f, between, within: f_test_p(f, between, within), T.DoubleType())
+_rank_test_p = F.udf(lambda rho, n: rank_test_p(rho, n), T.DoubleType())
 
 
 def sums_of_squares(df: DataFrame, group: str, value: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -45,12 +46,18 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, the storage every executor can reach.
+    """A path for a fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a session without that setting (a local test) gets a temporary folder instead.
+    Only a local session without that setting, as in tests, gets a temporary folder instead.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="barorail-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
+        root = _local_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="barorail-")

@@ -99,7 +99,7 @@ def read_feeds(spark: SparkSession, path: str, stream: bool = False) -> DataFram
 def read_messages(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     """Trip messages, one per line, with their arrival order.
 
-    ``arrivee`` orders by file time, file, split and line, which is the order they were published.
+    ``arrivee`` orders by file time, file and split; lines of one split keep their own order.
     """
     reader = spark.readStream if stream else spark.read
     return reader.schema(S.TRIP_MESSAGE).json(path).withColumn("arrivee", arrival_order())
@@ -110,7 +110,6 @@ def arrival_order():
         F.col("_metadata.file_modification_time").alias("file_time"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("line"),
     )
 
 

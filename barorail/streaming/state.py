@@ -22,8 +22,12 @@ POLL_SECONDS = 120
 
 
 def batch_changes(messages: DataFrame, keys: list[str], updated_at: Column) -> DataFrame:
-    """The last message to arrive for each key, stamped with the time of writing."""
-    last = latest_per_key(with_default_country(messages), keys, F.col("arrivee")).drop("arrivee")
+    """The last message to arrive for each key, stamped with the time of writing.
+
+    Messages are in order of ``arrivee``, and of their rows where that is equal.
+    """
+    numbered = with_default_country(messages).withColumn("_row_no", F.monotonically_increasing_id())
+    last = latest_per_key(numbered, keys, F.struct("arrivee", "_row_no"))
     return last.select(
         "trip_id",
         "route_id",
