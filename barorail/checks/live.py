@@ -342,7 +342,7 @@ add(
 
 def _p95(v) -> DataFrame:
     out = accesslog.latency_quantiles(v.log, 0.95, "1 day", "12 hours")
-    return _start(out).select("debut", "path", F.round("latence_s", 6).alias("latence_s"))
+    return _start(out).select("debut", "path", "latence_s")
 
 
 def _quantile_sql() -> str:
@@ -350,11 +350,11 @@ def _quantile_sql() -> str:
     cumulative = ", ".join(f"COUNT(*) FILTER (WHERE duration_s <= {b}) AS le{i}" for i, b in enumerate(bounds))
     cases = " ".join(
         f"WHEN le{i} >= 0.95e0 * n THEN {bounds[i - 1] if i else 0}e0 + ({b}e0 - {bounds[i - 1] if i else 0}e0) * "
-        f"(0.95e0 * n - {f'le{i - 1}' if i else 0}) / NULLIF(le{i} - {f'le{i - 1}' if i else 0}, 0)"
+        f"((0.95e0 * n - {f'le{i - 1}' if i else 0}) / NULLIF(le{i} - {f'le{i - 1}' if i else 0}, 0))"
         for i, b in enumerate(bounds)
     )
     half = "CAST(epoch(ts) AS BIGINT) // 43200 * 43200"
-    return f"""SELECT debut, path, ROUND(CASE {cases} ELSE {bounds[-1]}e0 END, 6) AS latence_s FROM (
+    return f"""SELECT debut, path, CASE {cases} ELSE {bounds[-1]}e0 END AS latence_s FROM (
         SELECT debut, path, COUNT(*) AS n, {cumulative} FROM (
           SELECT CAST(floor(epoch(ts)) AS BIGINT) // 43200 * 43200 - o AS debut, template AS path, duration_s
           FROM log, (VALUES (0), (43200)) d(o)) GROUP BY ALL)"""
@@ -466,7 +466,7 @@ add(
 
 def _column_tests(v) -> DataFrame:
     return quality.column_tests(
-        v.dim_stations, gtfs.stop_uic(v.ch_stops), gtfs.shape_points(v.shapes), v.fact, COUNTRIES, LINE_TYPES
+        v.dim_stations, gtfs.stop_uic(v.ch_stops), gtfs.shape_points(v.shapes), v.fact_table, COUNTRIES, LINE_TYPES
     )
 
 

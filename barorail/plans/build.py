@@ -57,8 +57,8 @@ def build(
     def source(name: str) -> DataFrame:
         return read_source(spark, raw_dir, name)
 
-    def store(name: str, df: DataFrame) -> DataFrame:
-        replace_table(df, f"{out}/{name}")
+    def store(name: str, df: DataFrame, *cluster_by: str) -> DataFrame:
+        replace_table(df, f"{out}/{name}", cluster_by)
         tables[name] = spark.read.parquet(f"{out}/{name}")
         return tables[name]
 
@@ -67,8 +67,8 @@ def build(
     )
     if env.sample_axes is not None:
         fact = harmonize.dev_sample(fact, env.sample_axes, env.sample_months)
-    fact = store("fact_regularite", fact)
-    dim = store("dim_stations_multipays", stations.stations_all(station_slices(spark, raw_dir)))
+    fact = store("fact_regularite", fact, "type_ligne", "axe_label", "mois")
+    dim = store("dim_stations_multipays", stations.stations_all(station_slices(spark, raw_dir)), "id_gare")
 
     store("dim_stop_uic_ch", gtfs.stop_uic(source("ch_stops")))
     store("dim_rail_routes_ch", gtfs.rail_routes(source("ch_routes")))
@@ -76,14 +76,16 @@ def build(
     store("dim_route_operator_ch", gtfs.route_operators(source("ch_routes"), source("ch_agency")))
     store("dim_route_label_it", gtfs.route_labels(source("it_routes")))
     trips, routes = source("nl_trips"), source("nl_routes")
-    shapes_of_trips = store("dim_trip_shape_nl", gtfs.trip_shapes(trips, routes))
-    store("dim_trip_label_nl", gtfs.trip_labels(trips, routes))
+    shapes_of_trips = store("dim_trip_shape_nl", gtfs.trip_shapes(trips, routes), "trip_id", "shape_id")
+    store("dim_trip_label_nl", gtfs.trip_labels(trips, routes), "trip_id", "label")
     store("dim_route_operator_nl", gtfs.route_operators(routes, source("nl_agency"), rail_only=True))
-    store("dim_shapes_nl", gtfs.shape_points(source("nl_shapes")))
+    store("dim_shapes_nl", gtfs.shape_points(source("nl_shapes")), "shape_id", "shape_pt_sequence")
     store("dim_shape_lists_nl", gtfs.shape_polylines(source("nl_shapes"), shapes_of_trips))
     store("dim_rail_trips_de", gtfs.rail_trips(source("de_trips"), source("de_routes"), extended=False))
     store("dim_rail_trips_se", gtfs.rail_trips(source("se_trips"), source("se_routes"), extended=True))
-    store("dim_stop_sequence_pl", gtfs.stop_sequence_map(source("pl_stop_times")))
+    store(
+        "dim_stop_sequence_pl", gtfs.stop_sequence_map(source("pl_stop_times")), "trip_id", "stop_sequence"
+    )
 
     dim_lines = store("dim_liaisons", lines.liaisons(fact, dim))
     store(

@@ -128,7 +128,7 @@ def allow(df: DataFrame, allowlist: DataFrame | None, column: str) -> DataFrame:
     """Keep listed ids; without a list the feed is already limited to trains."""
     if allowlist is None:
         return df
-    return df.join(allowlist.select(column).distinct(), column, "left_semi")
+    return df.join(allowlist.select(column), column, "left_semi")
 
 
 def trip_messages(
@@ -150,11 +150,9 @@ def trip_messages(
     return as_messages(with_stops, country, captured_at)
 
 
-def _last(rows: Column, kind: str, field: Column) -> Column:
+def _last(rows: Column, kind: str, field: str) -> Column:
     """``field`` of the last row of that event type; the later event replaces the earlier one."""
-    return F.try_element_at(
-        F.filter(rows, lambda r: r["type"] == kind), F.lit(-1)
-    )[field]
+    return F.try_element_at(F.filter(rows, lambda r: r["type"] == kind), F.lit(-1))[field]
 
 
 def finnish_messages(trains: DataFrame, captured_at: Column | None = None) -> DataFrame:
@@ -178,16 +176,19 @@ def finnish_messages(trains: DataFrame, captured_at: Column | None = None) -> Da
         ),
     )
 
-    def stop(station: Column) -> Column:
-        rows = F.filter("_events", lambda r: r["station"] == station)
+    def rows_at(station: Column) -> Column:
+        return F.filter("_events", lambda r: r["station"] == station)
+
+    def stop(rows: Column) -> Column:
         return _stop(
-            station,
+            F.get(rows, F.lit(0))["station"],
             _last(rows, "ARRIVAL", "at"),
             _last(rows, "ARRIVAL", "delay"),
             _last(rows, "DEPARTURE", "at"),
             _last(rows, "DEPARTURE", "delay"),
         )
 
+    stations = F.array_distinct(F.transform("_events", lambda r: r["station"]))
     clock = F.unix_timestamp(F.current_timestamp()) if captured_at is None else captured_at
     return (
         trains.withColumn("_events", events)
@@ -196,9 +197,7 @@ def finnish_messages(trains: DataFrame, captured_at: Column | None = None) -> Da
             dated_trip_id(F.col("trainNumber"), F.col("departureDate")).alias("trip_id"),
             F.lit(None).cast("string").alias("route_id"),
             F.lit("FI").alias("pays"),
-            F.transform(
-                F.array_distinct(F.transform("_events", lambda r: r["station"])), stop
-            ).alias("stops"),
+            F.transform(F.transform(stations, rows_at), stop).alias("stops"),
             clock.alias("feed_timestamp"),
             clock.alias("captured_at"),
         )

@@ -135,6 +135,17 @@ def accepted_values_violations(df: DataFrame, column: str, values: Iterable[str]
     )
 
 
+def not_null_counts(df: DataFrame, table: str, columns: Iterable[str]) -> DataFrame:
+    """``test, violations`` of the not-null tests of one table, in one pass."""
+    columns = list(columns)
+    entries = [
+        F.struct(F.lit(f"not_null_{table}_{c}").alias("test"), F.col(f"_{c}").alias("violations")) for c in columns
+    ]
+    return df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_{c}") for c in columns]).select(
+        F.inline(F.array(*entries))
+    )
+
+
 def column_tests(
     stations: DataFrame,
     stop_map: DataFrame,
@@ -149,21 +160,12 @@ def column_tests(
         return df.agg(F.count("*").alias("violations")).select(F.lit(name).alias("test"), "violations")
 
     checks = [
+        not_null_counts(stations, "dim_stations", ["id_gare", "station_id", "pays"]),
+        not_null_counts(stop_map, "dim_stop_uic", ["stop_id"]),
+        not_null_counts(shapes, "dim_shapes", ["shape_id"]),
+        not_null_counts(fact, "fact", ["mois", "type_ligne"]),
         rows("unique_dim_stations_id_gare", unique_violations(stations, "id_gare")),
-        rows("not_null_dim_stop_uic_stop_id", not_null_violations(stop_map, "stop_id")),
-        rows("not_null_dim_shapes_shape_id", not_null_violations(shapes, "shape_id")),
-        rows(
-            "accepted_dim_stations_pays", accepted_values_violations(stations, "pays", countries)
-        ),
-        rows(
-            "accepted_fact_type_ligne", accepted_values_violations(fact, "type_ligne", line_types)
-        ),
-    ]
-    checks += [
-        rows(f"not_null_dim_stations_{c}", not_null_violations(stations, c))
-        for c in ("id_gare", "station_id", "pays")
-    ]
-    checks += [
-        rows(f"not_null_fact_{c}", not_null_violations(fact, c)) for c in ("mois", "type_ligne")
+        rows("accepted_dim_stations_pays", accepted_values_violations(stations, "pays", countries)),
+        rows("accepted_fact_type_ligne", accepted_values_violations(fact, "type_ligne", line_types)),
     ]
     return reduce(DataFrame.unionByName, checks)

@@ -70,26 +70,28 @@ def interpolate(
     """
     u = F.col("_usable")
 
-    def standing(s: Column, i: Column) -> Column:
+    def standing(n: Column) -> Column:
+        s = n["s"]
         here = (s["arrival_time"] <= now) & (now < s["departure_time"])
         delay = _delay(s["departure_delay"], s["arrival_delay"], zero_is_value)
-        return F.when(here, _position("a_quai", s, s, F.lit(0.0), delay, i))
+        return F.when(here, _position("a_quai", s, s, F.lit(0.0), delay, n["i"]))
 
-    def moving(s: Column, i: Column) -> Column:
-        nxt = F.get(u, i + 1)
-        leaves, reaches = _leaving(s), _reaching(nxt)
+    def moving(n: Column, m: Column) -> Column:
+        here, nxt = n["s"], m["s"]
+        leaves, reaches = _leaving(here), _reaching(nxt)
         share = F.when(reaches <= leaves, F.lit(0.0)).otherwise(
             F.try_divide((now - leaves).cast("double"), (reaches - leaves).cast("double"))
         )
         delay = _delay(nxt["arrival_delay"], nxt["departure_delay"], zero_is_value)
         return F.when(
-            (leaves <= now) & (now <= reaches), _position("en_route", s, nxt, F.bround(share, 3), delay, i)
+            (leaves <= now) & (now <= reaches),
+            _position("en_route", here, nxt, F.bround(share, 3), delay, n["i"]),
         )
 
     def first_of(candidates: Column) -> Column:
-        return F.get(F.filter(candidates, lambda p: p.isNotNull()), F.lit(0))
+        return F.get(F.array_compact(candidates), F.lit(0))
 
-    first = F.get(u, F.lit(0))
+    first = F.get(u, F.lit(0))["s"]
     waiting = F.when(
         now < _leaving(first),
         _position(
@@ -101,15 +103,20 @@ def interpolate(
             F.lit(0),
         ),
     )
+    # Neighbours are paired by zipping, not by looking the next stop up inside a lambda: that would
+    # walk the list once per stop.
+    segments = F.zip_with(u, F.slice(u, F.lit(2), F.size(u)), moving)
     position = F.coalesce(
         first_of(F.transform(u, standing)),
-        F.when(F.size(u) >= 2, F.coalesce(first_of(F.transform(u, moving)), waiting)),
+        F.when(F.size(u) >= 2, F.coalesce(first_of(segments), waiting)),
     )
-    return (
-        trips.withColumn("_usable", usable_stops(F.col(stops)))
-        .withColumn("_position", position)
-        .filter(F.col("_position").isNotNull())
-        .select(*trips.columns, "_position.*")
+    numbered = F.transform(
+        usable_stops(F.col(stops)), lambda s, i: F.struct(s.alias("s"), i.alias("i"))
+    )
+    # Rows without a position go by inlining an empty array. A filter would be pushed below the
+    # projection and work the position out a second time.
+    return trips.withColumn("_usable", numbered).select(
+        *trips.columns, F.inline(F.array_compact(F.array(position)))
     )
 
 

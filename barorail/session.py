@@ -21,8 +21,9 @@ _DEFAULTS = {
 
 def tune(spark: SparkSession) -> SparkSession:
     """Turn on the adaptive settings the operators count on and pin the time zone to UTC."""
+    explicit = spark.sparkContext.getConf()
     for key, value in _DEFAULTS.items():
-        if spark.conf.get(key, None) != value:
+        if not explicit.contains(key):
             spark.conf.set(key, value)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark

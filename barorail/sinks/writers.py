@@ -11,7 +11,14 @@ from ..sources.readers import read_source
 from ..sources.registry import SOURCES
 
 
-def replace_table(df: DataFrame, path: str) -> None:
+def replace_table(df: DataFrame, path: str, cluster_by: tuple[str, ...] = ()) -> None:
+    """Replace a table in full.
+
+    ``cluster_by`` orders it by columns that tell nearly every row apart, so that a lookup reads
+    few files and no range of one hot value lands in a single task.
+    """
+    if cluster_by:
+        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     df.write.mode("overwrite").parquet(path)
 
 

@@ -92,9 +92,17 @@ def _latest(versions: DataFrame, keys: list[str]) -> DataFrame:
     return latest_per_key(versions, keys, F.col("batch_id"))
 
 
-def current_state(spark: SparkSession, path: str, keys: list[str] | None = None) -> DataFrame:
-    """The latest row per key."""
+def current_state(
+    spark: SparkSession, path: str, keys: list[str] | None = None, updated_after: Column | None = None
+) -> DataFrame:
+    """The latest row per key, optionally only of keys updated after a time.
+
+    Later batches are written at later times, so the older rows can go before the aggregate; the
+    files of old batches are then skipped by their time range.
+    """
     versions = _versions(spark, path, _last_snapshot(spark, path))
+    if updated_after is not None:
+        versions = versions.filter(F.col("updated_at") > updated_after)
     return _latest(versions, keys or ["trip_id"]).drop("batch_id")
 
 

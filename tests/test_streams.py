@@ -70,6 +70,17 @@ def test_compaction_keeps_the_state(spark, tmp_path):
     assert {r.batch_id for r in plan.select("batch_id").distinct().collect()} == {0, 1, 2}
 
 
+def test_old_keys_can_be_left_out(spark, tmp_path):
+    out = tmp_path / "state"
+    for batch_id, rows in enumerate([[_message("t1", 1), _message("t2", 1)], [_message("t1", 2)]]):
+        folder = tmp_path / f"in{batch_id}"
+        _drop(folder, "a.json", rows, 1000)
+        write = state._write_batch(str(out), ["trip_id"], lambda b=batch_id: F.timestamp_seconds(F.lit(100 * b)))
+        write(readers.read_messages(spark, str(folder)), batch_id)
+    assert _trips(spark, out, updated_after=F.timestamp_seconds(F.lit(50))) == {"t1": ("FR", 2)}
+    assert len(_trips(spark, out)) == 2
+
+
 def test_countries_may_be_part_of_the_key(spark, tmp_path):
     feed, out = tmp_path / "in", tmp_path / "state"
     _drop(feed, "a.json", [_message("1", 1, "FI"), _message("1", 2, "DE")], 1000)
