@@ -298,7 +298,16 @@ add(
     lambda v: _rounded_f(stats.anova_statistic(v.fact, "month")),
     _F % _SS.format(src=_MONTHS),
 )
-add("sx1_anova_test", lambda v: stats.anova(v.fact))
+# Between three groups the upper tail of F has a closed form.
+add(
+    "sx1_anova_test",
+    lambda v: stats.anova(v.fact).select(
+        "nb_groupes", "n", F.round("f_stat", 4).alias("f_stat"), F.round("p_value", 9).alias("p_value"), "significatif"
+    ),
+    f"""SELECT nb_groupes, n, ROUND(f, 4) AS f_stat, ROUND(p, 9) AS p_value, p < 0.05 AS significatif FROM (
+        SELECT *, power((n - 3) / (n - 3 + 2 * f), (n - 3) / 2e0) AS p FROM (
+          SELECT *, (inter / (nb_groupes - 1)) / (intra / (n - nb_groupes)) AS f FROM ({_SS.format(src='axis_values')})))""",
+)
 add(
     "sx2_sums_of_squares",
     lambda v: stats.sums_of_squares(stats.axis_values(v.fact), "type_ligne", "valeur").select(

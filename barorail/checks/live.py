@@ -9,7 +9,7 @@ from ..functions import ids, labels
 from ..plans import accesslog, gtfs, messages, quality, realtime
 from ..schemas import COUNTRIES, LINE_TYPES
 from .registry import add
-from .sql import station_key
+from .sql import CTES, station_key
 from .views import NOW
 
 # Timetables
@@ -209,7 +209,12 @@ def _with_dwell(v) -> DataFrame:
     return placed.groupBy("pays", "statut").agg(F.count("*").alias("n"))
 
 
-add("rt6_positions_with_dwell", _with_dwell)
+_ANYWHERE = CTES["placed"].replace(" WHERE cle_prev <> cle_next", "")
+add(
+    "rt6_positions_with_dwell",
+    _with_dwell,
+    f"SELECT pays, statut, COUNT(*) AS n FROM ({_ANYWHERE}) GROUP BY pays, statut",
+)
 add(
     "rt10_disruption_causes",
     lambda v: realtime.disruption_causes(v.disruptions, ["event_id"]),
@@ -345,7 +350,7 @@ def _p95(v) -> DataFrame:
     return _start(out).select("debut", "path", "latence_s")
 
 
-def _quantile_sql() -> str:
+def quantile_sql(slots: str = "(0), (43200)", slide: int = 43200, keep: str = "true") -> str:
     bounds = accesslog.LATENCY_BOUNDS
     cumulative = ", ".join(f"COUNT(*) FILTER (WHERE duration_s <= {b}) AS le{i}" for i, b in enumerate(bounds))
     cases = " ".join(
@@ -353,14 +358,13 @@ def _quantile_sql() -> str:
         f"((0.95e0 * n - {f'le{i - 1}' if i else 0}) / NULLIF(le{i} - {f'le{i - 1}' if i else 0}, 0))"
         for i, b in enumerate(bounds)
     )
-    half = "CAST(epoch(ts) AS BIGINT) // 43200 * 43200"
     return f"""SELECT debut, path, CASE {cases} ELSE {bounds[-1]}e0 END AS latence_s FROM (
         SELECT debut, path, COUNT(*) AS n, {cumulative} FROM (
-          SELECT CAST(floor(epoch(ts)) AS BIGINT) // 43200 * 43200 - o AS debut, template AS path, duration_s
-          FROM log, (VALUES (0), (43200)) d(o)) GROUP BY ALL)"""
+          SELECT CAST(floor(epoch(ts)) AS BIGINT) // {slide} * {slide} - o AS debut, template AS path, duration_s
+          FROM log, (VALUES {slots}) d(o)) WHERE {keep} GROUP BY debut, path)"""
 
 
-add("str11_latency_p95", _p95, _quantile_sql())
+add("str11_latency_p95", _p95, quantile_sql())
 add(
     "str11_latency_p95_sketch",
     lambda v: _start(accesslog.latency_quantiles(v.log, 0.95, "1 day", "12 hours", 10_000)).drop("fin"),

@@ -25,7 +25,7 @@ from ..sinks import writers
 from ..sources import readers
 from ..streaming import ingest, state, telemetry
 from .facts import FACT, SLICE
-from .live import _FEED, _start, _stop_rows
+from .live import _FEED, _start, _stop_rows, quantile_sql
 from .registry import add
 from .views import NOW, Views
 
@@ -125,7 +125,11 @@ add(
     f"""SELECT debut, path, COUNT(*) / 60e0 AS par_seconde FROM (SELECT {_MINUTE} AS debut, template AS path FROM log)
         WHERE debut + 60 <= {_CLOSED} GROUP BY debut, path""",
 )
-add("str11_latency_p95_stream", lambda v: _windows(v, telemetry.latency_p95).drop("fin"))
+add(
+    "str11_latency_p95_stream",
+    lambda v: _windows(v, telemetry.latency_p95).drop("fin"),
+    quantile_sql("(0), (60), (120), (180), (240)", 60, f"debut + 300 <= {_CLOSED}"),
+)
 add(
     "str12_quota_breaches_stream",
     lambda v: _windows(v, lambda log: telemetry.accesslog.quota_breaches(telemetry.watched(log), "api_key", 1, "1 hour")),

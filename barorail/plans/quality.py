@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import safe_double
@@ -55,11 +55,8 @@ def row_and_null_counts(df: DataFrame, source: str) -> DataFrame:
 
 def duplicate_count(df: DataFrame, source: str) -> DataFrame:
     """Rows beyond the first of each group of equal rows; NULLs are equal here."""
-    # Equal rows are grouped by a wide fingerprint, so the exchange carries 64 characters per
-    # distinct row of a task instead of the row.
-    fingerprint = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), 256)
     extra = (
-        df.groupBy(fingerprint.alias("_f"))
+        df.groupBy(_fingerprint(df).alias("_f"))
         .agg(F.count("*").alias("_n"))
         .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("_extra"))
     )
@@ -95,14 +92,48 @@ def outlier_count(
     return _metrics(above, {"_out": column}, "aberrants_p99", source)
 
 
+def _fingerprint(df: DataFrame) -> Column:
+    """Equal for equal rows, NULLs included; 64 characters travel instead of the row."""
+    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), 256)
+
+
+def row_profile(df: DataFrame, source: str) -> DataFrame:
+    """Rows, columns, nulls per column and duplicates in one pass over the source.
+
+    Equal rows share their nulls, so counting per distinct row serves all of these numbers.
+    """
+    flags = F.array(*[F.col(f"`{c}`").isNull() for c in df.columns])
+    distinct = df.groupBy(_fingerprint(df).alias("_f"), flags.alias("_nulls")).agg(F.count("*").alias("_n"))
+    null_sums = [
+        F.sum(F.when(F.get("_nulls", F.lit(i)), F.col("_n")).otherwise(0)) for i in range(len(df.columns))
+    ]
+    rows, kinds = F.coalesce(F.sum("_n"), F.lit(0)), F.count("*")
+
+    def entry(measure: str, column: str, value: Column) -> Column:
+        return F.struct(F.lit(measure).alias("mesure"), F.lit(column).alias("colonne"), value.alias("valeur"))
+
+    entries = F.array(
+        entry("lignes", "", rows),
+        entry("colonnes", "", F.lit(len(df.columns)).cast("bigint")),
+        entry("doublons", "", rows - kinds),
+        *[entry("nuls", name, total) for name, total in zip(df.columns, null_sums)],
+    )
+    return (
+        distinct.agg(entries.alias("_entries"))
+        .select(F.inline("_entries"))
+        .filter((F.col("mesure") != "nuls") | (F.col("valeur") > 0))
+        .select(F.lit(source).alias("source"), "mesure", "colonne", "valeur")
+    )
+
+
 def profile(
     df: DataFrame, source: str, outlier_column: str | None = None, accuracy: int | None = None
 ) -> DataFrame:
     """Report rows ``source, mesure, colonne, valeur``; no outlier row without the column."""
-    parts = [row_and_null_counts(df, source), duplicate_count(df, source)]
+    report = row_profile(df, source)
     if outlier_column and outlier_column in df.columns:
-        parts.append(outlier_count(df, outlier_column, source, accuracy=accuracy))
-    return reduce(DataFrame.unionByName, parts)
+        report = report.unionByName(outlier_count(df, outlier_column, source, accuracy=accuracy))
+    return report
 
 
 def profile_sources(
