@@ -173,8 +173,8 @@ add(
 )
 
 # Sample
-_ACTIVE = """SELECT DISTINCT r.type_ligne, r.axe_label FROM fact r
-    JOIN (SELECT type_ligne, MAX(mois) AS m FROM fact GROUP BY 1) x ON x.type_ligne = r.type_ligne AND x.m = r.mois"""
+_ACTIVE = """SELECT DISTINCT type_ligne, axe_label FROM (
+    SELECT *, MAX(mois) OVER (PARTITION BY type_ligne) AS dernier FROM fact) WHERE mois = dernier"""
 _RANKED = f"SELECT *, row_number() OVER (PARTITION BY type_ligne ORDER BY axe_label) AS rn FROM ({_ACTIVE})"
 add("jn10_active_axes", lambda v: harmonize.active_axes(v.fact), _ACTIVE)
 add(

@@ -22,6 +22,8 @@ class Environment:
     gold_dir: str
     sample_axes: int | None = None
     sample_months: int = 3
+    # Off, national exports without quoted line breaks are read in splits.
+    multiline: bool = True
 
 
 # Environment names and their table folders.
@@ -55,7 +57,7 @@ def build(
     tables: dict[str, DataFrame] = {}
 
     def source(name: str) -> DataFrame:
-        return read_source(spark, raw_dir, name)
+        return read_source(spark, raw_dir, name, env.multiline)
 
     def store(name: str, df: DataFrame, *cluster_by: str) -> DataFrame:
         replace_table(df, f"{out}/{name}", cluster_by)

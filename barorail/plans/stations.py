@@ -129,8 +129,8 @@ def stations_by_name(stations: DataFrame, countries: list[str] | None = None) ->
     if countries:
         located = located.filter(F.col("pays").isin(*countries))
     return (
-        located.filter(F.col("nom_gare").isNotNull())
-        .groupBy(normalize_name(F.col("nom_gare")).alias("nom_norm"))
+        located.filter(F.col("nom_gare_norm").isNotNull())
+        .groupBy(F.col("nom_gare_norm").alias("nom_norm"))
         .agg(F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude"))
     )
 

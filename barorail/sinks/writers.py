@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.readers import read_source
@@ -22,23 +22,14 @@ def replace_table(df: DataFrame, path: str, cluster_by: tuple[str, ...] = ()) ->
     df.write.mode("overwrite").parquet(path)
 
 
-def export_csv(
-    df: DataFrame, path: str, sep: str = ",", order_by: list[str] | None = None, single_file: bool = False
-) -> None:
-    """CSV with a header. The row order holds across the part files by their names.
-
-    ``single_file`` gathers everything into one task and is meant for small results only.
-    """
+def export_csv(df: DataFrame, path: str, sep: str = ",", order_by: list[str] | None = None) -> None:
+    """CSV parts with a header. Where rows are ordered, the order holds across the parts by name."""
     out = df.orderBy(*order_by) if order_by else df
-    if single_file:
-        out = out.coalesce(1)
     out.write.mode("overwrite").csv(path, header=True, sep=sep, escape='"', nullValue="", emptyValue="")
 
 
 def export_result(df: DataFrame, path: str) -> int:
     """Write a result table and return its number of rows, counted as it was written."""
-    from pyspark.sql import Observation
-
     seen = Observation()
     export_csv(df.observe(seen, F.count("*").alias("n")), path)
     return seen.get["n"]

@@ -55,7 +55,7 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return spark.read.schema(schema).json(path)
 
 
-def read_source(spark: SparkSession, raw_dir: str, name: str) -> DataFrame:
+def read_source(spark: SparkSession, raw_dir: str, name: str, multiline: bool = True) -> DataFrame:
     """A registered source; one that is absent is an empty table, not an error."""
     spec: SourceSpec = SOURCES[name]
     path = f"{raw_dir.rstrip('/')}/{spec.filename}"
@@ -63,7 +63,7 @@ def read_source(spark: SparkSession, raw_dir: str, name: str) -> DataFrame:
         if spec.filename.endswith(".json"):
             return read_json_array(spark, path, spec.schema)
         if spec.semicolon:
-            return read_semicolon_csv(spark, path, spec.schema)
+            return read_semicolon_csv(spark, path, spec.schema, multiline)
         return read_gtfs_csv(spark, path, spec.schema)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error.getCondition()):

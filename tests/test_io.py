@@ -64,8 +64,9 @@ def test_stop_sequence_file_keeps_blanks_as_null(spark, tmp_path):
 
 def test_result_export_reports_its_rows(spark, tmp_path):
     assert writers.export_result(spark.range(7), str(tmp_path / "r")) == 7
-    writers.export_csv(spark.range(5), str(tmp_path / "one"), order_by=["id"], single_file=True)
-    assert len(list((tmp_path / "one").glob("part-*.csv"))) == 1
+    writers.export_csv(spark.range(500), str(tmp_path / "sorted"), order_by=["id"])
+    lines = [x for p in sorted((tmp_path / "sorted").glob("part-*.csv")) for x in p.read_text().split()]
+    assert [int(x) for x in lines if x != "id"] == list(range(500))
 
 
 def test_messages_round_trip(spark, tmp_path):
@@ -134,3 +135,18 @@ def test_landing_and_staging(spark, tmp_path):
     writers.stage_tables(spark, str(raw), "staging")
     assert spark.table("staging.gares").columns == S.GARES.names
     spark.sql("DROP DATABASE staging CASCADE")
+
+
+def test_commands(spark, tmp_path):
+    from barorail.__main__ import run
+
+    raw, gold = tmp_path / "raw", str(tmp_path / "gold")
+    _raw_files(raw)
+    summary = run(spark, ["build", "--env", "prod", "--raw", str(raw), "--gold", gold, "--day", "2024-05-01"])
+    assert {r.table_name: r.total for r in summary.collect()}["fact_regularite"] == 11
+    assert run(spark, ["export", "--gold", gold]) == 0  # three months are too short a history
+    report = run(spark, ["profile", "--raw", str(raw)])
+    rows = {(r.source, r.mesure, r.colonne): r.valeur for r in report.collect()}
+    assert rows[("regularite_tgv.csv", "lignes", "")] == 4
+    assert rows[("regularite_tgv.csv", "nuls", "Retard moyen de tous les trains à l'arrivée")] == 1
+    assert len(run(spark, ["land", "--raw", str(raw), "--out", str(tmp_path / "bronze")])) == 11

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 from barorail import schemas as S
 from barorail.plans import messages, realtime
 
-STOP_FIELDS = ("stop_id", "arrival_time", "arrival_delay", "departure_time", "departure_delay")
-
 
 def _stop(name, a=None, ad=None, d=None, dd=None):
     return (name, a, ad, d, dd)
@@ -56,25 +54,27 @@ def test_index_counts_usable_stops(spark):
 
 
 def _expected(stops, now):
-    """The rules, one trip at a time."""
-    known = [dict(zip(STOP_FIELDS, s)) for s in stops]
-    known = [s for s in known if s["arrival_time"] or s["departure_time"]]
-    for i, s in enumerate(known):
-        a, d = s["arrival_time"], s["departure_time"]
-        if a is not None and d is not None and a <= now < d:
-            return ("a_quai", s["stop_id"], s["stop_id"], 0.0, s["departure_delay"] or s["arrival_delay"], i)
-    pairs = list(zip(known, known[1:]))
-    for i, (s, n) in enumerate(pairs):
-        out, into = s["departure_time"] or s["arrival_time"], n["arrival_time"] or n["departure_time"]
-        if out is not None and into is not None and out <= now <= into:
-            share = round((now - out) / (into - out), 3) if into > out else 0.0
-            return ("en_route", s["stop_id"], n["stop_id"], share, n["arrival_delay"] or n["departure_delay"], i)
-    if pairs:
-        s = known[0]
-        start = s["departure_time"] or s["arrival_time"]
-        if start is not None and now < start:
-            return ("a_quai", s["stop_id"], s["stop_id"], 0.0, s["departure_delay"] or s["arrival_delay"], 0)
-    return None
+    """The rules as ranked candidates: standing, moving, waiting; the earliest stop of the best rank."""
+    known = [s for s in stops if s[1] or s[3]]
+    candidates = [
+        (0, i, "a_quai", name, name, 0.0, d_delay or a_delay)
+        for i, (name, a, a_delay, d, d_delay) in enumerate(known)
+        if None not in (a, d) and a <= now < d
+    ]
+    for i, ((name, a, _, d, _), (nxt, a2, delay, d2, other)) in enumerate(zip(known, known[1:])):
+        span = (d or a, a2 or d2)
+        if None not in span and span[0] <= now <= span[1]:
+            length = span[1] - span[0]
+            share = round((now - span[0]) / length, 3) if length > 0 else 0.0
+            candidates.append((1, i, "en_route", name, nxt, share, delay or other))
+    if len(known) > 1:
+        name, a, a_delay, d, d_delay = known[0]
+        if (d or a) is not None and now < (d or a):
+            candidates.append((2, 0, "a_quai", name, name, 0.0, d_delay or a_delay))
+    if not candidates:
+        return None
+    _, i, *rest = min(candidates, key=lambda c: c[:2])
+    return (*rest, i)
 
 
 def test_interpolation_equals_the_rules_on_random_trips(spark):
