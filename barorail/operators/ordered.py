@@ -1,8 +1,8 @@
 """Ranks, quantiles and rank correlation without putting a group into one task.
 
 A window over a whole group would sort that group in a single task, and ``median`` keeps every
-distinct value of a group in one hash map. Here equal values are counted first, each group is cut
-into value ranges at splitters, and a running count is taken inside the ranges only.
+distinct value of a group in one hash map. Here equal values are counted first, a group of many
+values is cut into ranges at splitters, and a running count is taken inside the ranges only.
 """
 
 from __future__ import annotations
@@ -10,26 +10,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Splitters per group; a value is placed by strides first and then inside its stride.
+# One value in so many becomes a splitter, up to a stride times a stride per group.
+VALUES_PER_SPLITTER = 10_000
 STRIDE = 16
-RANGES_PER_GROUP = STRIDE * STRIDE
 
 
-def running_counts(counts: DataFrame, keys: list[str], value: str, n: str = "n") -> DataFrame:
-    """Add ``before`` (rows of the group with a smaller value) and ``total`` (rows of the group).
+def _meet(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join in which NULL keys are keys like any other."""
+    right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(right, same, how).drop(*[f"_r_{k}" for k in keys])
+
 
-    ``counts`` has one row per ``keys`` and ``value``. The splitters of a group are its values of
-    lowest hash: a uniform sample, and the same one whenever a task is run again.
+def _splitters(counts: DataFrame, group: list[str], value: str, n: str) -> DataFrame:
+    """Sorted splitters of each group that has many values, in strides: ``_strides, _inside``.
+
+    They are the values of lowest hash: a uniform sample, and the same one whenever a task is run
+    again. The counts ride along so that the input is the very exchange that feeds the ranges, and
+    the planner computes the counts once.
     """
-    group = keys or ["_all"]
-    if not keys:
-        counts = counts.withColumn("_all", F.lit(1))
+    chosen = F.xxhash64(value) <= F.lit(-(2**63) + 2**64 // VALUES_PER_SPLITTER)
     by_hash = Window.partitionBy(*group).orderBy(F.xxhash64(value), F.col(value))
-    # The counts ride along in the sample so that its input is the very exchange that feeds the
-    # ranges: the planner then computes the counts once and reuses them.
-    splitters = (
-        counts.withColumn("_rn", F.row_number().over(by_hash))
-        .filter(F.col("_rn") <= RANGES_PER_GROUP)
+    return (
+        counts.filter(chosen)
+        .withColumn("_rn", F.row_number().over(by_hash))
+        .filter(F.col("_rn") <= STRIDE * STRIDE)
         .groupBy(*group)
         .agg(F.sort_array(F.collect_list(F.struct(value, n))).alias("_cuts"))
         .select(*group, F.transform("_cuts", lambda cut: cut[value]).alias("_cuts"))
@@ -43,13 +48,27 @@ def running_counts(counts: DataFrame, keys: list[str], value: str, n: str = "n")
         )
     )
 
+
+def running_counts(counts: DataFrame, keys: list[str], value: str, n: str = "n") -> DataFrame:
+    """Add ``before`` (rows of the group with a smaller value) and ``total`` (rows of the group).
+
+    ``counts`` has one row per ``keys`` and ``value``. A group of few values is a single range.
+    """
+    group = keys or ["_all"]
+    if not keys:
+        counts = counts.withColumn("_all", F.lit(1))
+
     def below(cuts):
         return F.size(F.filter(cuts, lambda cut: cut < F.col(value)))
 
+    stride = F.when(F.col("_strides").isNull(), F.lit(0)).otherwise(below("_strides"))
+    place = F.when(F.col("_strides").isNull(), F.lit(0)).otherwise(
+        F.col("_stride") * STRIDE + below(F.get("_inside", F.col("_stride")))
+    )
     ranged = (
-        counts.join(splitters, group)
-        .withColumn("_stride", below("_strides"))
-        .withColumn("_range", F.col("_stride") * STRIDE + below(F.get("_inside", F.col("_stride"))))
+        _meet(counts, _splitters(counts, group, value, n), group, "left")
+        .withColumn("_stride", stride)
+        .withColumn("_range", place)
         .drop("_strides", "_inside", "_stride")
     )
     earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -67,8 +86,11 @@ def running_counts(counts: DataFrame, keys: list[str], value: str, n: str = "n")
         Window.partitionBy(*group, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     )
     out = (
-        ranged.withColumn("_local", F.coalesce(F.sum(n).over(inside), F.lit(0)))
-        .join(offsets, [*group, "_range"])
+        _meet(
+            ranged.withColumn("_local", F.coalesce(F.sum(n).over(inside), F.lit(0))),
+            offsets,
+            [*group, "_range"],
+        )
         .withColumn("before", F.col("_offset") + F.col("_local"))
         .drop("_range", "_offset", "_local")
     )

@@ -17,14 +17,20 @@ def _brute_corr(a, b):
     return top / math.sqrt(sum((x - ma) ** 2 for x in a) * sum((y - mb) ** 2 for y in b))
 
 
+@pytest.fixture(params=[2, 7, 10_000], ids=["half split", "some split", "one range"])
+def splitting(request, monkeypatch):
+    monkeypatch.setattr(ordered, "VALUES_PER_SPLITTER", request.param)
+
+
 @pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.95, 0.99, 1.0])
-def test_quantiles_equal_sorting(spark, q):
+def test_quantiles_equal_sorting(spark, splitting, q):
     rng = random.Random(3)
     groups = {
-        "many": [rng.random() * 100 for _ in range(3000)],
-        "hot": [5.0] * 4000 + [float(i) for i in range(700)],
+        "many": [rng.random() * 100 for _ in range(1500)],
+        "hot": [5.0] * 2000 + [float(i) for i in range(700)],
         "one": [2.5],
         "two": [1.0, 2.0],
+        None: [3.0, 1.0, 2.0, 2.0],
     }
     df = spark.createDataFrame([(g, x) for g, xs in groups.items() for x in xs], "g string, x double")
     got = {r.g: r for r in ordered.quantile_summary(df, ["g"], "x", q).collect()}
@@ -36,7 +42,7 @@ def test_quantiles_equal_sorting(spark, q):
         assert (got[g].total, got[g].lowest, got[g].highest) == (len(xs), xs[0], xs[-1])
 
 
-def test_running_counts_equal_sorting(spark):
+def test_running_counts_equal_sorting(spark, splitting):
     rng = random.Random(4)
     xs = [round(rng.gauss(0, 10), 2) for _ in range(5000)] + [0.0] * 2500
     df = spark.createDataFrame([(x,) for x in xs], "x double")
@@ -55,7 +61,7 @@ def test_spearman_with_ties(spark):
     assert (row.n, row.rho) == (6, pytest.approx(0.9276336570439175))
 
 
-def test_spearman_equals_brute_force_with_a_hot_value(spark):
+def test_spearman_equals_brute_force_with_a_hot_value(spark, splitting):
     rng = random.Random(5)
     pairs = [(round(rng.random(), 1), rng.randrange(20) / 2) for _ in range(600)] + [(0.3, 4.0)] * 300
     df = spark.createDataFrame(pairs, "x double, y double")
