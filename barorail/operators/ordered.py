@@ -26,10 +26,12 @@ def _splitters(counts: DataFrame, group: list[str], value: str, n: str) -> DataF
     """Sorted splitters of each group that has many values, in strides: ``_strides, _inside``.
 
     They are the values of lowest hash: a uniform sample, and the same one whenever a task is run
-    again. The counts ride along so that the input is the very exchange that feeds the ranges, and
-    the planner computes the counts once.
+    again. The counts ride along so that the input is the very exchange that feeds the ranges.
     """
-    chosen = F.xxhash64(value) <= F.lit(-(2**63) + 2**64 // VALUES_PER_SPLITTER)
+    low_hash = F.xxhash64(value) <= F.lit(-(2**63) + 2**64 // VALUES_PER_SPLITTER)
+    # Tied to the count, so that the filter is not pushed below the counting: the counts would then
+    # be worked out a second time.
+    chosen = F.when(F.col(n) > 0, low_hash)
     by_hash = Window.partitionBy(*group).orderBy(F.xxhash64(value), F.col(value))
     return (
         counts.filter(chosen)

@@ -19,12 +19,21 @@ _DEFAULTS = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Turn on the adaptive settings the operators count on and pin the time zone to UTC."""
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Turn on the adaptive settings the operators count on and pin the time zone to UTC.
+
+    ``shuffle_bytes``, the size of the largest exchange expected, sets the number of shuffle
+    partitions so that each holds about 128 MB; adaptive execution merges those that hold less.
+    """
     explicit = spark.sparkContext.getConf()
     for key, value in _DEFAULTS.items():
         if not explicit.contains(key):
             spark.conf.set(key, value)
+    if shuffle_bytes is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(1, -(-shuffle_bytes // PARTITION_BYTES))))
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
