@@ -47,10 +47,12 @@ def _streamed(v: Views, table: str) -> StreamViews:
 def _published(v: Views) -> DataFrame:
     """Snapshots to resolved message lines, through a stream."""
     out = scratch_dir(v.spark, "messages")
-    stop_map = v.stop_map
+    stop_map = v.written("stop_map", messages.last_map_entries(v.stop_map))
 
     def to_messages(feeds: DataFrame) -> DataFrame:
-        return messages.trip_messages(feeds, "PL", stop_map=stop_map, captured_at=F.lit(NOW).cast("bigint"))
+        return messages.trip_messages(
+            feeds, "PL", stop_map=stop_map, captured_at=F.lit(NOW).cast("bigint"), map_is_reduced=True
+        )
 
     ingest.publish_stream(
         _streamed(v, "lineitem").feeds, to_messages, out, scratch_dir(v.spark, "checkpoint"), once=True

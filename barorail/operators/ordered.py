@@ -60,19 +60,21 @@ def running_counts(counts: DataFrame, keys: list[str], value: str, n: str = "n")
     if not keys:
         counts = counts.withColumn("_all", F.lit(1))
 
+    splitters = _splitters(counts, group, value, n).select(*group, F.struct("_strides", "_inside").alias("_cuts"))
+    if keys:
+        cut = _meet(counts, splitters, group, "left")
+    else:
+        # A single row of splitters: a scalar subquery, not a join.
+        cut = counts.withColumn("_cuts", splitters.select("_cuts").scalar())
+
     def below(cuts):
-        return F.size(F.filter(cuts, lambda cut: cut < F.col(value)))
+        return F.size(F.filter(cuts, lambda c: c < F.col(value)))
 
-    stride = F.when(F.col("_strides").isNull(), F.lit(0)).otherwise(below("_strides"))
-    place = F.when(F.col("_strides").isNull(), F.lit(0)).otherwise(
-        F.col("_stride") * STRIDE + below(F.get("_inside", F.col("_stride")))
-    )
-    ranged = (
-        _meet(counts, _splitters(counts, group, value, n), group, "left")
-        .withColumn("_stride", stride)
-        .withColumn("_range", place)
-        .drop("_strides", "_inside", "_stride")
+    stride = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(below(F.col("_cuts._strides")))
+    place = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
+        F.col("_stride") * STRIDE + below(F.get(F.col("_cuts._inside"), F.col("_stride")))
     )
+    ranged = cut.withColumn("_stride", stride).withColumn("_range", place).drop("_cuts", "_stride")
     earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy(*group, "_range")

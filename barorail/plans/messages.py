@@ -72,15 +72,21 @@ def last_map_entries(stop_map: DataFrame) -> DataFrame:
 
 
 def resolved_stops(
-    entities: DataFrame, stop_map: DataFrame, key: list[str], tz: str = SEQUENCE_TZ
+    entities: DataFrame,
+    stop_map: DataFrame,
+    key: list[str],
+    tz: str = SEQUENCE_TZ,
+    map_is_reduced: bool = False,
 ) -> DataFrame:
     """``stops`` with ids and delays filled from the timetable.
 
     Updates meet the timetable one by one on trip and stop number, both sides spread by that pair,
     and go back into the list they came from; a list is never longer than the message it was in.
-    ``key`` names the columns that identify a message.
+    ``key`` names the columns that identify a message. A stream reduces the timetable once with
+    ``last_map_entries``, writes it, and says so by ``map_is_reduced``.
     """
-    entry = last_map_entries(stop_map).withColumnsRenamed({"stop_id": "_map_stop", "stop_sequence": "_seq"})
+    entries = stop_map if map_is_reduced else last_map_entries(stop_map)
+    entry = entries.withColumnsRenamed({"stop_id": "_map_stop", "stop_sequence": "_seq"})
     carried = [c for c in entities.columns if c not in (*key, "updates")]
     updates = entities.select(*entities.columns, F.posexplode("updates").alias("_pos", "_u")).drop("updates")
     met = updates.withColumn("_seq", F.coalesce(F.col("_u.stop_sequence"), F.lit(0))).join(
@@ -140,13 +146,15 @@ def trip_messages(
     key: list[str] | None = None,
     tz: str = SEQUENCE_TZ,
     captured_at: Column | None = None,
+    map_is_reduced: bool = False,
 ) -> DataFrame:
     """Feed snapshots to trip messages of one country."""
     entities = allow(allow(feed_entities(feeds), rail_routes, "route_id"), rail_trips, "trip_id")
     if stop_map is None:
         with_stops = published_stops(entities)
     else:
-        with_stops = resolved_stops(entities, stop_map, key or ["source_file", "feed_timestamp", "entity_pos"], tz)
+        message = key or ["source_file", "feed_timestamp", "entity_pos"]
+        with_stops = resolved_stops(entities, stop_map, message, tz, map_is_reduced)
     return as_messages(with_stops, country, captured_at)
 
 

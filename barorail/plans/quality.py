@@ -82,13 +82,8 @@ def outlier_count(
             ).alias("_out")
         )
     else:
-        limit = values.agg(F.percentile_approx("_v", q, accuracy).alias("_limit"), F.lit(1).alias("_k"))
-        # The threshold is one row.
-        above = (
-            values.withColumn("_k", F.lit(1))
-            .join(F.broadcast(limit), "_k")
-            .agg(F.count_if(F.col("_v") > F.col("_limit")).alias("_out"))
-        )
+        limit = values.agg(F.percentile_approx("_v", q, accuracy).alias("_limit")).scalar()
+        above = values.filter(F.col("_v") > limit).agg(F.count("*").alias("_out"))
     return _metrics(above, {"_out": column}, "aberrants_p99", source)
 
 

@@ -419,7 +419,8 @@ def itinerary(
 ) -> DataFrame:
     """Way behind and ahead of the live trains, or of the one chosen train, one row per point.
 
-    Dutch trains with a known track follow it; all others go from station to station.
+    Dutch trains with a known track follow it; all others go from station to station. ``trains`` is
+    read several times: for more than one train, write the live view first.
     """
     chosen = trains if trip_id is None else trains.filter(F.col("trip_id") == trip_id)
     tracked = chosen.filter(F.col("pays") == "NL").join(

@@ -57,7 +57,11 @@ def country_messages(
     stop_maps: dict[str, DataFrame],
     captured_at: Column | None = None,
 ) -> DataFrame:
-    """Messages of snapshots that carry ``pays``, each country with its own allowlist and timetable."""
+    """Messages of snapshots that carry ``pays``, each country with its own allowlist and timetable.
+
+    The timetables in ``stop_maps`` are reduced by ``last_map_entries`` beforehand, once, not with
+    every micro-batch.
+    """
     special = sorted({*rail_routes, *rail_trips, *stop_maps})
     parts = [
         trip_messages(
@@ -67,6 +71,7 @@ def country_messages(
             rail_trips=rail_trips.get(country),
             stop_map=stop_maps.get(country),
             captured_at=captured_at,
+            map_is_reduced=True,
         )
         for country in special
     ]
