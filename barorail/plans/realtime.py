@@ -12,7 +12,7 @@ from ..functions.ids import station_key, train_number
 from ..functions.labels import delay_status, whole_minutes
 from ..functions.text import first_filled, preferred_translation
 from ..functions.times import present
-from ..operators.keyed import latest_per_key, spread_nulls
+from ..operators.keyed import spread_nulls
 from ..operators.polylines import polylines
 
 MAX_AGE_S = 600

@@ -84,6 +84,11 @@ TRIP_MESSAGE = (
     f"trip_id string, route_id string, pays string, stops {STOPS}, feed_timestamp bigint, captured_at bigint"
 )
 
+TRIP_STATE = (
+    f"trip_id string, route_id string, pays string, stops {STOPS}, feed_timestamp bigint, "
+    "captured_at timestamp, updated_at timestamp, batch_id bigint"
+)
+
 _EVENT = "struct<time:bigint,delay:bigint>"
 FEED = (
     "header struct<timestamp:bigint>, entity array<struct<id:string,trip_update:struct<"

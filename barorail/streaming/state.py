@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.keyed import latest_per_key
 from ..plans.messages import with_default_country
+from ..schemas import TRIP_STATE
 
 POLL_SECONDS = 120
 
@@ -79,11 +80,15 @@ def _last_snapshot(spark: SparkSession, path: str) -> int | None:
 
 def _versions(spark: SparkSession, path: str, after: int | None = None) -> DataFrame:
     """Every row still needed, with the batch number that wrote it."""
-    changes = spark.read.option("basePath", f"{path}/changes").parquet(f"{path}/changes")
-    changes = changes.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    try:
+        changes = spark.read.schema(TRIP_STATE).parquet(f"{path}/changes")
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error.getCondition()):
+            raise
+        return spark.createDataFrame([], TRIP_STATE)  # nothing has arrived yet
     if after is None:
         return changes
-    snapshot = spark.read.parquet(f"{path}/snapshots/upto={after}")
+    snapshot = spark.read.schema(TRIP_STATE).parquet(f"{path}/snapshots/upto={after}")
     # The filter is on the partition column: older change folders are not read.
     return snapshot.unionByName(changes.filter(F.col("batch_id") > after))
 

@@ -70,6 +70,12 @@ def test_compaction_keeps_the_state(spark, tmp_path):
     assert {r.batch_id for r in plan.select("batch_id").distinct().collect()} == {0, 1, 2}
 
 
+def test_state_is_empty_before_the_first_message(spark, tmp_path):
+    before = state.current_state(spark, str(tmp_path / "nothing"))
+    assert before.isEmpty()
+    assert before.columns == ["trip_id", "route_id", "pays", "stops", "feed_timestamp", "captured_at", "updated_at"]
+
+
 def test_old_keys_can_be_left_out(spark, tmp_path):
     out = tmp_path / "state"
     for batch_id, rows in enumerate([[_message("t1", 1), _message("t2", 1)], [_message("t1", 2)]]):
