@@ -14,13 +14,19 @@ def clock_seconds(hms: Column) -> Column:
     return hours * 3600 + minutes * 60 + seconds
 
 
-def scheduled_epoch(start_date: Column, seconds: Column, tz: str) -> Column:
-    """Epoch of a timetable entry: local midnight of ``YYYYMMDD`` plus elapsed seconds."""
+def midnight_epoch(start_date: Column, tz: str) -> Column:
+    """Epoch of the local midnight of a ``YYYYMMDD`` day."""
     year, month, day = (
         F.substring(start_date, pos, length).try_cast("int") for pos, length in ((1, 4), (5, 2), (7, 2))
     )
-    midnight = F.try_make_timestamp(year, month, day, F.lit(0), F.lit(0), F.lit(0), F.lit(tz))
-    return F.unix_timestamp(midnight) + seconds
+    return F.unix_timestamp(
+        F.try_make_timestamp(year, month, day, F.lit(0), F.lit(0), F.lit(0), F.lit(tz))
+    )
+
+
+def scheduled_epoch(start_date: Column, seconds: Column, tz: str) -> Column:
+    """Epoch of a timetable entry: local midnight plus elapsed seconds."""
+    return midnight_epoch(start_date, tz) + seconds
 
 
 def iso_epoch(text: Column) -> Column:

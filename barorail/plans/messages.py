@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import iso_epoch, minutes_to_seconds, scheduled_epoch
+from ..functions.times import iso_epoch, midnight_epoch, minutes_to_seconds
 from ..functions.ids import dated_trip_id
 from ..operators.keyed import latest_per_key
 from ..schemas import STOPS
@@ -88,7 +88,9 @@ def resolved_stops(
     entries = stop_map if map_is_reduced else last_map_entries(stop_map)
     entry = entries.withColumnsRenamed({"stop_id": "_map_stop", "stop_sequence": "_seq"})
     carried = [c for c in entities.columns if c not in (*key, "updates")]
-    updates = entities.select(*entities.columns, F.posexplode("updates").alias("_pos", "_u")).drop("updates")
+    # Midnight is worked out once per message, not for every time of every stop.
+    dated = entities.withColumn("_midnight", midnight_epoch(F.col("start_date"), tz))
+    updates = dated.select(*dated.columns, F.posexplode("updates").alias("_pos", "_u")).drop("updates")
     met = updates.withColumn("_seq", F.coalesce(F.col("_u.stop_sequence"), F.lit(0))).join(
         entry, ["trip_id", "_seq"], "left"
     )
@@ -96,9 +98,7 @@ def resolved_stops(
 
     def delay(event: str, seconds: str) -> Column:
         at = F.col(f"_u.{event}.time")
-        return F.coalesce(
-            F.col(f"_u.{event}.delay"), at - scheduled_epoch(F.col("start_date"), F.col(seconds), tz)
-        )
+        return F.coalesce(F.col(f"_u.{event}.delay"), at - (F.col("_midnight") + F.col(seconds)))
 
     stop = _stop(
         F.when(published != "", published).otherwise(F.coalesce("_map_stop", F.lit(""))),
