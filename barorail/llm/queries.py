@@ -9,15 +9,26 @@ from pyspark.sql import functions as F
 
 from .chat import chat_digests
 from .common import table
+from .compression import classify
+from .rules import quality_rules
+from .secrets import secret_digests
 from .urls import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -30,10 +41,17 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_digests(turns.unionByName(extra))
 
 
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_quality_rules": op1_quality_rules,
         "op2_url_filters": op2_url_filters,
+        "op5_quality_classifier": op5_quality_classifier,
         "op8_chat_formatting": op8_chat_formatting,
+        "op9_secret_scans": op9_secret_scans,
     }
 
 
