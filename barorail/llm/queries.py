@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import BpeAutomaton, round_trip_digests
 from .chat import chat_digests
 from .common import table
 from .compression import classify
+from .packing import pack_documents
 from .rules import quality_rules
 from .secrets import secret_digests
 from .urls import judge_urls
@@ -29,6 +32,15 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    automaton = BpeAutomaton.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return round_trip_digests(table(spark, sf_dir, "documents"), automaton)
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -50,6 +62,8 @@ def queries() -> dict[str, Query]:
         "op1_quality_rules": op1_quality_rules,
         "op2_url_filters": op2_url_filters,
         "op5_quality_classifier": op5_quality_classifier,
+        "op6_best_fit_packing": op6_best_fit_packing,
+        "op7_bpe": op7_bpe,
         "op8_chat_formatting": op8_chat_formatting,
         "op9_secret_scans": op9_secret_scans,
     }
