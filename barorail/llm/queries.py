@@ -12,6 +12,7 @@ from .bpe import BpeAutomaton, round_trip_digests
 from .chat import chat_digests
 from .common import table
 from .compression import classify
+from .minhash import near_duplicates
 from .packing import pack_documents
 from .rules import quality_rules
 from .secrets import secret_digests
@@ -28,6 +29,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -61,6 +66,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
         "op2_url_filters": op2_url_filters,
+        "op3_minhash_near_dedup": op3_minhash_near_dedup,
         "op5_quality_classifier": op5_quality_classifier,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_bpe": op7_bpe,
