@@ -65,3 +65,37 @@ def label_sample(labels: DataFrame, column: str, rows: int) -> DataFrame:
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
+
+
+def map_groups(
+    df: DataFrame, keys: list[str], group: Callable[[tuple, list[tuple]], Iterator[tuple]], schema: str
+) -> DataFrame:
+    """Call ``group`` with each key and its rows (without the key columns), one group in memory at a time.
+
+    Groups follow each other in a task, sorted by key, so that many small ones cost little; the caller
+    sees to it that the largest is bounded.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    struct = T.StructType.fromDDL(schema)
+    arrow, width = to_arrow_schema(struct), len(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        key, held = None, []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[:width] != key:
+                    if held:
+                        out += group(key, held)
+                    key, held = row[:width], []
+                    if len(out) >= 4096:
+                        yield _batch(out, arrow)
+                        out = []
+                held.append(row[width:])
+        if held:
+            out += group(key, held)
+        if out:
+            yield _batch(out, arrow)
+
+    dealt = df.select(*keys, *rest).repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(run, struct)

@@ -17,6 +17,7 @@ from .packing import pack_documents
 from .rules import quality_rules
 from .secrets import secret_digests
 from .urls import judge_urls
+from .vectors import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +34,10 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -67,6 +72,7 @@ def queries() -> dict[str, Query]:
         "op1_quality_rules": op1_quality_rules,
         "op2_url_filters": op2_url_filters,
         "op3_minhash_near_dedup": op3_minhash_near_dedup,
+        "op4_embedding_near_dedup": op4_embedding_near_dedup,
         "op5_quality_classifier": op5_quality_classifier,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_bpe": op7_bpe,
