@@ -11,46 +11,25 @@ from pyspark.sql import functions as F
 
 from .common import map_rows, saved
 from .graph import components
+from .hashing import STEP, U, mixed, word_codes, words_of
 
-U = np.uint64
-_STEP = U(0x9E3779B97F4A7C15)
-_M1, _M2 = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
 #: Texts whose darts are thrown at once hold about so many shingles.
 BLOCK = 200_000
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """Scramble 64-bit numbers one to one."""
-    x = (x ^ (x >> U(30))) * _M1
-    x = (x ^ (x >> U(27))) * _M2
-    return x ^ (x >> U(31))
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
-
-
-_hashes = _WordHashes()
-
-
 def shingles(text: str | None, words: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the runs of so many words, ascending, and how often each occurs.
 
     Words stand between ASCII white space. A shorter text is one shingle, one without words has none.
     """
-    parts = (text or "").encode("utf-8", "surrogatepass").split()
-    codes = np.fromiter(map(_hashes.__getitem__, parts), U, len(parts))
+    codes = word_codes(text)
     size = min(words, len(codes))
     if not size:
         return np.zeros(0, U), np.zeros(0, np.int64)
     n = len(codes) - size + 1
     found = np.full(n, U(size))
     for i in range(size):
-        found = mixed(found + codes[i : i + n] + _STEP)
+        found = mixed(found + codes[i : i + n] + STEP)
     return np.unique(found, return_counts=True)
 
 
@@ -89,16 +68,16 @@ def _throw(sets, limit: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
     found = []
     low, width, strip = 0.0, 1.0, 0
     while len(row):
-        seed = mixed(element + U(strip) * _M1)
+        seed = mixed(element + U(strip + 1) * STEP)
         r, s, w = row, seed, weight
         time = np.zeros(len(r))
         number = 0
         while len(r):
-            name = mixed(s + U(number) * _STEP)
+            name = mixed(s + U(number) * STEP)
             time = time - np.log(((name >> U(11)).astype(np.float64) + 0.5) / 2.0**53) / width
             near = time < limit[r]
             r, s, w, time, name = r[near], s[near], w[near], time[near], name[near]
-            more = mixed(name + _M2)
+            more = mixed(name + STEP)
             where = low + width * ((more >> U(40)).astype(np.float64) / 2.0**24)
             hit = where < w
             found.append((r[hit], ((more & U(0xFFFFFFFF)) % U(size)).astype(np.int64)[hit], time[hit], name[hit]))
@@ -113,9 +92,9 @@ def band_keys(signatures: np.ndarray, bands: int) -> np.ndarray:
     """One 64-bit key per row and band."""
     rows, size = signatures.shape
     values = signatures.reshape(rows, bands, size // bands)
-    keys = np.tile(np.arange(bands, dtype=U), (rows, 1)) * _STEP
+    keys = np.tile(np.arange(bands, dtype=U), (rows, 1)) * STEP
     for i in range(values.shape[2]):
-        keys = mixed(keys + values[:, :, i] + _STEP)
+        keys = mixed(keys + values[:, :, i] + STEP)
     return keys
 
 
@@ -137,7 +116,7 @@ def signed(docs: DataFrame, words: int, bands: int, band_rows: int) -> DataFrame
             found = shingles(text, words)
             if not len(found[0]):
                 continue
-            copy = xxhash.xxh128_digest(b" ".join(text.encode("utf-8", "surrogatepass").split()))
+            copy = xxhash.xxh128_digest(b" ".join(words_of(text)))
             held.append((doc_id, copy, found))
             load += len(found[0]) + 500
             if load >= BLOCK:

@@ -16,6 +16,7 @@ from .minhash import near_duplicates
 from .packing import pack_documents
 from .rules import quality_rules
 from .secrets import secret_digests
+from .suffixes import repeated_passages
 from .urls import judge_urls
 from .vectors import near_vectors
 
@@ -67,6 +68,10 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -78,6 +83,7 @@ def queries() -> dict[str, Query]:
         "op7_bpe": op7_bpe,
         "op8_chat_formatting": op8_chat_formatting,
         "op9_secret_scans": op9_secret_scans,
+        "op10_suffix_array_dedup": op10_suffix_array_dedup,
     }
 
 

@@ -2,18 +2,63 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from barorail.llm.common import saved, table
+from barorail.llm.compression import classify
+from barorail.llm.minhash import near_duplicates
+from barorail.llm.packing import pack_documents
+from barorail.llm.secrets import redact_secrets
+from barorail.llm.suffixes import cut_passages, repeated_passages
 
-#: No stage but the plainest can be said in SQL; tests compare each with a brute-force version.
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression classifier does not reject.
+
+    Rows without an id get no verdict of their own and stay; of rows that share an id one rejected text
+    rejects all.
+    """
+    verdicts = classify(docs, table(spark, sf_dir, "labels"))
+    rejected = verdicts.where("predicted = 0 AND doc_id IS NOT NULL").select("doc_id")
+    return docs.join(rejected, "doc_id", "left_anti")
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates, that with the smallest id."""
+    dropped = near_duplicates(docs).where("NOT kept").select("doc_id")
+    return docs.join(dropped, "doc_id", "left_anti")
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages of 50 words or more that an earlier place holds already."""
+    return cut_passages(docs, repeated_passages(docs))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with secrets replaced by a mark."""
+    return redact_secrets(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per piece of a document: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality classifier", good_documents),
+    ("minhash near-dedup", one_of_each_group),
+    ("suffix-array dedup", without_repeats),
+    ("secret scans", without_secrets),
+    ("best-fit packing", packed),
+]
+
+#: SQL can say none of these models and signatures; tests compare the stages with brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from barorail.llm.common import saved, table
-
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
