@@ -211,12 +211,12 @@ class Views:
         return stations.stations_all(self.slices)
 
     @cached_property
-    def fr_stations(self) -> DataFrame:
-        return stations.stations_all([self.fr_slice])
+    def dim_table(self) -> DataFrame:
+        return self.written("stations", self.dim_stations)
 
     @cached_property
     def lookup(self) -> DataFrame:
-        return stations.station_lookup(self.dim_stations)
+        return stations.station_lookup(self.dim_table)
 
     # Timetables
 
@@ -319,7 +319,7 @@ class Views:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return lines.liaisons(self.fact, self.fr_stations)
+        return lines.liaisons(self.fact, self.dim_stations)
 
     @cached_property
     def fares(self) -> DataFrame:
@@ -338,7 +338,7 @@ class Views:
 
     @cached_property
     def lines_table(self) -> DataFrame:
-        return self.written("liaisons", lines.liaisons(self.fact_table, self.fr_stations))
+        return self.written("liaisons", lines.liaisons(self.fact_table, self.dim_table))
 
     @cached_property
     def fares_table(self) -> DataFrame:
