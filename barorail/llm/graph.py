@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,3 +39,13 @@ def _saved(edges: DataFrame) -> DataFrame:
 
 def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).head())
+
+
+def hung(near: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix of links the first row it hangs together with."""
+    first = np.arange(len(near))
+    while True:
+        step = np.minimum(first, np.where(near, first[None, :], len(near)).min(axis=1, initial=len(near)))
+        if (step == first).all():
+            return first
+        first = step

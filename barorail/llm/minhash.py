@@ -9,10 +9,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, saved
-from .graph import components
+from .common import map_groups, map_rows, saved
+from .graph import components, hung
 from .hashing import STEP, U, mixed, word_codes, words_of
 
+#: Members of a bucket that are compared at once; larger buckets are cut into blocks of about this size.
+GROUP = 256
 #: Texts whose darts are thrown at once hold about so many shingles.
 BLOCK = 200_000
 
@@ -59,6 +61,10 @@ def dart_signatures(sets: list[tuple[np.ndarray, np.ndarray]], size: int) -> np.
     return out
 
 
+def _times_step(n: int) -> np.uint64:
+    return U(n * int(STEP) % 2**64)
+
+
 def _throw(sets, limit: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
     """(row, coordinate, time, name) of all darts that hit the sets before their limits."""
     lengths = [len(e) for e, _ in sets]
@@ -68,12 +74,12 @@ def _throw(sets, limit: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
     found = []
     low, width, strip = 0.0, 1.0, 0
     while len(row):
-        seed = mixed(element + U(strip + 1) * STEP)
+        seed = mixed(element + _times_step(strip + 1))
         r, s, w = row, seed, weight
         time = np.zeros(len(r))
         number = 0
         while len(r):
-            name = mixed(s + U(number) * STEP)
+            name = mixed(s + _times_step(number))
             time = time - np.log(((name >> U(11)).astype(np.float64) + 0.5) / 2.0**53) / width
             near = time < limit[r]
             r, s, w, time, name = r[near], s[near], w[near], time[near], name[near]
@@ -129,42 +135,114 @@ def signed(docs: DataFrame, words: int, bands: int, band_rows: int) -> DataFrame
     return map_rows(known, rows, f"doc_id {kind}, copy_key binary, weight long, keys array<bigint>")
 
 
-def _shingle_rows(docs: DataFrame, words: int) -> DataFrame:
+def counted_elements(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A weighted set as a plain one, ascending: the second and further occurrences get names of their own.
+
+    Two such sets have as many elements in common as the smaller weights sum up to.
+    """
+    if (counts == 1).all():
+        return elements
+    turn = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    again = np.repeat(elements, counts)
+    return np.sort(np.where(turn == 0, again, mixed(again + turn.astype(U) * STEP)))
+
+
+def _element_rows(docs: DataFrame, words: int) -> DataFrame:
     def rows(ids, texts) -> Iterator[tuple]:
         for doc_id, text in zip(ids, texts):
-            elements, counts = shingles(text, words)
-            yield doc_id, elements.tobytes(), None if (counts == 1).all() else counts.astype("<u4").tobytes()
+            yield doc_id, counted_elements(*shingles(text, words)).tobytes()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_rows(docs.select("doc_id", "text"), rows, f"doc_id {kind}, elements binary, counts binary")
-
-
-def weighted_similarity(a: bytes, weights_a: bytes | None, b: bytes, weights_b: bytes | None) -> float:
-    """sum(min) / sum(max) of two weighted sets as ``_shingle_rows`` writes them."""
-    x, y = np.frombuffer(a, U), np.frombuffer(b, U)
-    p = np.ones(len(x), np.int64) if weights_a is None else np.frombuffer(weights_a, "<u4").astype(np.int64)
-    q = np.ones(len(y), np.int64) if weights_b is None else np.frombuffer(weights_b, "<u4").astype(np.int64)
-    at = np.searchsorted(y, x).clip(max=len(y) - 1)
-    same = y[at] == x
-    both = int(np.minimum(p[same], q[at[same]]).sum())
-    return both / int(p.sum() + q.sum() - both)
+    return map_rows(docs.select("doc_id", "text"), rows, f"doc_id {kind}, elements binary")
 
 
 def _links(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) that are similar enough, by their whole shingle sets."""
-    right = known.select(F.col("doc_id").alias("b"), F.col("elements").alias("eb"), F.col("counts").alias("cb"))
-    left = known.select(F.col("doc_id").alias("a"), F.col("elements").alias("ea"), F.col("counts").alias("ca"))
-    met = pairs.join(right, "b").join(left, "a").select("a", "b", "ea", "ca", "eb", "cb")
+    right = known.select(F.col("doc_id").alias("b"), F.col("elements").alias("eb"))
+    left = known.select(F.col("doc_id").alias("a"), F.col("elements").alias("ea"))
+    met = pairs.join(right, "b").join(left, "a").select("a", "b", "ea", "eb")
 
-    def rows(a, b, *sets) -> Iterator[tuple]:
-        for x, y, *held in zip(a, b, *sets):
-            if weighted_similarity(*held) >= similarity:
-                yield x, y
+    def rows(*columns) -> Iterator[tuple]:
+        for a, b, ea, eb in zip(*columns):
+            x, y = np.frombuffer(ea, U), np.frombuffer(eb, U)
+            both = int((y[np.searchsorted(y, x).clip(max=len(y) - 1)] == x).sum())
+            if both / (len(x) + len(y) - both) >= similarity:
+                yield a, b
 
     kind = known.schema["doc_id"].dataType.simpleString()
     return map_rows(met, rows, f"a {kind}, b {kind}")
 
 
+def similarities(sets: list[np.ndarray]) -> np.ndarray:
+    """Of each two different plain sets the size of what they share by the size of what either has."""
+    sizes = np.array([len(s) for s in sets])
+    row = np.repeat(np.arange(len(sets)), sizes)
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[column] > 1  # the others add nothing
+    row, column = row[shared], (np.cumsum(times > 1) - 1)[column[shared]]
+    both = np.zeros((len(sets), len(sets)), np.float64)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        start, stop = np.searchsorted(column, [low, low + 4096])
+        part = np.zeros((len(sets), 4096), np.float32)
+        part[row[start:stop], column[start:stop] - low] = 1
+        both += part @ part.T
+    return both / (sizes[:, None] + sizes[None, :] - both)
+
+
+def _cross_links(texts: DataFrame, classes: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """Links between members of different classes that share a bucket: every such pair is compared.
+
+    In a bucket the members of its largest class need no comparison among themselves; they are cut into
+    blocks, the others into blocks of their own, and each block of others meets each block. A pair that
+    shares several buckets is compared in the first. Links come out as a tree per block: id a hangs
+    together with id b.
+    """
+    own = texts.join(classes.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+    own = saved(own.withColumn("component", F.coalesce("component", "doc_id")), "labelled")
+    members = own.select("doc_id", "component", F.explode("keys").alias("key"))
+    sizes = members.groupBy("key", "component").agg(F.count("*").alias("n"))
+    buckets = sizes.groupBy("key").agg(
+        F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.count("*").alias("classes")
+    )
+    buckets = saved(buckets.where("classes > 1").select("key", "main", "all"), "mixed")
+    met = members.join(buckets, "key")
+    main = F.col("component") == F.col("main.component")
+    others = F.ceil((F.col("all") - F.col("main.n")) / F.lit(GROUP)).cast("int")
+    mains = F.ceil(F.col("main.n") / F.lit(GROUP)).cast("int")
+    met = met.select("doc_id", "component", "key", main.alias("main"), others.alias("others"), mains.alias("mains"))
+    deal = F.xxhash64("doc_id", "key")
+    place = F.when(F.col("main"), F.col("others") + F.pmod(deal, "mains")).otherwise(F.pmod(deal, "others"))
+    most = F.when(F.col("main"), F.col("others")).otherwise(F.col("others") + F.col("mains"))
+    met = met.withColumn("place", place.cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), most - 1)))
+    met = met.select(
+        "doc_id", "component", "key", F.least("place", "other").alias("low"), F.greatest("place", "other").alias("high"),
+        "place",
+    )
+    met = met.join(own.select("doc_id", "keys"), "doc_id").join(known, "doc_id")
+
+    def compare(key, rows) -> Iterator[tuple]:
+        bucket, low, high = key
+        ids, component, place, keys, elements = zip(*rows)
+        component, place, keys = np.array(component), np.array(place), np.array(keys)
+        wanted = component[:, None] != component[None, :]
+        if low != high:
+            wanted &= place[:, None] != place[None, :]
+        band = int((keys[0] == bucket).argmax())
+        for earlier in range(band):
+            wanted &= keys[:, earlier][:, None] != keys[:, earlier][None, :]
+        if wanted.any():
+            near = wanted & (similarities([np.frombuffer(e, U) for e in elements]) >= similarity)
+            first = hung(near)
+            for i in np.flatnonzero(near.any(axis=1)):
+                yield ids[i], ids[first[i]]
+
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    met = met.select("key", "low", "high", "doc_id", "component", "place", "keys", "elements")
+    return map_groups(met, ["key", "low", "high"], compare, f"a {kind}, b {kind}")
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 5, similarity: float = 0.8, bands: int = 24, band_rows: int = 5, first_bands: int = 4
 ) -> DataFrame:
@@ -177,9 +255,8 @@ def near_duplicates(
 
     Documents with the same words are one text, of which the smallest id goes on. Texts that share a band
     key are candidates. To spare comparing all of a bucket, the first bands link each member with the
-    smallest id; after that only members of different classes matter. A bucket that still holds several
-    classes compares growing shares of its members, chosen by hash, with the others until it holds one
-    class or all were compared, so no link is lost and no bucket is capped. All comparisons are exact.
+    smallest id; after that only members of different classes matter, and all of those that share a bucket
+    are compared, in blocks (see ``_cross_links``), so no bucket is capped. All comparisons are exact.
 
     NULL and empty texts are like nothing and kept. Rows with one id are one document. A NULL id has a row
     of its own, class_id NULL and kept. Other columns are ignored; an empty table gives no rows.
@@ -202,7 +279,7 @@ def near_duplicates(
     open_keys = saved(shared.select("key", "low"), "buckets")
     met = members(texts.select("doc_id", "keys"), F.col("keys")).join(open_keys, "key", "left_semi")
     met = saved(met.select("doc_id").distinct(), "candidates")
-    known = saved(_shingle_rows(docs.join(met, "doc_id", "left_semi").dropDuplicates(["doc_id"]), words), "shingles")
+    known = saved(_element_rows(docs.join(met, "doc_id", "left_semi").dropDuplicates(["doc_id"]), words), "shingles")
     texts = saved(texts.join(met, "doc_id", "left_semi"), "texts")
 
     def alike(a: str, b: str) -> str:
@@ -213,27 +290,8 @@ def near_duplicates(
     star = star.select(F.col("low").alias("a"), F.col("doc_id").alias("b"), "weight").distinct()
     star = star.join(weights, "a").where(alike("weight", "wa")).select("a", "b")
     links = saved(_links(star, known, similarity), "links")
-    turn = 0
-    while True:
-        classes = components(links)
-        labelled = texts.join(classes.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-        labelled = members(labelled.withColumn("component", F.coalesce("component", "doc_id")), F.col("keys"))
-        mixed_keys = labelled.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
-        )
-        mixed_keys = mixed_keys.where(f"low <> high AND n > {0 if turn == 0 else 4**turn}")
-        left = labelled.join(mixed_keys.select("key", "n"), "key")
-        # In [0, 1), other for each bucket: the share of a bucket that has been compared with the rest.
-        chance = (F.xxhash64("doc_id", "key") / F.lit(2.0**64)) + F.lit(0.5)
-        left = saved(left.withColumn("chance", chance), "open")
-        if left.isEmpty():
-            break
-        pivots = left.where(f"chance >= {4**turn if turn else 0} / n AND chance < {4 ** (turn + 1)} / n")
-        pivots = pivots.selectExpr("key", "doc_id AS a", "component AS ca", "weight AS wa", "chance AS xa")
-        met = pivots.join(left, "key").where(f"ca <> component AND xa < chance AND {alike('wa', 'weight')}")
-        pairs = met.select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
-        links = saved(links.unionByName(_links(pairs, known, similarity)), "links")
-        turn += 1
+    links = links.unionByName(_cross_links(texts, components(links), known, similarity))
+    classes = components(links)
 
     found = own.select("doc_id", "copy_key").join(copies, "copy_key").select("doc_id", "text_id")
     found = found.join(classes.withColumnRenamed("id", "text_id"), "text_id", "left")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_groups, map_rows, saved
-from .graph import components
+from .graph import components, hung
 
 PARTS = 4
 #: Rows of a bucket that are compared at once; larger buckets are cut into blocks of about this size.
@@ -198,12 +198,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, caps: float = 16.0, f
         counted = near & ~(falls_in @ falls_in.T > 0)
         links = counted @ np.array(times, np.int64)
         # Whatever hangs together here hangs on its first row.
-        first = np.arange(len(rows))
-        while True:
-            step = np.minimum(first, np.where(near, first[None, :], len(rows)).min(axis=1))
-            if (step == first).all():
-                break
-            first = step
+        first = hung(near)
         for i in range(len(rows)):
             if near[i].any():
                 yield ids[i], ids[first[i]], int(links[i])

@@ -4,9 +4,11 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from barorail.llm.graph import components
-from barorail.llm.minhash import dart_signatures, near_duplicates, shingles
+from barorail.llm import minhash
+from barorail.llm.minhash import counted_elements, dart_signatures, near_duplicates, shingles, similarities
 
 
 def classes_of(pairs, ids):
@@ -87,7 +89,22 @@ def test_table_against_all_pairs(spark):
     assert result(near_duplicates(docs)) == plain_classes(texts)
 
 
-def test_groups_with_many_classes_in_a_bucket(spark):
+def test_similarities():
+    rng = np.random.default_rng(4)
+    bags = [Counter(rng.integers(0, 30, rng.integers(1, 60)).tolist()) for _ in range(40)]
+    sets = []
+    for bag in bags:
+        items = sorted(bag.items())
+        sets.append(counted_elements(np.array([k for k, _ in items], np.uint64), np.array([v for _, v in items])))
+    got = similarities(sets)
+    for i, a in enumerate(bags):
+        for j, b in enumerate(bags):
+            assert i == j or abs(got[i, j] - (a & b).total() / (a | b).total()) < 1e-12
+
+
+@pytest.mark.parametrize("group", [256, 7])
+def test_groups_with_many_classes_in_a_bucket(spark, monkeypatch, group):
+    monkeypatch.setattr(minhash, "GROUP", group)
     rng = random.Random(12)
     words = [f"w{i}" for i in range(5000)]
     texts, n = {}, 0
