@@ -38,3 +38,25 @@ def words_of(text: str | None) -> list[bytes]:
 def word_codes(text: str | None) -> np.ndarray:
     words = words_of(text)
     return np.fromiter(map(_hashes.__getitem__, words), U, len(words))
+
+
+class Recent:
+    """A bounded memory that forgets what was not asked for lately: two generations of entries."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        found = self.new.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= self.size:
+            self.old, self.new = self.new, {}
+        self.new[key] = value

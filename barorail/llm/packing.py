@@ -14,18 +14,22 @@ from pyspark.sql import functions as F
 
 from .bpe import CACHED, CACHED_CHARS, SPACE
 from .common import map_rows, saved
+from .hashing import Recent
 
 CHUNK = re.compile(rf"[^{SPACE}]+")
 #: Separators that str.split takes for white space and the tokenizer does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 END_ID = 1
+#: Marks that are tokens of their own whatever word they follow; and where letters stop being simple.
+MARKS, SIMPLE = ".,;:!?", chr(0x130)
 
 
 class WordTokenizer:
-    """Token ids by a tokenizer of the tokenizers library that drops white space.
+    """Token ids by a tokenizer of the tokenizers library that drops white space and case.
 
-    White space bounds its words, so ids are looked up by what stands between, and only what was not met
-    before goes through the library. Strings of special tokens are cut out first, as the library does.
+    White space bounds its words, so ids are looked up by what stands between, and what was not met lately
+    is looked up as a word and the marks behind it. Only new words go through the library. Strings of
+    special tokens are cut out first, as the library does.
     """
 
     def __init__(self, config: str):
@@ -35,7 +39,7 @@ class WordTokenizer:
         self.library = Tokenizer.from_str(config)
         self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.known: dict[str, bytes] = {}
+        self.chunks, self.words = Recent(CACHED), Recent(CACHED)
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
@@ -47,17 +51,42 @@ class WordTokenizer:
 
     def _plain(self, text: str) -> bytes:
         chunks = CHUNK.findall(text) if SEPARATORS.search(text) else text.split()
-        found = list(map(self.known.get, chunks))
+        found = list(map(self.chunks.new.get, chunks))
         if None in found:
-            new = list({c for c, ids in zip(chunks, found) if ids is None})
-            coded = self.library.encode_batch_fast(new, add_special_tokens=False)
-            told = {c: np.array(e.ids, "<u4").tobytes() for c, e in zip(new, coded)}
+            told = self._looked_up({c for c, ids in zip(chunks, found) if ids is None})
             found = [told[c] if ids is None else ids for c, ids in zip(chunks, found)]
-            if len(self.known) >= CACHED:
-                self.known.clear()
-            self.known.update((c, ids) for c, ids in told.items() if len(c) <= CACHED_CHARS)
         return b"".join(found)
 
+    def _looked_up(self, chunks: set[str]) -> dict[str, bytes]:
+        told: dict[str, bytes] = {}
+        parts: dict[str, tuple[str, str]] = {}
+        new: dict[str, bytes] = {}
+        for chunk in chunks:
+            ids = self.chunks.get(chunk)
+            if ids is not None:
+                told[chunk] = ids
+                continue
+            word = chunk.rstrip(MARKS)
+            # Letters up to U+012F have one simple lower case and no other spelling.
+            if word and max(word) < SIMPLE and word.isalpha():
+                parts[chunk] = word.lower(), chunk[len(word) :]
+            else:
+                parts[chunk] = chunk, ""
+            for part in parts[chunk]:
+                if part not in new:
+                    new[part] = b"" if not part else self.words.get(part)
+        unknown = [w for w, ids in new.items() if ids is None]
+        if unknown:
+            for word, coded in zip(unknown, self.library.encode_batch_fast(unknown, add_special_tokens=False)):
+                new[word] = np.array(coded.ids, "<u4").tobytes()
+                if len(word) <= CACHED_CHARS:
+                    self.words.put(word, new[word])
+        for chunk, (word, marks) in parts.items():
+            told[chunk] = new[word] + new[marks]
+            if len(chunk) <= CACHED_CHARS:
+                self.chunks.put(chunk, told[chunk])
+        return told
+
 
 _tokenizers: dict[int, WordTokenizer] = {}
 
