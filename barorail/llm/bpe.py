@@ -23,6 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from .common import map_rows
+from .hashing import Recent
 
 #: White space of the pre-tokenizers.
 SPACE = "\t-\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
@@ -61,7 +62,8 @@ class BpeAutomaton:
     special: dict[str, int]
     longest: int
     arcs: dict[int, bool] = field(default_factory=dict, repr=False)
-    known: dict[str, bytes] = field(default_factory=dict, repr=False)
+    chunks: Recent = field(default_factory=lambda: Recent(CACHED), repr=False)
+    words: Recent = field(default_factory=lambda: Recent(CACHED), repr=False)
 
     @classmethod
     def compile(cls, vocab: dict[bytes, int], merges: list[tuple[bytes, bytes]], special: dict[str, int]):
@@ -152,14 +154,19 @@ class BpeAutomaton:
         return path
 
     def _chunk(self, chunk: str) -> bytes:
-        found = self.known.get(chunk)
+        found = self.chunks.get(chunk)
         if found is None:
-            path = [t for w in WORD.findall(chunk) for t in self.encode_word(w.encode("utf-8", "surrogatepass"))]
-            found = np.array(path, "<u4").tobytes()
+            found = b"".join([self._word(w) for w in WORD.findall(chunk)])
             if len(chunk) <= CACHED_CHARS:
-                if len(self.known) >= CACHED:
-                    self.known.clear()
-                self.known[chunk] = found
+                self.chunks.put(chunk, found)
+        return found
+
+    def _word(self, word: str) -> bytes:
+        found = self.words.get(word)
+        if found is None:
+            found = np.array(self.encode_word(word.encode("utf-8", "surrogatepass")), "<u4").tobytes()
+            if len(word) <= CACHED_CHARS:
+                self.words.put(word, found)
         return found
 
     def encode(self, text: str) -> list[int]:
@@ -171,8 +178,8 @@ class BpeAutomaton:
             if i % 2:
                 out.append(np.array([self.special[part]], "<u4").tobytes())
             else:
-                get, chunk = self.known.get, self._chunk
-                out += [get(c) or chunk(c) for c in CHUNK.findall(part)]
+                chunk = self._chunk
+                out += [self.chunks.new.get(c) or chunk(c) for c in CHUNK.findall(part)]
         return np.frombuffer(b"".join(out), "<u4").tolist()
 
     def decode(self, ids: list[int]) -> str:
@@ -187,7 +194,7 @@ class BpeAutomaton:
         return self._emitted
 
     def __getstate__(self):
-        return self.__dict__ | {"arcs": {}, "known": {}}
+        return self.__dict__ | {"arcs": {}, "chunks": Recent(CACHED), "words": Recent(CACHED)}
 
 
 def encode_texts(docs: DataFrame, automaton: BpeAutomaton) -> DataFrame:
