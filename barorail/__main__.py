@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .plans import analytics, build, quality
 from .session import tune
 from .sinks.writers import export_result, land_bronze, replace_table, stage_tables
-from .sources.readers import read_source
+from .sources.readers import read_raw
 from .sources.registry import SOURCES
 
 
@@ -30,6 +30,9 @@ def _parser() -> argparse.ArgumentParser:
         command.add_argument("--raw", default="data/raw", help="folder of the raw files")
         command.add_argument("--gold", help="folder of the gold tables, instead of that of the environment")
         command.add_argument("--out", help="folder to write to (profile, export, land) or database (stage)")
+        command.add_argument(
+            "--split", action="store_true", help="read national exports in splits: no line breaks inside quotes"
+        )
         command.add_argument("--day", type=datetime.date.fromisoformat, default=datetime.date.today())
     return parser
 
@@ -39,8 +42,7 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> DataFrame |
     args = _parser().parse_args(arguments)
     tune(spark)
     env = build.ENVIRONMENTS[args.env]
-    if args.gold:
-        env = replace(env, gold_dir=args.gold)
+    env = replace(env, gold_dir=args.gold or env.gold_dir, multiline=env.multiline and not args.split)
     if args.command == "build":
         tables = build.build(spark, args.raw, env, args.day)
         return build.build_summary(
@@ -48,9 +50,9 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> DataFrame |
         )
     if args.command == "profile":
         sources = [
-            (spec.filename, read_source(spark, args.raw, name), spec.outlier_column)
+            (spec.filename, raw, spec.outlier_column)
             for name, spec in SOURCES.items()
-            if spec.semicolon
+            if spec.semicolon and (raw := read_raw(spark, args.raw, name, env.multiline)) is not None
         ]
         report = quality.profile_sources(sources)
         if args.out:
@@ -63,8 +65,8 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> DataFrame |
         )
         return export_result(analytics.consolidated(fact, lines, fares), args.out or f"{env.gold_dir}/resultats")
     if args.command == "land":
-        return land_bronze(spark, args.raw, args.out or f"{env.gold_dir}/bronze", args.day)
-    return stage_tables(spark, args.raw, args.out)
+        return land_bronze(spark, args.raw, args.out or f"{env.gold_dir}/bronze", args.day, env.multiline)
+    return stage_tables(spark, args.raw, args.out, env.multiline)
 
 
 def main() -> None:

@@ -53,16 +53,15 @@ add(
 
 def _shape_lists(v) -> DataFrame:
     lists = gtfs.shape_polylines(v.shapes, gtfs.trip_shapes(v.trips, v.basic_routes))
-    return lists.select("shape_id", "part", F.posexplode("points").alias("rang", "p")).select(
-        "shape_id", "part", "rang", "p.lat", "p.lon"
+    return lists.select("shape_id", F.posexplode("points").alias("rang", "p")).select(
+        "shape_id", "rang", "p.lat", "p.lon"
     )
 
 
 add(
     "dp12_shape_lists",
     _shape_lists,
-    """SELECT shape_id, CAST(seq // 10000 AS BIGINT) AS part,
-        CAST(row_number() OVER (PARTITION BY shape_id, seq // 10000 ORDER BY seq) - 1 AS INTEGER) AS rang,
+    """SELECT shape_id, CAST(row_number() OVER (PARTITION BY shape_id ORDER BY seq) - 1 AS INTEGER) AS rang,
         latitude AS lat, longitude AS lon FROM shape_pts WHERE shape_id IN (SELECT shape_id FROM rail)""",
 )
 add(
@@ -146,7 +145,7 @@ add(
     lambda v: _stop_rows(messages.finnish_messages(v.live_fi, F.lit(NOW).cast("bigint")), "trip_id", "pays"),
     """SELECT trip_id, 'FI' AS pays, CAST(row_number() OVER (PARTITION BY trip_id ORDER BY premier) - 1 AS INTEGER) AS rang,
         stop_id, arrival_time, arrival_delay, departure_time, departure_delay FROM (
-        SELECT user_id||'_2024010'||(block + 1) AS trip_id, CAST(k AS VARCHAR) AS stop_id, MIN(event_id) AS premier,
+        SELECT user_id||'_'||strftime(make_timestamp(block * 604800000000), '%Y%m%d') AS trip_id, CAST(k AS VARCHAR) AS stop_id, MIN(event_id) AS premier,
           arg_max(sec, event_id) FILTER (WHERE event_type = 'view') AS arrival_time,
           arg_max(d, event_id) FILTER (WHERE event_type = 'view') AS arrival_delay,
           arg_max(sec, event_id) FILTER (WHERE event_type <> 'view') AS departure_time,
@@ -365,14 +364,32 @@ def quantile_sql(slots: str = "(0), (43200)", slide: int = 43200, keep: str = "t
 
 
 add("str11_latency_p95", _p95, quantile_sql())
+
+
+def _sketch_errors(v) -> DataFrame:
+    """Windows whose approximate 95th percentile has not the rank it should have, give or take 1 in 1,000."""
+    keys = ["debut", "path"]
+    sketch = _start(accesslog.latency_quantiles(v.log, 0.95, "1 day", "12 hours", 10_000)).drop("fin")
+    name = next(c for c in sketch.columns if c not in keys)
+    starts = [F.floor(F.unix_timestamp("ts") / 43_200) * 43_200 - o for o in (0, 43_200)]
+    log = v.log.withColumn("debut", F.explode(F.array(*starts))).withColumn("path", accesslog.path_template(F.col("path")))
+    met = log.join(sketch, keys).groupBy(*keys).agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("duration_s") <= F.col(name) + 1e-9).alias("upto"),
+        F.count_if(F.col("duration_s") < F.col(name) - 1e-9).alias("below"),
+    )
+    slack = F.col("n") / 1000 + 1
+    wrong = (F.col("upto") < 0.95 * F.col("n") - slack) | (F.col("below") > 0.95 * F.col("n") + slack)
+    return met.agg(F.count_if(wrong).alias("ecarts"))
 add(
     "str11_latency_p95_sketch",
-    lambda v: _start(accesslog.latency_quantiles(v.log, 0.95, "1 day", "12 hours", 10_000)).drop("fin"),
+    lambda v: _sketch_errors(v),
+    """SELECT CAST(0 AS BIGINT) AS ecarts""",
 )
 add(
     "str12_quota_breaches",
-    lambda v: _start(accesslog.quota_breaches(v.log, "api_key", 2, "1 hour")),
-    """SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS debut, api_key AS appelant, template AS path, COUNT(*) AS n
+    lambda v: _start(accesslog.quota_breaches(v.log, "api_key", 2, "1 day")),
+    """SELECT CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS debut, api_key AS appelant, template AS path, COUNT(*) AS n
         FROM log GROUP BY ALL HAVING COUNT(*) > 2""",
 )
 add(
@@ -404,7 +421,11 @@ add(
 )
 add(
     "dq4_outliers_sketch",
-    lambda v: quality.outlier_count(v.table("lineitem"), "l_extendedprice", "lineitem", accuracy=10_000),
+    # The approximate count is off by one row in ten thousand at most.
+    lambda v: quality.outlier_count(v.table("lineitem"), "l_extendedprice", "lineitem", accuracy=10_000)
+    .crossJoin(v.table("lineitem").agg(F.count("*").alias("rows")))
+    .select("colonne", (F.abs(F.col("valeur") - F.col("rows") * 0.01) <= 1 + F.col("rows") / 10_000).alias("proche")),
+    "SELECT 'l_extendedprice' AS colonne, true AS proche",
 )
 
 

@@ -47,7 +47,7 @@ def _streamed(v: Views, table: str) -> StreamViews:
 def _published(v: Views) -> DataFrame:
     """Snapshots to resolved message lines, through a stream."""
     out = scratch_dir(v.spark, "messages")
-    stop_map = v.written("stop_map", messages.last_map_entries(v.stop_map))
+    stop_map = v.written("stop_map", messages.trip_timetables(v.stop_map))
 
     def to_messages(feeds: DataFrame) -> DataFrame:
         return messages.trip_messages(

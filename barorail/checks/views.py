@@ -1,7 +1,8 @@
 """The given tables seen as the library's inputs.
 
 Names, positions and times follow from the columns by plain arithmetic, so the same inputs can be
-stated in SQL (``sql.py``). No row of a table is left out.
+stated in SQL (``sql.py``). Every table is read whole; a source that is about some kinds of row only, such
+as disruptions or one of the station lists, takes all rows of those kinds.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from ..session import scratch_dir, tune
 
 NOW = 1705363200  # 2024-01-16 00:00 UTC, inside the period of the events
 AS_OF = datetime.date(2024, 1, 31)
-# Event ids per trip block: the hard bound on the stops of one trip, whatever one user's share.
-TRIP_BLOCK = 10_000
+# A trip is what one user does in one week.
+WEEK = 604_800
 
 
 def _text(*parts) -> Column:
@@ -364,7 +365,7 @@ class Views:
             .when(pays == "SE", _text("9022", F.lpad(k.cast("string"), 12, "0")))
             .otherwise(k.cast("string"))
         )
-        block = F.floor(F.col("event_id") / TRIP_BLOCK).cast("bigint")
+        block = F.floor(F.unix_timestamp("ts") / WEEK).cast("bigint")
         trip = (
             F.when(pays == "FR", _text("OCESN", user, "F", block))
             .when(pays == "NL", _text(user, "-", block + 1))
@@ -430,7 +431,7 @@ class Views:
     def alerts(self) -> DataFrame:
         """One document per view event; some have no French text."""
         n = F.get_json_object("props", "$.k").cast("bigint")
-        block = F.floor(F.col("event_id") / TRIP_BLOCK).cast("bigint")
+        block = F.floor(F.unix_timestamp("ts") / WEEK).cast("bigint")
         language = F.when(n > 30, "fr").otherwise("it")
         translations = F.array(
             F.struct(F.lit("de").alias("language"), _text("Meldung ", n).alias("text")),
@@ -490,14 +491,14 @@ class Views:
             F.when(F.col("event_type") != "click", n / 4).alias("differenceInMinutes"),
             (F.col("event_type") == "error").alias("cancelled"),
         )
-        block = F.floor(F.col("event_id") / TRIP_BLOCK).cast("bigint")
+        block = F.floor(F.unix_timestamp("ts") / WEEK).cast("bigint")
         return (
             self.table("events")
             .groupBy("user_id", block.alias("block"))
             .agg(F.sort_array(F.collect_list(F.struct("event_id", row.alias("r")))).alias("_rows"))
             .select(
                 F.col("user_id").alias("trainNumber"),
-                _text("2024-01-0", F.col("block") + 1).alias("departureDate"),
+                F.date_format(F.timestamp_seconds(F.col("block") * WEEK), "yyyy-MM-dd").alias("departureDate"),
                 F.transform("_rows", lambda r: r["r"]).alias("timeTableRows"),
             )
         )

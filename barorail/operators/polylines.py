@@ -5,22 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-POINTS_PER_PART = 10_000
 
+def polylines(points: DataFrame, keys: list[str], seq: str) -> DataFrame:
+    """Points in sequence order as ``points`` arrays, one row per key.
 
-def polylines(points: DataFrame, keys: list[str], seq: str, per_part: int = POINTS_PER_PART) -> DataFrame:
-    """Points in sequence order as ``points`` arrays, one row per key and ``part``.
-
-    A line whose sequence numbers stay below ``per_part`` is the single part 0. A longer one goes
-    on in parts 1, 2, ..., so no task ever holds more than ``per_part`` points of a line.
+    A line is as long as the track it draws. Whoever needs no list works on the points themselves.
     """
-    part = F.coalesce(F.floor(F.col(seq) / F.lit(per_part)), F.lit(-1)).cast("long")
-    rows = points.withColumn("part", part).groupBy(*keys, "part").agg(
+    rows = points.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(seq, "latitude", "longitude"))).alias("_points")
     )
     return rows.select(
         *keys,
-        "part",
         F.transform(
             "_points", lambda p: F.struct(p["latitude"].alias("lat"), p["longitude"].alias("lon"))
         ).alias("points"),

@@ -34,9 +34,11 @@ ENVIRONMENTS = {
 }
 
 
-def station_slices(spark: SparkSession, raw_dir: str, variant: str = "local") -> list[DataFrame]:
+def station_slices(
+    spark: SparkSession, raw_dir: str, variant: str = "local", multiline: bool = True
+) -> list[DataFrame]:
     def source(name: str) -> DataFrame:
-        return read_source(spark, raw_dir, name)
+        return read_source(spark, raw_dir, name, multiline)
 
     return [
         stations.stations_fr(source("gares"), variant),
@@ -70,7 +72,7 @@ def build(
     if env.sample_axes is not None:
         fact = harmonize.dev_sample(fact, env.sample_axes, env.sample_months)
     fact = store("fact_regularite", fact, "type_ligne", "axe_label", "mois")
-    dim = store("dim_stations_multipays", stations.stations_all(station_slices(spark, raw_dir)), "id_gare")
+    dim = store("dim_stations_multipays", stations.stations_all(station_slices(spark, raw_dir, multiline=env.multiline)), "id_gare")
 
     store("dim_stop_uic_ch", gtfs.stop_uic(source("ch_stops")))
     store("dim_rail_routes_ch", gtfs.rail_routes(source("ch_routes")))

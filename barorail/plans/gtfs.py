@@ -83,7 +83,7 @@ def shape_points(points: DataFrame) -> DataFrame:
 
 
 def shape_polylines(points: DataFrame, shapes_of_trips: DataFrame) -> DataFrame:
-    """Ordered point lists of the shapes that rail trips use; see ``polylines`` for ``part``."""
+    """Ordered point lists of the shapes that rail trips use, one row per shape."""
     used = shape_points(points).join(shapes_of_trips, "shape_id", "left_semi")
     return polylines(used, ["shape_id"], "shape_pt_sequence")
 

@@ -71,49 +71,46 @@ def last_map_entries(stop_map: DataFrame) -> DataFrame:
     )
 
 
+def trip_timetables(stop_map: DataFrame) -> DataFrame:
+    """One row per trip with its timetable as a map from stop number to entry."""
+    entry = F.struct("stop_id", "arrival_seconds", "departure_seconds")
+    entries = F.collect_list(F.struct(F.col("stop_sequence"), entry))
+    known = last_map_entries(stop_map).filter(F.col("stop_sequence").isNotNull())
+    return known.groupBy("trip_id").agg(F.map_from_entries(entries).alias("timetable"))
+
+
 def resolved_stops(
-    entities: DataFrame,
-    stop_map: DataFrame,
-    key: list[str],
-    tz: str = SEQUENCE_TZ,
-    map_is_reduced: bool = False,
+    entities: DataFrame, stop_map: DataFrame, tz: str = SEQUENCE_TZ, map_is_reduced: bool = False
 ) -> DataFrame:
     """``stops`` with ids and delays filled from the timetable.
 
-    Updates meet the timetable one by one on trip and stop number, both sides spread by that pair,
-    and go back into the list they came from; a list is never longer than the message it was in.
-    ``key`` names the columns that identify a message. A stream reduces the timetable once with
-    ``last_map_entries``, writes it, and says so by ``map_is_reduced``.
+    The timetable is reduced to one row per trip and meets the messages on the trip; stops are filled
+    inside the array they came in, so messages stay apart however equal they are. A stream reduces the
+    timetable once with ``trip_timetables``, writes it, and says so by ``map_is_reduced``.
     """
-    entries = stop_map if map_is_reduced else last_map_entries(stop_map)
-    entry = entries.withColumnsRenamed({"stop_id": "_map_stop", "stop_sequence": "_seq"})
-    carried = [c for c in entities.columns if c not in (*key, "updates")]
+    timetables = stop_map if map_is_reduced else trip_timetables(stop_map)
     # Midnight is worked out once per message, not for every time of every stop.
     dated = entities.withColumn("_midnight", midnight_epoch(F.col("start_date"), tz))
-    updates = dated.select(*dated.columns, F.posexplode("updates").alias("_pos", "_u")).drop("updates")
-    met = updates.withColumn("_seq", F.coalesce(F.col("_u.stop_sequence"), F.lit(0))).join(
-        entry, ["trip_id", "_seq"], "left"
-    )
-    published = F.col("_u.stop_id")
-
-    def delay(event: str, seconds: str) -> Column:
-        at = F.col(f"_u.{event}.time")
-        return F.coalesce(F.col(f"_u.{event}.delay"), at - (F.col("_midnight") + F.col(seconds)))
-
-    stop = _stop(
-        F.when(published != "", published).otherwise(F.coalesce("_map_stop", F.lit(""))),
-        F.col("_u.arrival.time"),
-        delay("arrival", "arrival_seconds"),
-        F.col("_u.departure.time"),
-        delay("departure", "departure_seconds"),
-    )
-    # All columns but the stops are the same within a message, so they can all be the group.
-    grouped = met.groupBy(*key, *carried).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_pos"), stop.alias("stop")))).alias("_stops")
-    )
-    return grouped.select(
-        *key, *carried, F.transform("_stops", lambda s: s["stop"]).cast(STOPS).alias("stops")
-    )
+    met = dated.join(timetables.withColumnRenamed("timetable", "_timetable"), "trip_id", "left")
+
+    def stop(update: Column) -> Column:
+        entry = F.try_element_at("_timetable", F.coalesce(update["stop_sequence"], F.lit(0)))
+
+        def delay(event: str, seconds: str) -> Column:
+            planned = F.col("_midnight") + entry[seconds]
+            return F.coalesce(update[event]["delay"], update[event]["time"] - planned)
+
+        published = update["stop_id"]
+        return _stop(
+            F.when(published != "", published).otherwise(F.coalesce(entry["stop_id"], F.lit(""))),
+            update["arrival"]["time"],
+            delay("arrival", "arrival_seconds"),
+            update["departure"]["time"],
+            delay("departure", "departure_seconds"),
+        )
+
+    stops = F.transform("updates", stop).cast(STOPS)
+    return met.withColumn("stops", stops).drop("updates", "_midnight", "_timetable")
 
 
 def as_messages(entities: DataFrame, country: str | None, captured_at: Column | None = None) -> DataFrame:
@@ -143,7 +140,6 @@ def trip_messages(
     rail_routes: DataFrame | None = None,
     rail_trips: DataFrame | None = None,
     stop_map: DataFrame | None = None,
-    key: list[str] | None = None,
     tz: str = SEQUENCE_TZ,
     captured_at: Column | None = None,
     map_is_reduced: bool = False,
@@ -153,8 +149,7 @@ def trip_messages(
     if stop_map is None:
         with_stops = published_stops(entities)
     else:
-        message = key or ["source_file", "feed_timestamp", "entity_pos"]
-        with_stops = resolved_stops(entities, stop_map, message, tz, map_is_reduced)
+        with_stops = resolved_stops(entities, stop_map, tz, map_is_reduced)
     return as_messages(with_stops, country, captured_at)
 
 

@@ -89,7 +89,9 @@ def outlier_count(
 
 def _fingerprint(df: DataFrame) -> Column:
     """Equal for equal rows, NULLs included; 64 characters travel instead of the row."""
-    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), 256)
+    whole = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    options = {"timestampFormat": whole, "timestampNTZFormat": whole, "ignoreNullFields": "false"}
+    return F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), options), 256)
 
 
 def row_profile(df: DataFrame, source: str) -> DataFrame:

@@ -434,7 +434,7 @@ def itinerary(
 
 
 def itinerary_lists(route: DataFrame) -> DataFrame:
-    """The itinerary as point lists, one row per train, side and ``part``."""
+    """The itinerary as point lists, one row per train and side."""
     return polylines(route, ["trip_id", "troncon"], "rang")
 
 

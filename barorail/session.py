@@ -58,13 +58,9 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A path for a fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session without that setting, as in tests, gets a temporary folder instead.
+    A cluster sets it; a session without it, as in tests, gets a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
-        root = _local_root()
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -7,18 +7,19 @@ import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.readers import read_source
+from ..sources.readers import read_raw
 from ..sources.registry import SOURCES
 
 
 def replace_table(df: DataFrame, path: str, cluster_by: tuple[str, ...] = ()) -> None:
     """Replace a table in full.
 
-    ``cluster_by`` orders it by columns that tell nearly every row apart, so that a lookup reads
-    few files and no range of one hot value lands in a single task.
+    ``cluster_by`` orders each file by columns that tell nearly every row apart, so that a lookup reads
+    one run of rows a file and no hot value lands in a single task. Nothing upstream runs twice, as it
+    would for finding ranges.
     """
     if cluster_by:
-        df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+        df = df.repartition(*cluster_by).sortWithinPartitions(*cluster_by)
     df.write.mode("overwrite").parquet(path)
 
 
@@ -44,12 +45,17 @@ def export_allowlist(df: DataFrame, column: str, path: str) -> None:
     df.select(F.col(column).cast("string").alias("value")).write.mode("overwrite").text(path)
 
 
-def land_bronze(spark: SparkSession, raw_dir: str, bronze_dir: str, day: datetime.date) -> list[str]:
-    """Copy every source that is there to ``operator/category/dt=day/file``; same-day reruns replace."""
+def land_bronze(
+    spark: SparkSession, raw_dir: str, bronze_dir: str, day: datetime.date, multiline: bool = True
+) -> list[str]:
+    """Copy every source that is there, with all its columns, to ``operator/category/dt=day/file``.
+
+    Same-day reruns replace, also by a file without rows.
+    """
     landed = []
     for name, spec in SOURCES.items():
-        df = read_source(spark, raw_dir, name)
-        if df.isEmpty():
+        df = read_raw(spark, raw_dir, name, multiline)
+        if df is None:
             continue
         target = f"{bronze_dir.rstrip('/')}/{spec.operator}/{spec.category}/dt={day.isoformat()}/{name}"
         df.write.mode("overwrite").parquet(target)
@@ -67,12 +73,19 @@ def land_partitioned(df: DataFrame, path: str) -> None:
     ).parquet(path)
 
 
-def stage_tables(spark: SparkSession, raw_dir: str, database: str | None = None) -> list[str]:
-    """One staging table per source, replaced in full, named after the file."""
+def stage_tables(
+    spark: SparkSession, raw_dir: str, database: str | None = None, multiline: bool = True
+) -> list[str]:
+    """One staging table per source with every column found, replaced in full, named after the file.
+
+    A source without a file is an empty table of the columns it should have.
+    """
     tables = []
     for name, spec in SOURCES.items():
         table = f"{database}.{spec.table}" if database else spec.table
-        df = read_source(spark, raw_dir, name)
+        df = read_raw(spark, raw_dir, name, multiline)
+        if df is None:
+            df = spark.createDataFrame([], spec.schema)
         # Accents, blanks and apostrophes are kept as they are in the column names.
         df.write.mode("overwrite").format("parquet").saveAsTable(table)
         tables.append(table)

@@ -55,6 +55,24 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return spark.read.schema(schema).json(path)
 
 
+def read_raw(spark: SparkSession, raw_dir: str, name: str, multiline: bool = True) -> DataFrame | None:
+    """Every column of a raw file as it stands, as text; None where there is no file."""
+    spec: SourceSpec = SOURCES[name]
+    path = f"{raw_dir.rstrip('/')}/{spec.filename}"
+    try:
+        if spec.filename.endswith(".json"):
+            return spark.read.json(path, multiLine=True, primitivesAsString=True)
+        if spec.semicolon:
+            return spark.read.csv(
+                path, header=True, sep=";", multiLine=multiline, quote='"', escape='"', encoding="UTF-8"
+            )
+        return spark.read.csv(path, header=True, quote='"', escape='"')
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error.getCondition()):
+            raise
+        return None
+
+
 def read_source(spark: SparkSession, raw_dir: str, name: str, multiline: bool = True) -> DataFrame:
     """A registered source; one that is absent is an empty table, not an error."""
     spec: SourceSpec = SOURCES[name]

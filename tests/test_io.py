@@ -133,7 +133,7 @@ def test_landing_and_staging(spark, tmp_path):
     assert len(names) == 25
     assert spark.table("staging.regularite_tgv").count() == 4
     writers.stage_tables(spark, str(raw), "staging")
-    assert spark.table("staging.gares").columns == S.GARES.names
+    assert sorted(spark.table("staging.gares").columns) == sorted(S.GARES.names)
     spark.sql("DROP DATABASE staging CASCADE")
 
 
@@ -150,3 +150,17 @@ def test_commands(spark, tmp_path):
     assert rows[("regularite_tgv.csv", "lignes", "")] == 4
     assert rows[("regularite_tgv.csv", "nuls", "Retard moyen de tous les trains à l'arrivée")] == 1
     assert len(run(spark, ["land", "--raw", str(raw), "--out", str(tmp_path / "bronze")])) == 11
+
+
+def test_columns_nobody_declared_are_kept(spark, tmp_path):
+    from barorail.__main__ import run
+
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "regularite_ter.csv").write_text("Date;Extra;Région\n2024-01;a;X\n2024-01;b;X\n2024-01;b;X\n")
+    (raw / "ch_routes.csv").write_text("route_id,colour\n")
+    (path, empty) = writers.land_bronze(spark, str(raw), str(tmp_path / "bronze"), datetime.date(2024, 5, 1))
+    assert spark.read.parquet(path).columns == ["Date", "Extra", "Région"]
+    assert spark.read.parquet(empty).columns == ["route_id", "colour"]
+    report = {(r.mesure, r.colonne): r.valeur for r in run(spark, ["profile", "--raw", str(raw), "--split"]).collect()}
+    assert report[("colonnes", "")] == 3 and report[("doublons", "")] == 1

@@ -62,3 +62,12 @@ def test_column_tests(spark):
     assert quality.not_null_violations(df, "k").count() == 1
     assert [tuple(r) for r in quality.unique_violations(df, "k").collect()] == [("a", 2)]
     assert [tuple(r) for r in quality.accepted_values_violations(df, "pays", ["FR"]).collect()] == [("XX", 1)]
+
+
+def test_rows_a_microsecond_apart_are_not_duplicates(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (1, TIMESTAMP '2024-01-01 00:00:00.000001'), (1, TIMESTAMP '2024-01-01 00:00:00.000002'),"
+        " (1, TIMESTAMP '2024-01-01 00:00:00.000002'), (2, NULL), (2, NULL) AS t(a, b)"
+    )
+    assert quality.duplicate_count(df, "s").head().valeur == 2
+    assert _report(quality.profile(df, "s"))[("doublons", "")] == 2

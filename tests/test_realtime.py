@@ -346,3 +346,13 @@ def test_missing_country_is_french(spark):
     df = spark.createDataFrame([("a", None), ("b", "IT")], "trip_id string, pays string")
     assert {r.trip_id: r.pays for r in messages.with_default_country(df).collect()} == {"a": "FR", "b": "IT"}
     assert messages.with_default_country(df.drop("pays")).select("pays").distinct().head()[0] == "FR"
+
+
+def test_equal_snapshots_stay_two_messages(spark, tmp_path):
+    feed = _feed([{"stop_sequence": 1, "arrival": {"time": 5}}])
+    feeds = _read_feed(spark, tmp_path, feed)
+    feeds = feeds.unionByName(feeds)
+    stop_map = spark.createDataFrame([], S.STOP_SEQUENCE_MAP)
+    for timetable in (None, stop_map):
+        rows = messages.trip_messages(feeds, "PL", stop_map=timetable).collect()
+        assert [len(r.stops) for r in rows] == [1, 1]

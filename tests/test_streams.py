@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from barorail.plans.messages import trip_timetables
 from barorail import schemas as S
 from barorail.plans import accesslog, messages
 from barorail.sources import readers
@@ -108,7 +109,7 @@ def test_stream_of_snapshots_equals_the_batch(spark, tmp_path):
         _drop(folders["PL"], f"{i}.json", [_feed("p", 1704900000 + i, 1)], 1000 + i)
         _drop(folders["FR"], f"{i}.json", [_feed("f", 1704900000 + i, 1)], 1000 + i)
         _drop(folders["DE"], f"{i}.json", [_feed("rail" if i else "bus", 1704900000 + i, 1)], 1000 + i)
-    stop_map = spark.createDataFrame([("p", 1, "S", 3600, None)], S.STOP_SEQUENCE_MAP)
+    stop_map = trip_timetables(spark.createDataFrame([("p", 1, "S", 3600, None)], S.STOP_SEQUENCE_MAP))
     rail = spark.createDataFrame([("rail",)], "trip_id string")
 
     def shape(feeds):

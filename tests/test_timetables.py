@@ -89,16 +89,15 @@ def test_shape_lists_only_for_used_shapes(spark):
     )
     used = spark.createDataFrame([("t2", "s2")], "trip_id string, shape_id string")
     (row,) = gtfs.shape_polylines(points, used).collect()
-    assert (row.shape_id, row.part) == ("s2", 0)
+    assert row.shape_id == "s2"
     assert [tuple(p) for p in row.points] == [(52.1, 4.1), (52.3, 4.3)]
     assert gtfs.shape_points(points).count() == 3
 
 
-def test_long_lines_go_on_in_parts(spark):
+def test_a_line_is_one_list_whatever_its_numbers(spark):
     rng = random.Random(1)
-    rows = [("a", i, float(i), -float(i)) for i in range(2500)]
+    rows = [("a", 6000 * i, float(i), -float(i)) for i in range(2500)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "shape_id string, seq int, latitude double, longitude double")
-    parts = sorted(polylines(df, ["shape_id"], "seq", per_part=1000).collect(), key=lambda r: r.part)
-    assert [len(p.points) for p in parts] == [1000, 1000, 500]
-    assert [p.lat for part in parts for p in part.points] == [float(i) for i in range(2500)]
+    (line,) = polylines(df, ["shape_id"], "seq").collect()
+    assert [p.lat for p in line.points] == [float(i) for i in range(2500)]
