@@ -15,7 +15,7 @@ from .graph import components, hung
 
 PARTS = 4
 #: Rows of a bucket that are compared at once; larger buckets are cut into blocks of about this size.
-BLOCK = 1024
+BLOCK = 256
 
 
 class CapFilters:
