@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 # One value in so many becomes a splitter, up to a stride times a stride per group.
 VALUES_PER_SPLITTER = 10_000
-STRIDE = 16
+STRIDE = 64
 
 
 def _meet(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

@@ -14,6 +14,24 @@ from ..operators.ordered import spearman
 ALPHA = 0.05
 
 
+def log_beta(a: float, b: float) -> float:
+    """Logarithm of the beta function, without taking large logarithms from each other."""
+    a, b = min(a, b), max(a, b)
+    if b < 10:
+        return math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
+
+    def rest(x: float) -> float:
+        """What Stirling's formula leaves of log gamma, for x of 10 or more."""
+        y = 1.0 / (x * x)
+        return (1 / 12 - y * (1 / 360 - y * (1 / 1260 - y * (1 / 1680 - y / 1188)))) / x
+
+    if a < 10:
+        return math.lgamma(a) + rest(b) - rest(a + b) + a - a * math.log(a + b) + (b - 0.5) * math.log1p(-a / (a + b))
+    share = a / (a + b)
+    shift = (a - 0.5) * math.log(share) + b * math.log1p(-share) - 0.5 * math.log(b)
+    return shift + 0.5 * math.log(2 * math.pi) + rest(a) + rest(b) - rest(a + b)
+
+
 def incomplete_beta(a: float, b: float, x: float) -> float:
     """Regularised incomplete beta function by its continued fraction."""
     if x <= 0.0:
@@ -23,13 +41,13 @@ def incomplete_beta(a: float, b: float, x: float) -> float:
     if x > (a + 1.0) / (a + b + 2.0):
         return 1.0 - incomplete_beta(b, a, 1.0 - x)
     tiny = 1e-300
-    scale = math.exp(
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    )
+    scale = math.exp(a * math.log(x) + b * math.log1p(-x) - log_beta(a, b))
     c, d = 1.0, 1.0 / max(abs(1.0 - (a + b) * x / (a + 1.0)), tiny)
     d = math.copysign(d, 1.0 - (a + b) * x / (a + 1.0))
     total = d
-    for m in range(1, 1000):
+    # The fraction needs a number of terms in the order of the root of the larger parameter.
+    terms = 1000 + int(10 * math.sqrt(max(a, b)))
+    for m in range(1, terms):
         for top in (
             m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
             -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
@@ -41,8 +59,8 @@ def incomplete_beta(a: float, b: float, x: float) -> float:
             step = c * d
             total *= step
         if abs(step - 1.0) < 1e-15:
-            break
-    return scale * total / a
+            return scale * total / a
+    raise ArithmeticError(f"no convergence at a={a}, b={b}, x={x}")
 
 
 def f_test_p(f: float | None, between: float, within: float) -> float | None:

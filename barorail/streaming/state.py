@@ -121,3 +121,21 @@ def compact(spark: SparkSession, path: str, upto: int, keys: list[str] | None =
     spark.range(1).select(F.lit(upto).cast("bigint").alias("upto")).write.mode("append").parquet(
         f"{path}/snapshot_log"
     )
+    if last is not None:
+        _remove_folded(spark, path, last)
+
+
+def _remove_folded(spark: SparkSession, path: str, upto: int) -> None:
+    """Remove the changes a snapshot has folded, and the snapshots before it.
+
+    Called with the snapshot before the newest: a reader that began on that one still finds it and all
+    changes after it, so a read may last as long as the time between two snapshots.
+    """
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder, prefix, most in (("changes", "batch_id=", upto), ("snapshots", "upto=", upto - 1)):
+        for status in files.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}/{prefix}*")):
+            name = status.getPath().getName()
+            if int(name[len(prefix) :]) <= most:
+                files.delete(status.getPath(), True)

@@ -133,3 +133,16 @@ def test_rank_test_equals_the_integrated_t_density(rho, n):
 def test_group_descriptives(spark):
     row = stats.group_descriptives(_fact(spark, {"a": [10.0, 20.0]})).head()
     assert (row.n, row.moyenne, row.ecart_type) == (2, 15.0, 5.0)
+
+
+def test_beta_at_large_parameters():
+    from fractions import Fraction
+
+    from barorail.plans.stats import incomplete_beta, log_beta
+
+    # By symmetry one half in the middle, however large the parameters are.
+    for n in (3.0, 40.0, 5e4, 5e6, 5e7):
+        assert abs(incomplete_beta(n, n, 0.5) - 0.5) < 1e-6
+    for a, b in ((2, 3), (7, 40), (15, 15), (12, 90)):
+        exact = Fraction(math.factorial(a - 1) * math.factorial(b - 1), math.factorial(a + b - 1))
+        assert abs(log_beta(a, b) - math.log(exact)) < 1e-12 * abs(math.log(exact))

@@ -69,6 +69,8 @@ def test_compaction_keeps_the_state(spark, tmp_path):
     assert _trips(spark, out) == before == {"t1": ("FR", 2), "t2": ("FR", 1), "t3": ("FR", 3)}
     plan = state._versions(spark, str(out), 1)
     assert {r.batch_id for r in plan.select("batch_id").distinct().collect()} == {0, 1, 2}
+    # What the snapshot before the newest has folded is gone; the rest stays for its readers.
+    assert sorted(p.name for p in (out / "changes").iterdir() if "=" in p.name) == ["batch_id=1", "batch_id=2"]
 
 
 def test_state_is_empty_before_the_first_message(spark, tmp_path):
