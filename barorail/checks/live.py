@@ -140,10 +140,7 @@ add(
           arrival_seconds DESC NULLS LAST, departure_seconds DESC NULLS LAST) AS rn FROM stop_map) WHERE rn = 1) m
         ON m.trip_id = f.trip_id AND m.stop_sequence = f.seq""",
 )
-add(
-    "rt2_finnish_messages",
-    lambda v: _stop_rows(messages.finnish_messages(v.live_fi, F.lit(NOW).cast("bigint")), "trip_id", "pays"),
-    """SELECT trip_id, 'FI' AS pays, CAST(row_number() OVER (PARTITION BY trip_id ORDER BY premier) - 1 AS INTEGER) AS rang,
+FINNISH_SQL = """SELECT trip_id, 'FI' AS pays, CAST(row_number() OVER (PARTITION BY trip_id ORDER BY premier) - 1 AS INTEGER) AS rang,
         stop_id, arrival_time, arrival_delay, departure_time, departure_delay FROM (
         SELECT user_id||'_'||strftime(make_timestamp(block * 604800000000), '%Y%m%d') AS trip_id, CAST(k AS VARCHAR) AS stop_id, MIN(event_id) AS premier,
           arg_max(sec, event_id) FILTER (WHERE event_type = 'view') AS arrival_time,
@@ -151,7 +148,11 @@ add(
           arg_max(sec, event_id) FILTER (WHERE event_type <> 'view') AS departure_time,
           arg_max(d, event_id) FILTER (WHERE event_type <> 'view') AS departure_delay
         FROM (SELECT *, CASE WHEN event_type = 'click' THEN 0 ELSE (late // 15 + 20) * 15 END AS d FROM ev)
-        WHERE event_type <> 'error' GROUP BY 1, 2)""",
+        WHERE event_type <> 'error' GROUP BY 1, 2)"""
+add(
+    "rt2_finnish_messages",
+    lambda v: _stop_rows(messages.finnish_messages(v.live_fi, F.lit(NOW).cast("bigint")), "trip_id", "pays"),
+    FINNISH_SQL,
 )
 add(
     "str6_default_country",

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..plans import gtfs, harmonize, messages
 from ..plans.analytics import consolidated
-from ..plans.realtime import disruption_causes, fresh
+from ..plans.realtime import alert_causes, disruption_causes, fresh
 from ..plans.stations import stations_fi, stations_fr
 from ..schemas import (
+    ALERTS,
     DISRUPTIONS,
     FI_STATIONS,
     GARES,
@@ -25,7 +26,7 @@ from ..sinks import writers
 from ..sources import readers
 from ..streaming import ingest, state, telemetry
 from .facts import FACT, SLICE
-from .live import _FEED, _start, _stop_rows, quantile_sql
+from .live import _FEED, FINNISH_SQL, _start, _stop_rows, quantile_sql
 from .registry import add
 from .views import NOW, Views
 
@@ -221,6 +222,32 @@ def _fi_json(v: Views) -> DataFrame:
     return stations_fi(readers.read_json_lines(v.spark, path, FI_STATIONS))
 
 
+def _array_files(v: Views, df: DataFrame, label: str) -> str:
+    """Files of one JSON array each, one per partition of ``df``."""
+    path = scratch_dir(v.spark, label)
+    rows = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    whole = F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]"))
+    files = rows.groupBy(F.spark_partition_id().alias("file")).agg(whole.alias("value"))
+    files.write.partitionBy("file").text(path)
+    return path
+
+
+add(
+    "src3_station_json_array",
+    lambda v: stations_fi(readers.read_json_array(v.spark, _array_files(v, v.fi_stations, "fi"), FI_STATIONS)),
+    f"SELECT {SLICE} FROM dim_fi",
+)
+add(
+    "src12_live_train_files",
+    lambda v: _stop_rows(
+        messages.finnish_messages(
+            readers.read_live_trains(v.spark, _array_files(v, v.live_fi, "trains")), F.lit(NOW).cast("bigint")
+        ),
+        "trip_id",
+        "pays",
+    ),
+    FINNISH_SQL,
+)
 add("src3_station_json_lines", _fi_json, f"SELECT {SLICE} FROM dim_fi")
 
 
@@ -262,6 +289,23 @@ def _cause_files(v: Views) -> DataFrame:
 
 
 add("src13_disruption_files", _cause_files, "SELECT numero_train, cause, gravite FROM causes")
+add(
+    "src13_disruption_arrays",
+    lambda v: disruption_causes(
+        readers.read_json_array(
+            v.spark, _array_files(v, v.disruptions, "disruptions"), f"event_id bigint, {DISRUPTIONS}"
+        ),
+        ["event_id"],
+    ),
+    "SELECT numero_train, cause, gravite FROM causes",
+)
+add(
+    "src14_alert_arrays",
+    lambda v: alert_causes(
+        readers.read_json_array(v.spark, _array_files(v, v.alerts, "alerts"), f"event_id bigint, {ALERTS}"), ["event_id"]
+    ),
+    "SELECT trip_id, cause FROM avis",
+)
 
 
 def _gold(v: Views) -> DataFrame:
