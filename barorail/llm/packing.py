@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import CACHED, CACHED_CHARS, SPACE
+from .bpe import CACHED_CHARS, SPACE
 from .common import map_rows, saved
 from .hashing import Recent
 
@@ -20,6 +20,8 @@ CHUNK = re.compile(rf"[^{SPACE}]+")
 #: Separators that str.split takes for white space and the tokenizer does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 END_ID = 1
+#: Entries of a generation of either memory: both generations of both come to some 600 MB a worker.
+CHUNKS_KEPT, WORDS_KEPT = 1_000_000, 600_000
 #: Marks that are tokens of their own whatever word they follow; and where letters stop being simple.
 MARKS, SIMPLE = ".,;:!?", chr(0x130)
 
@@ -39,7 +41,11 @@ class WordTokenizer:
         self.library = Tokenizer.from_str(config)
         self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.chunks, self.words = Recent(CACHED), Recent(CACHED)
+        self.chunks, self.words = Recent(CHUNKS_KEPT), Recent(WORDS_KEPT)
+        suffix = getattr(self.library.model, "end_of_word_suffix", None)
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.ending = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ending[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
@@ -59,8 +65,8 @@ class WordTokenizer:
 
     def _looked_up(self, chunks: set[str]) -> dict[str, bytes]:
         told: dict[str, bytes] = {}
-        parts: dict[str, tuple[str, str]] = {}
-        new: dict[str, bytes] = {}
+        words: dict[str, list[tuple[str, str]]] = {}
+        others = []
         for chunk in chunks:
             ids = self.chunks.get(chunk)
             if ids is not None:
@@ -68,25 +74,48 @@ class WordTokenizer:
                 continue
             word = chunk.rstrip(MARKS)
             # Letters up to U+012F have one simple lower case and no other spelling.
-            if word and max(word) < SIMPLE and word.isalpha():
-                parts[chunk] = word.lower(), chunk[len(word) :]
+            if word.isalpha() and (word.isascii() or max(word) < SIMPLE):
+                words.setdefault(word.lower(), []).append((chunk, chunk[len(word) :]))
             else:
-                parts[chunk] = chunk, ""
-            for part in parts[chunk]:
-                if part not in new:
-                    new[part] = b"" if not part else self.words.get(part)
-        unknown = [w for w, ids in new.items() if ids is None]
-        if unknown:
-            for word, coded in zip(unknown, self.library.encode_batch_fast(unknown, add_special_tokens=False)):
-                new[word] = np.array(coded.ids, "<u4").tobytes()
-                if len(word) <= CACHED_CHARS:
-                    self.words.put(word, new[word])
-        for chunk, (word, marks) in parts.items():
-            told[chunk] = new[word] + new[marks]
+                others.append(chunk)
+        for chunk, coded in zip(others, self._encoded(others)):
+            told[chunk] = coded
+        known = {w: self.words.get(w) for w in words}
+        new = [w for w, ids in known.items() if ids is None]
+        for word, ids in zip(new, self._encoded_words(new)):
+            known[word] = ids
+            if len(word) <= CACHED_CHARS:
+                self.words.put(word, ids)
+        for word, found in words.items():
+            for chunk, marks in found:
+                told[chunk] = known[word] + self._marks(marks) if marks else known[word]
+        for chunk in (*others, *(chunk for found in words.values() for chunk, _ in found)):
             if len(chunk) <= CACHED_CHARS:
                 self.chunks.put(chunk, told[chunk])
         return told
 
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        coded = self.library.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+        return [np.array(e.ids, "<u4").tobytes() for e in coded]
+
+    def _encoded_words(self, words: list[str]) -> list[bytes]:
+        """Words of letters: one text for the library, cut where its tokens end a word."""
+        if not words:
+            return []
+        ids = np.frombuffer(self._encoded([" ".join(words)])[0], "<u4")
+        ends = (4 * (np.flatnonzero(self.ending[ids]) + 1)).tolist()
+        if len(ends) != len(words):
+            return self._encoded(words)
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _marks(self, marks: str) -> bytes:
+        found = self.words.get(marks)
+        if found is None:
+            (found,) = self._encoded([marks])
+            self.words.put(marks, found)
+        return found
+
 
 _tokenizers: dict[int, WordTokenizer] = {}
 
