@@ -120,6 +120,14 @@ class WordTokenizer:
 _tokenizers: dict[int, WordTokenizer] = {}
 
 
+def _tokenizer(config: str) -> WordTokenizer:
+    """The tokenizer of a worker, kept with what it has met from task to task."""
+    key = zlib.crc32(config.encode())
+    if key not in _tokenizers:
+        _tokenizers[key] = WordTokenizer(config)
+    return _tokenizers[key]
+
+
 def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 4096, keep_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, and with ``keep_ids`` the ids, of every document.
 
@@ -131,10 +139,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 4096, kee
         shared = docs.sparkSession.sparkContext.broadcast(f.read())  # its size is that of the vocabulary
 
     def rows(doc_ids, texts) -> Iterator[tuple]:
-        key = zlib.crc32(shared.value.encode())
-        if key not in _tokenizers:
-            _tokenizers[key] = WordTokenizer(shared.value)
-        tokenizer = _tokenizers[key]
+        tokenizer = _tokenizer(shared.value)
         end = np.array([END_ID], "<u4").tobytes()
         for doc_id, text in zip(doc_ids, texts):
             ids = tokenizer.encode(text or "") + end
