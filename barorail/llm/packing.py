@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -128,6 +129,11 @@ def _tokenizer(config: str) -> WordTokenizer:
     return _tokenizers[key]
 
 
+def _forget() -> None:
+    """Give back what the tokenizers of this worker have met: what comes after them needs the memory."""
+    _tokenizers.clear()
+
+
 def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 4096, keep_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, and with ``keep_ids`` the ids, of every document.
 
@@ -146,7 +152,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 4096, kee
             for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at : at + 4 * capacity]
                 told = doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)
-                yield (*told, np.frombuffer(part, "<u4").tolist()) if keep_ids else told
+                yield (*told, np.frombuffer(part, "<i4")) if keep_ids else told
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
@@ -232,6 +238,7 @@ def pack(pieces: DataFrame, capacity: int = 4096, group_rows: int = 20_000) -> D
     dealt = pieces.withColumn("_group", F.pmod(F.monotonically_increasing_id(), F.lit(parts)))
 
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+        _forget()
         bins, offsets = best_two_fit(rows["length"].to_numpy(), capacity)
         out = rows.drop(columns="_group")
         return out.assign(sequence_id=(int(key[0]) << 32) + bins, offset=offsets)
@@ -241,8 +248,33 @@ def pack(pieces: DataFrame, capacity: int = 4096, group_rows: int = 20_000) -> D
 
 
 def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = 4096, keep_ids: bool = False) -> DataFrame:
-    """Pieces of all documents (see ``token_pieces``) with the sequence and the place each one got."""
-    return pack(saved(token_pieces(docs, tokenizer_file, capacity, keep_ids), "pieces"), capacity)
+    """Pieces of all documents (see ``token_pieces``) with the sequence and the place each one got.
+
+    Only lengths are gathered to be packed; ids stay with the written pieces and meet their places by a join.
+    """
+    pieces = token_pieces(docs, tokenizer_file, capacity, keep_ids)
+    if not keep_ids:
+        return pack(saved(pieces, "pieces"), capacity)
+    pieces = saved(pieces.withColumn("_piece", F.monotonically_increasing_id()), "pieces")
+    places = saved(pack(pieces.select("_piece", "length"), capacity).drop("length"), "places")
+    told = [c for c in pieces.columns if c not in ("_piece", "ids")]
+    return pieces.join(places, "_piece").select(*told, "sequence_id", "offset", "ids")
+
+
+def packed_digests(packed: DataFrame) -> DataFrame:
+    """Pieces that were packed with their ids, with ids_crc32 taken from those ids in their place."""
+    names = [c for c in packed.columns if c != "ids"]
+    struct = packed.select(*names).schema
+    at = names.index("ids_crc32")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *columns, ids = batch.columns
+            values, ends = ids.values.to_numpy().astype("<i4", copy=False), ids.offsets.to_pylist()
+            columns[at] = pa.array([zlib.crc32(values[a:b].tobytes()) for a, b in zip(ends, ends[1:])], pa.int64())
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return packed.select(*names, "ids").mapInArrow(run, struct)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

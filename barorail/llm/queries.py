@@ -13,7 +13,7 @@ from .chat import chat_digests
 from .common import table
 from .compression import classify
 from .minhash import near_duplicates
-from .packing import pack_documents
+from .packing import pack_documents, packed_digests
 from .rules import quality_rules
 from .secrets import secret_digests
 from .suffixes import repeated_passages
@@ -44,7 +44,8 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    file = public_tokenizers.path("word_bpe_49k.json")
+    return packed_digests(pack_documents(table(spark, sf_dir, "documents"), file, keep_ids=True))
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,8 +41,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece of a document: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """A row per piece of a document: doc_id, piece, start, length, ids_crc32, sequence_id, offset, ids."""
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=True)
 
 
 STAGES = [

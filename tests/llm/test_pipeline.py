@@ -1,13 +1,19 @@
 """The pipeline's stages: what each takes away, and that clean documents come through."""
 
 import re
+import zlib
 
 import pandas as pd
+import public_tokenizers
+from pyspark.sql import functions as F
 from test_minhash import plain_classes
 from test_suffixes import plain
+from tokenizers import Tokenizer
 
 import corpus_pipeline
+from barorail.llm import queries
 from barorail.llm.common import saved
+from barorail.llm.packing import pack_documents, sequences
 from barorail.llm.secrets import base_spans
 
 SF = "/root/testdata/sf0.01"
@@ -56,3 +62,26 @@ def test_run_and_empty_documents(spark, tmp_path):
         df.limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_last_stage_gives_the_ids(spark):
+    texts = {1: "The train  leaves at noon.", 2: None, 3: "delay " * 5000}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    packed = corpus_pipeline.packed(spark, docs, SF)
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rows = sorted(packed.collect(), key=lambda r: (r["doc_id"], r["piece"]))
+    for i, text in texts.items():
+        own = [r for r in rows if r["doc_id"] == i]
+        assert sum((r["ids"] for r in own), []) == [*library.encode(text or "", add_special_tokens=False).ids, 1]
+        assert all(r["length"] == len(r["ids"]) for r in own)
+    assert sum(len(r["ids"]) for r in sequences(packed).collect()) == sum(r["length"] for r in rows)
+
+
+def test_query_takes_checksums_from_the_ids_of_the_pieces(spark, monkeypatch):
+    def other_ids(*args, **options):
+        assert options["keep_ids"]
+        return pack_documents(*args, **options).withColumn("ids", F.expr("array(7, 8)"))
+
+    monkeypatch.setattr(queries, "pack_documents", other_ids)
+    found = queries.op6_best_fit_packing(spark, "/root/testdata/sf0.001").select("ids_crc32").distinct().collect()
+    assert [r[0] for r in found] == [zlib.crc32(bytes([7, 0, 0, 0, 8, 0, 0, 0]))]
