@@ -24,6 +24,15 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Name of the column by which ``keyed`` tells rows apart.
+ROW = "_row"
+
+
+def keyed(df: DataFrame) -> DataFrame:
+    """``df`` with a key of its own for every row, written with the table: repeated rows and NULL ids too."""
+    return saved(df.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
+
+
 def map_rows(df: DataFrame, rows: Callable[..., Iterator[tuple]], schema: str) -> DataFrame:
     """Call ``rows`` with the columns of each Arrow batch as lists; it yields output rows.
 

@@ -134,6 +134,24 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5))
 
 
+def _scored(docs: DataFrame, model: CompressionClassifier) -> DataFrame:
+    """``docs`` and the score of every row."""
+    place = docs.columns.index("text")
+
+    def score(*columns) -> Iterator[tuple]:
+        difference = np.array(model.differences([t or "" for t in columns[place]]))
+        yield from zip(*columns, model.score(difference).tolist())
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return map_rows(docs, score, schema + ", _score double")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that ``classify`` predicts to be good, each by its own text."""
+    model = fit(docs, labels.where(fold(F.col("doc_id")) != 0))
+    return _scored(docs, model).where(F.col("_score") >= threshold).drop("_score")
+
+
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score, predicted of every row, learned from what is not held out.
 
@@ -142,12 +160,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
     """
     model = fit(docs, labels.where(fold(F.col("doc_id")) != 0))
 
-    def score(ids, texts) -> Iterator[tuple]:
-        difference = np.array(model.differences([t or "" for t in texts]))
-        yield from zip(ids, model.score(difference).tolist())
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = map_rows(docs.select("doc_id", "text"), score, f"doc_id {kind}, score double")
+    scored = _scored(docs.select("doc_id", "text"), model).withColumnRenamed("_score", "score")
     return scored.select(
         "doc_id",
         F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),

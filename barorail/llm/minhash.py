@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_groups, map_rows, saved
+from .common import ROW, keyed, map_groups, map_rows, saved
 from .graph import components, hung
 from .hashing import STEP, U, mixed, word_codes, words_of
 
@@ -243,32 +243,14 @@ def _cross_links(texts: DataFrame, classes: DataFrame, known: DataFrame, similar
     return map_groups(met, ["key", "low", "high"], compare, f"a {kind}, b {kind}")
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, bands: int = 24, band_rows: int = 5, first_bands: int = 4
+def _classes(
+    docs: DataFrame, words: int, similarity: float, bands: int, band_rows: int, first_bands: int
 ) -> DataFrame:
-    """doc_id, class_id, kept: one row per id.
-
-    Documents are linked whose weighted sets of ``words``-word shingles (weight: occurrences) have a
-    similarity sum(min) / sum(max) of at least ``similarity``, and classes are the connected components;
-    class_id is the smallest id of the class, the one that is kept. 24 bands of 5 values miss a link at 0.8
-    with a probability of 7 in 100,000, and fewer above.
-
-    Documents with the same words are one text, of which the smallest id goes on. Texts that share a band
-    key are candidates. To spare comparing all of a bucket, the first bands link each member with the
-    smallest id; after that only members of different classes matter, and all of those that share a bucket
-    are compared, in blocks (see ``_cross_links``), so no bucket is capped. All comparisons are exact.
-
-    NULL and empty texts are like nothing and kept. Rows with one id are one document. A NULL id has a row
-    of its own, class_id NULL and kept. Other columns are ignored; an empty table gives no rows.
-    """
+    """doc_id, class_id of every text with a word, from ids that are all different."""
     own = saved(signed(docs, words, bands, band_rows), "signatures")
     copies = saved(own.groupBy("copy_key").agg(F.min("doc_id").alias("text_id")), "copies")
-    texts = saved(
-        own.join(copies.select(F.col("text_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        .dropDuplicates(["doc_id"])
-        .select("doc_id", "weight", "keys"),
-        "texts",
-    )
+    texts = own.join(copies.select(F.col("text_id").alias("doc_id")), "doc_id", "left_semi")
+    texts = saved(texts.select("doc_id", "weight", "keys"), "texts")
 
     def members(df: DataFrame, keys) -> DataFrame:
         return df.select("*", F.explode(keys).alias("key")).drop("keys")
@@ -279,7 +261,7 @@ def near_duplicates(
     open_keys = saved(shared.select("key", "low"), "buckets")
     met = members(texts.select("doc_id", "keys"), F.col("keys")).join(open_keys, "key", "left_semi")
     met = saved(met.select("doc_id").distinct(), "candidates")
-    known = saved(_element_rows(docs.join(met, "doc_id", "left_semi").dropDuplicates(["doc_id"]), words), "shingles")
+    known = saved(_element_rows(docs.join(met, "doc_id", "left_semi"), words), "shingles")
     texts = saved(texts.join(met, "doc_id", "left_semi"), "texts")
 
     def alike(a: str, b: str) -> str:
@@ -295,7 +277,49 @@ def near_duplicates(
 
     found = own.select("doc_id", "copy_key").join(copies, "copy_key").select("doc_id", "text_id")
     found = found.join(classes.withColumnRenamed("id", "text_id"), "text_id", "left")
-    found = found.groupBy("doc_id").agg(F.min(F.coalesce("component", "text_id")).alias("class_id"))
+    return found.select("doc_id", F.coalesce("component", "text_id").alias("class_id"))
+
+
+def near_duplicate_rows(
+    rows: DataFrame, words: int = 5, similarity: float = 0.8, bands: int = 24, band_rows: int = 5, first_bands: int = 4
+) -> DataFrame:
+    """_row, class_row of each row of a ``keyed`` table that has a word; doc_id plays no part.
+
+    Rows are linked as documents are in ``near_duplicates``; class_row is the smallest _row of the class.
+    """
+    texts = rows.select(F.col(ROW).alias("doc_id"), "text")
+    found = _classes(texts, words, similarity, bands, band_rows, first_bands)
+    return saved(found.select(F.col("doc_id").alias(ROW), F.col("class_id").alias("class_row")), "classes")
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, **bands: int) -> DataFrame:
+    """doc_id, class_id, kept: one row per id.
+
+    Documents are linked whose weighted sets of ``words``-word shingles (weight: occurrences) have a
+    similarity sum(min) / sum(max) of at least ``similarity``, and classes are the connected components;
+    class_id is the smallest id of the class, the one that is kept. 24 bands of 5 values miss a link at 0.8
+    with a probability of 7 in 100,000, and fewer above.
+
+    Documents with the same words are one text, of which the first goes on. Texts that share a band
+    key are candidates. To spare comparing all of a bucket, the first bands link each member with the
+    smallest; after that only members of different classes matter, and all of those that share a bucket
+    are compared, in blocks (see ``_cross_links``), so no bucket is capped. All comparisons are exact.
+
+    NULL and empty texts are like nothing and kept. Rows with one id are one document, which is linked by
+    each of its texts. A NULL id has a row of its own, class_id NULL and kept; ``near_duplicate_rows``
+    compares such rows too. Other columns are ignored; an empty table gives no rows.
+    """
+    rows = keyed(docs.where("doc_id IS NOT NULL").select("doc_id", "text"))
+    found = near_duplicate_rows(rows, words, similarity, **bands)
+    named = saved(rows.select(ROW, "doc_id").join(found, ROW).select("doc_id", "class_row"), "named")
+    # Texts of one id bring their classes together.
+    own = named.groupBy("doc_id").agg(F.min("class_row").alias("class_row"), F.max("class_row").alias("_high"))
+    several = own.where("class_row < _high").select("doc_id", F.col("class_row").alias("b"))
+    joined = components(named.join(several, "doc_id").select(F.col("class_row").alias("a"), "b"))
+    own = own.join(joined.withColumnRenamed("id", "class_row"), "class_row", "left")
+    own = own.select("doc_id", F.coalesce("component", "class_row").alias("class_row"))
+    classes = own.groupBy("class_row").agg(F.min("doc_id").alias("class_id"))
+    found = own.join(classes, "class_row").select("doc_id", "class_id")
     every = docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
     every = every.join(found, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
     nobody = docs.where("doc_id IS NULL").select("doc_id", F.col("doc_id").alias("class_id"))

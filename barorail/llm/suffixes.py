@@ -43,39 +43,35 @@ def kept_suffixes(codes: np.ndarray, length: int, spread: int, run: int) -> tupl
     return windows, starts.argmin(axis=1) + np.arange(len(windows)), suffixes
 
 
-def _long_texts(docs: DataFrame) -> DataFrame:
-    return docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text")
-
-
 def _candidates(docs: DataFrame, length: int, spread: int, run: int) -> DataFrame:
-    """doc_id and suffix hash of each kept suffix that agrees with another; and whether with very many."""
+    """key and suffix hash of each kept suffix that agrees with another; and whether with very many."""
 
-    def rows(ids, texts) -> Iterator[tuple]:
-        for doc_id, text in zip(ids, texts):
+    def rows(keys, texts) -> Iterator[tuple]:
+        for key, text in zip(keys, texts):
             codes = word_codes(text)
             if len(codes) >= length:
                 _, places, suffixes = kept_suffixes(codes, length, spread, run)
                 found, times = np.unique(suffixes[np.unique(places)], return_counts=True)
                 for suffix, n in zip(found.view(np.int64).tolist(), times.tolist()):
-                    yield doc_id, suffix, n
+                    yield key, suffix, n
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    kept = saved(map_rows(_long_texts(docs), rows, f"doc_id {kind}, suffix long, times int"), "suffixes")
+    kind = docs.schema["key"].dataType.simpleString()
+    kept = saved(map_rows(docs.select("key", "text"), rows, f"key {kind}, suffix long, times int"), "suffixes")
     met = kept.groupBy("suffix").agg(F.sum("times").alias("times"), F.count("*").alias("docs"))
     met = saved(met.where("times > 1").select("suffix", (F.col("docs") > GROUP).alias("hot")), "repeated")
-    return kept.select("doc_id", "suffix").join(met, "suffix")
+    return kept.select("key", "suffix").join(met, "suffix")
 
 
 def _extended(docs: DataFrame, candidates: DataFrame, length: int, spread: int, run: int) -> DataFrame:
-    """suffix, hot, doc_id, start, windows: consecutive windows from ``start`` that selected a candidate.
+    """suffix, hot, key, doc_id, start, windows: consecutive windows from ``start`` that selected a candidate.
 
     A window that repeats within its document and does not overlap its first place there is a copy
     whatever other documents hold. Of those only the last goes on with the others; the rest come out
     finished, with suffix NULL and their end in ``windows``. So a long periodic text stays short here.
     """
 
-    def rows(ids, texts, found) -> Iterator[tuple]:
-        for doc_id, text, known in zip(ids, texts, found):
+    def rows(keys, ids, texts, found) -> Iterator[tuple]:
+        for key, doc_id, text, known in zip(keys, ids, texts, found):
             codes = word_codes(text)
             if len(codes) < length:  # another row with this id had the passage
                 continue
@@ -89,15 +85,15 @@ def _extended(docs: DataFrame, candidates: DataFrame, length: int, spread: int,
             last[which] = at  # the last one written stays
             done = wanted & (at >= first[which] + length) & (at != last[which])
             for start, end in _runs(done):
-                yield None, None, doc_id, start, [end + length - 1]
+                yield None, None, key, doc_id, start, [end + length - 1]
             for start, end in _runs(wanted & ~done, places):
                 suffix = int(names[start])
-                yield suffix, hot[suffix], doc_id, start, windows[start:end].view(np.int64).tolist()
+                yield suffix, hot[suffix], key, doc_id, start, windows[start:end].view(np.int64).tolist()
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    listed = candidates.groupBy("doc_id").agg(F.collect_set(F.struct("suffix", "hot")).alias("known"))
-    joined = _long_texts(docs).join(listed, "doc_id").select("doc_id", "text", "known")
-    return map_rows(joined, rows, f"suffix long, hot boolean, doc_id {kind}, start int, windows array<bigint>")
+    kinds = ", ".join(f"{name} {docs.schema[name].dataType.simpleString()}" for name in ("key", "doc_id"))
+    listed = candidates.groupBy("key").agg(F.collect_set(F.struct("suffix", "hot")).alias("known"))
+    joined = docs.join(listed, "key").select("key", "doc_id", "text", "known")
+    return map_rows(joined, rows, f"suffix long, hot boolean, {kinds}, start int, windows array<bigint>")
 
 
 def _runs(mask: np.ndarray, places: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
@@ -112,38 +108,38 @@ def _runs(mask: np.ndarray, places: np.ndarray | None = None) -> Iterator[tuple[
 
 
 def _compared(extended: DataFrame, length: int) -> DataFrame:
-    """doc_id, start, end, copy of runs of repeated windows, by the order of suffixes."""
+    """key, start, end, copy of runs of repeated windows, by the order of suffixes."""
 
-    def neighbours(key, rows) -> Iterator[tuple]:
+    def neighbours(suffix, rows) -> Iterator[tuple]:
         held = []
-        for doc_id, start, windows in rows:
-            held += [(w, doc_id, start + i) for i, w in enumerate(windows)]
+        for key, doc_id, start, windows in rows:
+            held += [(w, doc_id is None, doc_id, key, start + i) for i, w in enumerate(windows)]
         held.sort()
         copies, sources = [], []
         at = 0
         while at < len(held):
-            window, doc_id, start = held[at]
+            window, _, _, key, start = held[at]
             end = at + 1
             while end < len(held) and held[end][0] == window:
                 end += 1
             if end - at > 1:
                 same = held[at:end]
-                copy = [x[1] != doc_id or x[2] >= start + length for x in same]
-                copies += [(x[1], x[2]) for x, c in zip(same, copy) if c]
+                copy = [x[3] != key or x[4] >= start + length for x in same]
+                copies += [x[3:] for x, c in zip(same, copy) if c]
                 if any(copy):
-                    sources += [(x[1], x[2]) for x, c in zip(same, copy) if not c]
+                    sources += [x[3:] for x, c in zip(same, copy) if not c]
             at = end
         for places, is_copy in ((copies, True), (sources, False)):
-            for doc_id, start, end in _joined(places):
-                yield doc_id, start, end + length, is_copy
+            for key, start, end in _joined(places):
+                yield key, start, end + length, is_copy
 
-    kind = extended.schema["doc_id"].dataType.simpleString()
-    rows = extended.where("NOT hot").select("suffix", "doc_id", "start", "windows")
-    return map_groups(rows, ["suffix"], neighbours, f"doc_id {kind}, start int, end int, copy boolean")
+    kind = extended.schema["key"].dataType.simpleString()
+    rows = extended.where("NOT hot").select("suffix", "key", "doc_id", "start", "windows")
+    return map_groups(rows, ["suffix"], neighbours, f"key {kind}, start int, end int, copy boolean")
 
 
 def _joined(places: list[tuple]) -> Iterator[tuple]:
-    """(doc_id, first start, last start) of starts that follow each other."""
+    """(key, first start, last start) of starts that follow each other."""
     places.sort()
     begin = before = None
     for place in places:
@@ -159,18 +155,20 @@ def _joined(places: list[tuple]) -> Iterator[tuple]:
 def _compared_hot(extended: DataFrame, length: int) -> DataFrame:
     """The same for suffixes shared by very many documents, without gathering them."""
     hot = extended.where("hot")
-    rows = hot.select("suffix", "doc_id", "start", F.posexplode("windows").alias("i", "window"))
-    rows = rows.select("suffix", "window", "doc_id", (F.col("start") + F.col("i")).alias("start"))
-    place = F.struct("doc_id", "start")
+    rows = hot.select("suffix", "key", "doc_id", "start", F.posexplode("windows").alias("i", "window"))
+    rows = rows.select("suffix", "window", "key", "doc_id", (F.col("start") + F.col("i")).alias("start"))
+    place = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "key", "start")
     ends = rows.groupBy("suffix", "window").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    repeated = f"last.doc_id <> first.doc_id OR last.start >= first.start + {length}"
+    repeated = f"last.key <> first.key OR last.start >= first.start + {length}"
     ends = saved(ends.where(repeated).select("suffix", "window", "first"), "hot")
     rows = rows.join(ends, ["suffix", "window"])
-    copy = F.expr(f"doc_id <> first.doc_id OR start >= first.start + {length}")
-    return rows.select("doc_id", "start", (F.col("start") + F.lit(length)).alias("end"), copy.alias("copy"))
+    copy = F.expr(f"key <> first.key OR start >= first.start + {length}")
+    return rows.select("key", "start", (F.col("start") + F.lit(length)).alias("end"), copy.alias("copy"))
 
 
-def repeated_passages(docs: DataFrame, length: int = 50, spread: int = 25, run: int = 8) -> DataFrame:
+def repeated_passages(
+    docs: DataFrame, length: int = 50, spread: int = 25, run: int = 8, by: str = "doc_id"
+) -> DataFrame:
     """doc_id, start, end, copy: passages all of whose words stand in repeated windows of ``length`` words.
 
     Places count words, which stand between ASCII white space; ``end`` is exclusive. A window is repeated
@@ -179,14 +177,18 @@ def repeated_passages(docs: DataFrame, length: int = 50, spread: int = 25, run:
     where they touch or overlap; a word may be in both, as the copy of one window and the source of another.
 
     NULL, empty and shorter texts have no windows; rows with a NULL doc_id are left out; rows with one
-    doc_id are one document; other columns are ignored; an empty table gives no rows.
+    doc_id are one document; other columns are ignored; an empty table gives no rows. ``by`` the row key of
+    a ``keyed`` table every row is a document of its own, by the order of (doc_id, row, start) with NULL
+    ids last, and the first column of the result is that key.
     """
     if length - spread + 1 < run:
         raise ValueError("spread leaves too few words in common")
+    docs = docs.where(F.col(by).isNotNull() & F.col("text").isNotNull())
+    docs = docs.select(F.col(by).alias("key"), "doc_id", "text")
     candidates = _candidates(docs, length, spread, run)
     extended = saved(_extended(docs, candidates, length, spread, run), "extended")
     done = extended.where("suffix IS NULL").select(
-        "doc_id", "start", F.col("windows")[0].cast("int").alias("end"), F.lit(True).alias("copy")
+        "key", "start", F.col("windows")[0].cast("int").alias("end"), F.lit(True).alias("copy")
     )
     found = done.unionByName(_compared(extended, length)).unionByName(_compared_hot(extended, length))
 
@@ -201,19 +203,17 @@ def repeated_passages(docs: DataFrame, length: int = 50, spread: int = 25, run:
             begin, last = start, end
         yield key[0], begin, last, key[1]
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_groups(
-        found.distinct(), ["doc_id", "copy"], merge, f"doc_id {kind}, start int, end int, copy boolean"
-    )
+    kind = docs.schema["key"].dataType.simpleString()
+    return map_groups(found.distinct(), ["key", "copy"], merge, f"{by} {kind}, start int, end int, copy boolean")
 
 
-def cut_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
+def cut_passages(docs: DataFrame, passages: DataFrame, by: str = "doc_id") -> DataFrame:
     """``docs`` without the copies in ``passages``, each with the white space behind it; n_chars anew.
 
     A text may become empty; no row is dropped, and texts without copies stay as they are.
     """
-    cuts = passages.where("copy").groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("_cuts"))
-    joined = docs.join(cuts, "doc_id", "left")
+    cuts = passages.where("copy").groupBy(by).agg(F.collect_list(F.struct("start", "end")).alias("_cuts"))
+    joined = docs.join(cuts, by, "left")
     names = joined.columns
     text_at, cuts_at = names.index("text"), names.index("_cuts")
 

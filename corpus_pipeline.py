@@ -4,35 +4,40 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barorail.llm.common import saved, table
-from barorail.llm.compression import classify
-from barorail.llm.minhash import near_duplicates
+from barorail.llm.common import ROW, keyed, saved, table
+from barorail.llm.compression import accepted
+from barorail.llm.minhash import near_duplicate_rows
 from barorail.llm.packing import pack_documents
 from barorail.llm.secrets import redact_secrets
 from barorail.llm.suffixes import cut_passages, repeated_passages
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the compression classifier does not reject.
-
-    Rows without an id get no verdict of their own and stay; of rows that share an id one rejected text
-    rejects all.
-    """
-    verdicts = classify(docs, table(spark, sf_dir, "labels"))
-    rejected = verdicts.where("predicted = 0 AND doc_id IS NOT NULL").select("doc_id")
-    return docs.join(rejected, "doc_id", "left_anti")
+    """Rows whose own text the compression classifier does not reject, whatever their id."""
+    return accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates, that with the smallest id."""
-    dropped = near_duplicates(docs).where("NOT kept").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti")
+    """One row of each class of near-duplicates, that with the smallest id; NULL ids come last.
+
+    Every row is a document of its own, so of a row that is there twice one stays. Rows without a word
+    belong to no class and all stay.
+    """
+    rows = keyed(docs)
+    classes = near_duplicate_rows(rows)
+    place = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.xxhash64("text").alias("hash"), ROW)
+    ranked = rows.select(ROW, place.alias("place")).join(classes, ROW)
+    first = ranked.groupBy("class_row").agg(F.min("place").alias("place")).select(F.col(f"place.{ROW}").alias(ROW))
+    dropped = classes.join(first, ROW, "left_anti")
+    return rows.join(dropped, ROW, "left_anti").select(*docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages of 50 words or more that an earlier place holds already."""
-    return cut_passages(docs, repeated_passages(docs))
+    """Texts without the passages of 50 words or more that an earlier place holds already, in any row."""
+    rows = keyed(docs)
+    return cut_passages(rows, repeated_passages(rows, by=ROW), by=ROW).select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -134,3 +134,11 @@ def test_odd_tables(spark):
     rows = near_duplicates(with_null).where("doc_id IS NULL").collect()
     assert [(r["class_id"], r["kept"]) for r in rows] == [(None, True)]
     assert near_duplicates(df.limit(0)).collect() == []
+
+
+def test_every_text_of_an_id_links(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    rows = [(5, one), (5, two), (3, one), (4, two), (9, "c d e"), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for docs in (df, df.union(df)):
+        assert result(near_duplicates(docs)) == {5: 3, 3: 3, 4: 3, 9: 9}

@@ -11,7 +11,7 @@ from test_suffixes import plain
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from barorail.llm import queries
+from barorail.llm import compression, queries
 from barorail.llm.common import saved
 from barorail.llm.packing import pack_documents, sequences
 from barorail.llm.secrets import base_spans
@@ -85,3 +85,38 @@ def test_query_takes_checksums_from_the_ids_of_the_pieces(spark, monkeypatch):
     monkeypatch.setattr(queries, "pack_documents", other_ids)
     found = queries.op6_best_fit_packing(spark, "/root/testdata/sf0.001").select("ids_crc32").distinct().collect()
     assert [r[0] for r in found] == [zlib.crc32(bytes([7, 0, 0, 0, 8, 0, 0, 0]))]
+
+
+LONG = " ".join(f"w{i}" for i in range(80))
+OTHER = " ".join(f"v{i}" for i in range(80))
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+
+
+def test_stages_on_a_table_loaded_twice(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    once = corpus_pipeline.one_of_each_group(spark, docs, SF)
+    twice = corpus_pipeline.one_of_each_group(spark, docs.union(docs), SF)
+    worded = "trim(text) <> ''"
+    texts = sorted(map(tuple, once.where(worded).select("doc_id", "text").collect()))
+    assert sorted(map(tuple, twice.where(worded).select("doc_id", "text").collect())) == texts
+    cut = corpus_pipeline.without_repeats(spark, frame(spark, [(4, LONG, 1), (4, LONG, 1), (3, LONG + " x", 1)]), SF)
+    assert sorted(r["text"] for r in cut.collect()) == ["", "", LONG + " x"]
+
+
+def test_stages_on_missing_and_shared_ids(spark):
+    rows = [(None, LONG, 1), (None, LONG, 1), (7, OTHER, 1), (7, LONG, 1), (None, OTHER, 1), (None, None, None)]
+    left = corpus_pipeline.one_of_each_group(spark, frame(spark, rows), SF).collect()
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in left) == [("7", OTHER), ("7", LONG), ("None", "None")]
+    cut = corpus_pipeline.without_repeats(spark, frame(spark, rows), SF).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in cut if r["text"]) == [("7", OTHER), ("7", LONG)]
+
+
+def test_each_row_has_its_own_verdict(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    verdicts = compression.classify(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    good = verdicts.where("predicted = 1").count()
+    shared = corpus_pipeline.good_documents(spark, docs.union(docs.withColumn("doc_id", F.lit(None).cast("long"))), SF)
+    assert shared.where("doc_id IS NULL").count() == shared.where("doc_id IS NOT NULL").count() == good
