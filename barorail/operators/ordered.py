@@ -1,104 +1,73 @@
 """Ranks, quantiles and rank correlation without putting a group into one task.
 
 A window over a whole group would sort that group in a single task, and ``median`` keeps every
-distinct value of a group in one hash map. Here equal values are counted first, a group of many
-values is cut into ranges at splitters, and a running count is taken inside the ranges only.
+distinct value of a group in one hash map. Here equal values are counted first, a shuffle by range
+deals them to partitions in their order, and each partition starts from what lies in those before it.
+The ranges are written, since the bounds of a range shuffle come from a sample: a second run of the
+same plan may choose others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# One value in so many becomes a splitter, up to a stride times a stride per group.
-VALUES_PER_SPLITTER = 10_000
-STRIDE = 64
+from ..session import written
+
+#: Bits of ``monotonically_increasing_id`` that count rows; the others number the partition.
+ROW_BITS = 33
 
 
-def _meet(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def _meet(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Join in which NULL keys are keys like any other."""
     right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    return left.join(right, same, how).drop(*[f"_r_{k}" for k in keys])
+    return left.join(right, same).drop(*[f"_r_{k}" for k in keys])
 
 
-def _splitters(counts: DataFrame, group: list[str], value: str, n: str) -> DataFrame:
-    """Sorted splitters of each group that has many values, in strides: ``_strides, _inside``.
-
-    They are the values of lowest hash: a uniform sample, and the same one whenever a task is run
-    again. The counts ride along so that the input is the very exchange that feeds the ranges.
-    """
-    low_hash = F.xxhash64(value) <= F.lit(-(2**63) + 2**64 // VALUES_PER_SPLITTER)
-    # Tied to the count, so that the filter is not pushed below the counting: the counts would then
-    # be worked out a second time.
-    chosen = F.when(F.col(n) > 0, low_hash)
-    by_hash = Window.partitionBy(*group).orderBy(F.xxhash64(value), F.col(value))
-    return (
-        counts.filter(chosen)
-        .withColumn("_rn", F.row_number().over(by_hash))
-        .filter(F.col("_rn") <= STRIDE * STRIDE)
-        .groupBy(*group)
-        .agg(F.sort_array(F.collect_list(F.struct(value, n))).alias("_cuts"))
-        .select(*group, F.transform("_cuts", lambda cut: cut[value]).alias("_cuts"))
-        .select(
-            *group,
-            F.filter("_cuts", lambda _, i: (i + 1) % STRIDE == 0).alias("_strides"),
-            F.transform(
-                F.array(*[F.lit(i) for i in range(STRIDE + 1)]),
-                lambda i: F.slice("_cuts", i * STRIDE + 1, STRIDE),
-            ).alias("_inside"),
-        )
-    )
+def _offsets(sizes: DataFrame, part: str, size: str) -> DataFrame:
+    """``part, _offset, total`` of all partitions; ``sizes`` has a row for each, which is all the driver gets."""
+    told = sorted(sizes.select(part, size).collect())
+    ends = list(accumulate(n for _, n in told))
+    rows = [(p, end - n, ends[-1]) for (p, n), end in zip(told, ends)]
+    return F.broadcast(sizes.sparkSession.createDataFrame(rows, f"{part} int, _offset long, total long"))
 
 
 def running_counts(counts: DataFrame, keys: list[str], value: str, n: str = "n") -> DataFrame:
     """Add ``before`` (rows of the group with a smaller value) and ``total`` (rows of the group).
 
-    ``counts`` has one row per ``keys`` and ``value``. A group of few values is a single range.
+    ``counts`` has one row per ``keys`` and ``value``. A group of many values spans several partitions.
     """
-    group = keys or ["_all"]
-    if not keys:
-        counts = counts.withColumn("_all", F.lit(1))
-
-    splitters = _splitters(counts, group, value, n).select(*group, F.struct("_strides", "_inside").alias("_cuts"))
+    ranged = counts.repartitionByRange(*keys, value).withColumn("_part", F.spark_partition_id())
+    ranged = written(ranged, "ranges")
+    sizes = ranged.groupBy(*keys, "_part").agg(F.sum(n).alias("_size"))
+    inside = Window.partitionBy(*keys, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_local", F.coalesce(F.sum(n).over(inside), F.lit(0)))
     if keys:
-        cut = _meet(counts, splitters, group, "left")
+        group = Window.partitionBy(*keys)
+        earlier = group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = sizes.select(
+            *keys,
+            "_part",
+            F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"),
+            F.sum("_size").over(group).alias("total"),
+        )
+        placed = _meet(local, offsets, [*keys, "_part"])
     else:
-        # A single row of splitters: a scalar subquery, not a join.
-        cut = counts.withColumn("_cuts", splitters.select("_cuts").scalar())
+        placed = local.join(_offsets(sizes, "_part", "_size"), "_part")
+    return placed.withColumn("before", F.col("_offset") + F.col("_local")).drop("_part", "_offset", "_local")
 
-    def below(cuts):
-        return F.size(F.filter(cuts, lambda c: c < F.col(value)))
 
-    stride = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(below(F.col("_cuts._strides")))
-    place = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
-        F.col("_stride") * STRIDE + below(F.get(F.col("_cuts._inside"), F.col("_stride")))
-    )
-    ranged = cut.withColumn("_stride", stride).withColumn("_range", place).drop("_cuts", "_stride")
-    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy(*group, "_range")
-        .agg(F.sum(n).alias("_size"))
-        .select(
-            *group,
-            "_range",
-            F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"),
-            F.sum("_size").over(Window.partitionBy(*group)).alias("total"),
-        )
-    )
-    inside = (
-        Window.partitionBy(*group, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    out = (
-        _meet(
-            ranged.withColumn("_local", F.coalesce(F.sum(n).over(inside), F.lit(0))),
-            offsets,
-            [*group, "_range"],
-        )
-        .withColumn("before", F.col("_offset") + F.col("_local"))
-        .drop("_range", "_offset", "_local")
-    )
-    return out if keys else out.drop("_all")
+def numbered(df: DataFrame, order: list[Column], name: str = "number") -> DataFrame:
+    """``df`` with 1, 2, 3, ... in ``order``, which should tell all rows apart: no task sorts them all."""
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = written(sorted_.withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    rows = rows.withColumn("_part", F.shiftright("_at", ROW_BITS).cast("int"))
+    offsets = _offsets(rows.groupBy("_part").agg(F.count("*").alias("_size")), "_part", "_size")
+    place = F.col("_at").bitwiseAND(2**ROW_BITS - 1) + F.col("_offset") + 1
+    return rows.join(offsets, "_part").withColumn(name, place).drop("_part", "_at", "_offset", "total")
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -148,6 +117,7 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
         .groupBy(x, y)
         .agg(F.count("*").alias("_pairs"))
     )
+    pairs = written(pairs, "pairs")
     ranks_x = average_ranks(pairs.groupBy(x).agg(F.sum("_pairs").alias("n")), x, "_a").drop("total")
     ranks_y = average_ranks(pairs.groupBy(y).agg(F.sum("_pairs").alias("n")), y, "_b").drop("total")
     weight = F.col("_pairs")

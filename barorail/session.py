@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Applied only where the session has no explicit value of its own.
 _DEFAULTS = {
@@ -58,12 +59,24 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A path for a fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    A cluster sets it; a session without it, as in tests, gets a temporary folder.
+    A cluster has to set it: its executors would not see each other's files in a folder of this machine.
+    A session in one process, as in tests, gets a temporary folder where it is unset.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local_root()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _local_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to a scratch folder and read back: nothing before it runs twice, or differently."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="barorail-")
