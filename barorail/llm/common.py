@@ -33,25 +33,53 @@ def keyed(df: DataFrame) -> DataFrame:
     return saved(df.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
 
 
-def map_rows(df: DataFrame, rows: Callable[..., Iterator[tuple]], schema: str) -> DataFrame:
+#: Bytes of a batch of rows that goes to a Python worker, unless the session's settings name another size.
+BATCH_BYTES = "4m"
+_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Of long texts and sets Spark's own 64 MB are several times as much as Python objects."""
+    if not spark.sparkContext.getConf().contains(_BYTES):
+        spark.conf.set(_BYTES, BATCH_BYTES)
+
+
+_kept: dict = {}
+
+
+def kept(key, make: Callable):
+    """What ``make`` returns, kept in this worker from task to task until another operator's task comes."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def map_rows(
+    df: DataFrame, rows: Callable[..., Iterator[tuple]], schema: str, keeps: bool = False
+) -> DataFrame:
     """Call ``rows`` with the columns of each Arrow batch as lists; it yields output rows.
 
-    Output is sent in batches of a few thousand rows, so that a task holds one batch of each side.
+    Batches are bounded by bytes, and output is sent after each of them and every few thousand rows, so
+    that a task holds one batch of each side. Unless it ``keeps`` something, it drops what others have.
     """
+    small_batches(df.sparkSession)
     struct = T.StructType.fromDDL(schema)
     # The schema is plain data; building it here keeps the closure free of Spark objects.
     arrow = to_arrow_schema(struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
+        if not keeps:
+            _kept.clear()
         for batch in batches:
+            out: list[tuple] = []
             for row in rows(*(c.to_pylist() for c in batch.columns)):
                 out.append(row)
                 if len(out) >= 4096:
                     yield _batch(out, arrow)
                     out = []
-        if out:
-            yield _batch(out, arrow)
+            if out:
+                yield _batch(out, arrow)
 
     return df.mapInArrow(run, struct)
 
@@ -84,11 +112,13 @@ def map_groups(
     Groups follow each other in a task, sorted by key, so that many small ones cost little; the caller
     sees to it that the largest is bounded.
     """
+    small_batches(df.sparkSession)
     rest = [c for c in df.columns if c not in keys]
     struct = T.StructType.fromDDL(schema)
     arrow, width = to_arrow_schema(struct), len(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _kept.clear()
         out: list[tuple] = []
         key, held = None, []
         for batch in batches:

@@ -17,19 +17,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-class _WordHashes(dict):
-    """Hashes of words met before; emptied when full."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
-
-
-_hashes = _WordHashes()
-
-
 def words_of(text: str | None) -> list[bytes]:
     """What stands between ASCII white space."""
     return (text or "").encode("utf-8", "surrogatepass").split()
@@ -37,7 +24,7 @@ def words_of(text: str | None) -> list[bytes]:
 
 def word_codes(text: str | None) -> np.ndarray:
     words = words_of(text)
-    return np.fromiter(map(_hashes.__getitem__, words), U, len(words))
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), U, len(words))
 
 
 class Recent:

@@ -17,6 +17,8 @@ from .hashing import STEP, U, mixed, word_codes, words_of
 GROUP = 256
 #: Texts whose darts are thrown at once hold about so many shingles.
 BLOCK = 200_000
+#: Elements of all sets of a block that are counted at once.
+COUNTED = 500_000
 
 
 def shingles(text: str | None, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -174,12 +176,26 @@ def _links(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
 
 
 def similarities(sets: list[np.ndarray]) -> np.ndarray:
-    """Of each two different plain sets the size of what they share by the size of what either has."""
+    """Of each two different plain sets the size of what they share by the size of what either has.
+
+    The elements, which are hashes, are taken in ranges: so much memory for long texts as for short ones.
+    """
     sizes = np.array([len(s) for s in sets])
-    row = np.repeat(np.arange(len(sets)), sizes)
+    ranges = int(sizes.sum()) // COUNTED + 1
+    edges = np.array([i * 2**64 // ranges for i in range(ranges)], U)
+    cuts = [[*np.searchsorted(s, edges).tolist(), len(s)] for s in sets]
+    both = np.zeros((len(sets), len(sets)), np.float64)
+    for i in range(ranges):
+        both += _shared([s[c[i] : c[i + 1]] for s, c in zip(sets, cuts)])
+    return both / (sizes[:, None] + sizes[None, :] - both)
+
+
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two plain sets share."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = times[column] > 1  # the others add nothing
-    row, column = row[shared], (np.cumsum(times > 1) - 1)[column[shared]]
+    several = times[column] > 1  # the others add nothing
+    row, column = row[several], (np.cumsum(times > 1) - 1)[column[several]]
     both = np.zeros((len(sets), len(sets)), np.float64)
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
@@ -188,7 +204,7 @@ def similarities(sets: list[np.ndarray]) -> np.ndarray:
         part = np.zeros((len(sets), 4096), np.float32)
         part[row[start:stop], column[start:stop] - low] = 1
         both += part @ part.T
-    return both / (sizes[:, None] + sizes[None, :] - both)
+    return both
 
 
 def _cross_links(texts: DataFrame, classes: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
