@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from .bpe import BpeAutomaton, round_trip_digests
 from .chat import chat_digests
+from .clusters import cluster_vectors
 from .common import table
 from .compression import classify
 from .minhash import near_duplicates
 from .packing import pack_documents, packed_digests
+from .pieces import piece_digests
+from .resampling import resampled
 from .rules import quality_rules
 from .secrets import secret_digests
 from .suffixes import repeated_passages
@@ -73,6 +76,18 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -85,6 +100,9 @@ def queries() -> dict[str, Query]:
         "op8_chat_formatting": op8_chat_formatting,
         "op9_secret_scans": op9_secret_scans,
         "op10_suffix_array_dedup": op10_suffix_array_dedup,
+        "op11_sentencepiece": op11_sentencepiece,
+        "op12_importance_resampling": op12_importance_resampling,
+        "op13_centroid_clustering": op13_centroid_clustering,
     }
 
 
