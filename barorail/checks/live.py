@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ids, labels
+from ..operators import sketches
 from ..plans import accesslog, gtfs, messages, quality, realtime
 from ..schemas import COUNTRIES, LINE_TYPES
 from .registry import add
@@ -367,25 +368,34 @@ def quantile_sql(slots: str = "(0), (43200)", slide: int = 43200, keep: str = "t
 add("str11_latency_p95", _p95, quantile_sql())
 
 
-def _sketch_errors(v) -> DataFrame:
-    """Windows whose approximate 95th percentile has not the rank it should have, give or take 1 in 1,000."""
+def ranked_right(latency: DataFrame, log: DataFrame, slot: int, slots: int) -> DataFrame:
+    """Each window and path of the sketches or of the log, the requests of the sketch, and whether the rank of
+    its latency is what it should be, give or take twice the published error."""
     keys = ["debut", "path"]
-    sketch = _start(accesslog.latency_quantiles(v.log, 0.95, "1 day", "12 hours", 10_000)).drop("fin")
-    name = next(c for c in sketch.columns if c not in keys)
-    starts = [F.floor(F.unix_timestamp("ts") / 43_200) * 43_200 - o for o in (0, 43_200)]
-    log = v.log.withColumn("debut", F.explode(F.array(*starts))).withColumn("path", accesslog.path_template(F.col("path")))
-    met = log.join(sketch, keys).groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.count_if(F.col("duration_s") <= F.col(name) + 1e-9).alias("upto"),
-        F.count_if(F.col("duration_s") < F.col(name) - 1e-9).alias("below"),
+    first = F.floor(F.unix_timestamp("ts") / slot) * slot
+    starts = F.sequence(first - slot * (slots - 1), first, F.lit(slot))
+    rows = log.select(F.explode(starts).alias("debut"), accesslog.path_template(F.col("path")).alias("path"), "duration_s")
+    met = rows.join(_start(latency), keys, "full").groupBy(*keys).agg(
+        F.max("n").alias("n"),
+        F.count("duration_s").alias("all"),
+        F.count_if(F.col("duration_s") <= F.col("latence_s")).alias("upto"),
+        F.count_if(F.col("duration_s") < F.col("latence_s")).alias("below"),
     )
-    slack = F.col("n") / 1000 + 1
-    wrong = (F.col("upto") < 0.95 * F.col("n") - slack) | (F.col("below") > 0.95 * F.col("n") + slack)
-    return met.agg(F.count_if(wrong).alias("ecarts"))
+    slack = F.col("all") * 2 * sketches.rank_error() + 1
+    right = (F.col("upto") >= 0.95 * F.col("all") - slack) & (F.col("below") <= 0.95 * F.col("all") + slack)
+    return met.select(*keys, "n", (right & F.col("n").isNotNull()).alias("juste"))
+
+
+def _sketched(v) -> DataFrame:
+    slots = accesslog.latency_sketches(v.log, 43_200)
+    return ranked_right(accesslog.sketched_latency(slots, 0.95, 43_200, 2), v.log, 43_200, 2)
+
+
 add(
     "str11_latency_p95_sketch",
-    lambda v: _sketch_errors(v),
-    """SELECT CAST(0 AS BIGINT) AS ecarts""",
+    _sketched,
+    """SELECT CAST(floor(epoch(ts)) AS BIGINT) // 43200 * 43200 - o AS debut, template AS path, COUNT(*) AS n, true AS juste
+        FROM log, (VALUES (0), (43200)) d(o) GROUP BY ALL""",
 )
 add(
     "str12_quota_breaches",
@@ -420,13 +430,23 @@ add(
     """SELECT 'lineitem' AS source, 'aberrants_p99' AS mesure, 'l_extendedprice' AS colonne, COUNT(*) AS valeur FROM lineitem
         WHERE l_extendedprice > (SELECT quantile_cont(l_extendedprice, 0.99) FROM lineitem)""",
 )
+
+
+def _outliers_by_sketch(v) -> DataFrame:
+    """The exact count, and whether that of the sketch is near it."""
+    items, keys = v.table("lineitem"), ["source", "mesure", "colonne"]
+    exact = quality.outlier_count(items, "l_extendedprice", "lineitem").withColumnRenamed("valeur", "exact")
+    near = quality.outlier_count(items, "l_extendedprice", "lineitem", accuracy=4_000)
+    # A hundredth of the rows lies above; the error is a share of all of them.
+    slack = 1 + F.col("exact") * 100 * 2 * sketches.rank_error(4_000)
+    return exact.join(near, keys).select(*keys, "exact", (F.abs(F.col("valeur") - F.col("exact")) <= slack).alias("proche"))
+
+
 add(
     "dq4_outliers_sketch",
-    # The approximate count is off by one row in ten thousand at most.
-    lambda v: quality.outlier_count(v.table("lineitem"), "l_extendedprice", "lineitem", accuracy=10_000)
-    .crossJoin(v.table("lineitem").agg(F.count("*").alias("rows")))
-    .select("colonne", (F.abs(F.col("valeur") - F.col("rows") * 0.01) <= 1 + F.col("rows") / 10_000).alias("proche")),
-    "SELECT 'l_extendedprice' AS colonne, true AS proche",
+    _outliers_by_sketch,
+    """SELECT 'lineitem' AS source, 'aberrants_p99' AS mesure, 'l_extendedprice' AS colonne, COUNT(*) AS exact, true AS proche
+        FROM lineitem WHERE l_extendedprice > (SELECT quantile_cont(l_extendedprice, 0.99) FROM lineitem)""",
 )
 
 

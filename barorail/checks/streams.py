@@ -26,7 +26,7 @@ from ..sinks import writers
 from ..sources import readers
 from ..streaming import ingest, state, telemetry
 from .facts import FACT, SLICE
-from .live import _FEED, FINNISH_SQL, _start, _stop_rows, quantile_sql
+from .live import _FEED, FINNISH_SQL, _start, _stop_rows, quantile_sql, ranked_right
 from .registry import add
 from .views import NOW, Views
 
@@ -133,6 +133,24 @@ add(
     lambda v: _windows(v, telemetry.latency_p95).drop("fin"),
     quantile_sql("(0), (60), (120), (180), (240)", 60, f"debut + 300 <= {_CLOSED}"),
 )
+def _sketch_stream(v: Views) -> DataFrame:
+    """Sliding windows of five minutes from the sketches of closed minutes that a stream has left."""
+    out = scratch_dir(v.spark, "sketches")
+    log = _streamed(v, "events").log.withColumn("ts", F.col("ts").cast("timestamp"))
+    slots = telemetry.latency_sketches(log)
+    telemetry.write_windows(slots, out, scratch_dir(v.spark, "checkpoint"), once=True).awaitTermination()
+    left = v.spark.read.schema(slots.schema).parquet(out)
+    closed = F.floor(F.unix_timestamp("ts") / 60) * 60 + 60 <= v.log.agg(F.max(F.unix_millis(F.col("ts").cast("timestamp"))) / 1000 - 120).scalar()
+    return ranked_right(telemetry.accesslog.sketched_latency(left), v.log.where(closed), 60, 5)
+
+
+add(
+    "str11_latency_p95_sketch_stream",
+    _sketch_stream,
+    f"""SELECT slot - o AS debut, path, COUNT(*) AS n, true AS juste
+        FROM (SELECT {_MINUTE} AS slot, template AS path FROM log), (VALUES (0), (60), (120), (180), (240)) d(o)
+        WHERE slot + 60 <= {_CLOSED} GROUP BY ALL""",
+)
 add(
     "str12_quota_breaches_stream",
     lambda v: _windows(v, lambda log: telemetry.accesslog.quota_breaches(telemetry.watched(log), "api_key", 1, "1 hour")),

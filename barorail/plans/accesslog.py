@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import anonymize_ip, path_template
+from ..operators import sketches
 
 QUOTA_PER_MINUTE = 30
 
@@ -94,26 +95,38 @@ def histogram_quantile(q: float) -> Column:
 
 
 def latency_quantiles(
-    log: DataFrame,
-    q: float = 0.95,
-    window: str = "5 minutes",
-    slide: str = "1 minute",
-    accuracy: int | None = None,
+    log: DataFrame, q: float = 0.95, window: str = "5 minutes", slide: str = "1 minute"
 ) -> DataFrame:
-    """Latency quantile per path over a sliding window, out of bucket counters.
-
-    With ``accuracy`` it comes from a quantile sketch of the durations instead.
-    """
+    """Latency quantile per path over a sliding window, out of bucket counters."""
     grouped = log.groupBy(F.window("ts", window, slide), _template().alias("path"))
-    if accuracy is None:
-        out = grouped.agg(*_bucket_counts()).withColumn("latence_s", histogram_quantile(q))
-    else:
-        out = grouped.agg(F.percentile_approx("duration_s", q, accuracy).alias("latence_s"))
+    out = grouped.agg(*_bucket_counts()).withColumn("latence_s", histogram_quantile(q))
     return out.select(
         F.col("window.start").alias("debut"), F.col("window.end").alias("fin"), "path", "latence_s"
     )
 
 
+def latency_sketches(log: DataFrame, slot_seconds: int = 60, size: int = sketches.SIZE) -> DataFrame:
+    """``path, slot_start, sketch``: what is kept of the durations of each slot; batch or stream."""
+    keys = {"path": _template()}
+    return sketches.slot_sketches(log, keys, "ts", "duration_s", f"{slot_seconds} seconds", size)
+
+
+def sketched_latency(
+    slots: DataFrame, q: float = 0.95, slot_seconds: int = 60, window_slots: int = 5
+) -> DataFrame:
+    """Requests and latency quantile per path over sliding windows of whole slots, out of their sketches.
+
+    Windows begin with every slot that has requests, or up to ``window_slots`` - 1 slots before it.
+    """
+    merged = sketches.sliding_sketches(slots, ["path"], slot_seconds, window_slots)
+    return merged.select(
+        F.col("window_start").alias("debut"),
+        "path",
+        sketches.count_of("sketch").alias("n"),
+        sketches.quantile_of("sketch", q).alias("latence_s"),
+    )
+
+
 def request_rate(log: DataFrame, window: str = "1 minute", seconds: int = 60) -> DataFrame:
     """Requests per second and path in each window."""
     return (

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import safe_double
+from ..operators import sketches
 from ..operators.ordered import running_counts, value_counts
 
 OUTLIER_QUANTILE = 0.99
@@ -66,10 +67,11 @@ def duplicate_count(df: DataFrame, source: str) -> DataFrame:
 def outlier_count(
     df: DataFrame, column: str, source: str, q: float = OUTLIER_QUANTILE, accuracy: int | None = None
 ) -> DataFrame:
-    """Values above the ``q`` quantile: exact by default, approximate when ``accuracy`` is given.
+    """Values above the ``q`` quantile: exact by default, out of one sketch of size ``accuracy`` when that is given.
 
-    Equal values are counted first. The exact form needs no threshold row: a value lies above the
-    quantile when the rank of the quantile is below the rank of its first occurrence.
+    The exact form counts equal values first and needs no threshold row: a value lies above the quantile
+    when the rank of the quantile is below the rank of its first occurrence. The other form reads the
+    column once; ``sketches.rank_error`` says by which share of the rows the count may be off.
     """
     values = df.select(safe_double(F.col(f"`{column}`").cast("string")).alias("_v")).filter(
         F.col("_v").isNotNull()
@@ -82,8 +84,8 @@ def outlier_count(
             ).alias("_out")
         )
     else:
-        limit = values.agg(F.percentile_approx("_v", q, accuracy).alias("_limit")).scalar()
-        above = values.filter(F.col("_v") > limit).agg(F.count("*").alias("_out"))
+        whole = values.agg(sketches.sketch("_v", accuracy).alias("_sketch"))
+        above = whole.select(sketches.above("_sketch", q).alias("_out"))
     return _metrics(above, {"_out": column}, "aberrants_p99", source)
 
 

@@ -22,6 +22,11 @@ def latency_p95(log: DataFrame, lateness: str = LATENESS) -> DataFrame:
     return accesslog.latency_quantiles(watched(log, lateness), 0.95)
 
 
+def latency_sketches(log: DataFrame, slot_seconds: int = 60, lateness: str = LATENESS) -> DataFrame:
+    """Sketches of closed slots, for ``accesslog.sketched_latency`` to merge: the state holds open slots only."""
+    return accesslog.latency_sketches(watched(log, lateness), slot_seconds)
+
+
 def quota_breaches(log: DataFrame, caller: str = "ip", lateness: str = LATENESS) -> DataFrame:
     return accesslog.quota_breaches(watched(log, lateness), caller)
 

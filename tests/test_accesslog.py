@@ -56,3 +56,36 @@ def test_rate(spark):
     rows = accesslog.request_rate(_log(spark, [(0, "a", "/p", 200, 0.1)] * 30)).collect()
     assert [r.par_seconde for r in rows] == [0.5]
     assert accesslog.anonymized(_log(spark, [(0, "1.2.3.4", "/p", 200, 0.1)])).select(F.max("ip")).head()[0] == "1.2.0.0"
+
+
+def test_sketches_merge_into_sliding_windows(spark):
+    rows = [(s, "a", f"/p{s % 2}", 200, (s * 37 % 1000) / 100) for s in range(1200)]
+    log = _log(spark, rows)
+    slots = accesslog.latency_sketches(log)
+    assert slots.count() == 40  # a row per path and minute, whatever their requests
+    # The shares of a log that were sketched apart add up to the whole.
+    half = accesslog.latency_sketches(log.where("duration_s < 5")).unionByName(
+        accesslog.latency_sketches(log.where("duration_s >= 5"))
+    )
+    start = int(T0.replace(tzinfo=datetime.timezone.utc).timestamp())
+    for told in (slots, half):
+        found = {
+            (r.debut, r.path): (r.n, r.latence_s)
+            for r in accesslog.sketched_latency(told).withColumn("debut", F.unix_timestamp("debut")).collect()
+        }
+        want = {}
+        for s, _, path, _, d in rows:
+            for back in range(5):
+                want.setdefault((start + s // 60 * 60 - 60 * back, path), []).append(d)
+        assert {k: n for k, (n, _) in found.items()} == {k: len(v) for k, v in want.items()}
+        for key, values in want.items():
+            upto = sum(v <= found[key][1] for v in values) / len(values)
+            below = sum(v < found[key][1] for v in values) / len(values)
+            assert below - 0.01 <= 0.95 <= upto + 0.01
+
+
+def test_sketches_of_nothing(spark):
+    log = _log(spark, [(0, "a", "/p", 200, None), (70, "a", "/p", 200, 1.0)])
+    found = {r.n: r.latence_s for r in accesslog.sketched_latency(accesslog.latency_sketches(log), window_slots=1).collect()}
+    assert found == {0: None, 1: 1.0}
+    assert accesslog.sketched_latency(accesslog.latency_sketches(log.limit(0))).collect() == []

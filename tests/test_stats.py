@@ -1,7 +1,9 @@
 import math
 import random
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from barorail.operators import ordered
 from barorail.plans import stats
@@ -17,9 +19,19 @@ def _brute_corr(a, b):
     return top / math.sqrt(sum((x - ma) ** 2 for x in a) * sum((y - mb) ** 2 for y in b))
 
 
-@pytest.fixture(params=[2, 7, 10_000], ids=["half split", "some split", "one range"])
-def splitting(request, monkeypatch):
-    monkeypatch.setattr(ordered, "VALUES_PER_SPLITTER", request.param)
+@pytest.fixture(params=[50, 7, 1], ids=["many ranges", "some ranges", "one range"])
+def splitting(request, spark):
+    """So many partitions of a shuffle by range, none of them merged."""
+    settings = {
+        "spark.sql.shuffle.partitions": str(request.param),
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
 
 
 @pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.95, 0.99, 1.0])
@@ -146,3 +158,24 @@ def test_beta_at_large_parameters():
     for a, b in ((2, 3), (7, 40), (15, 15), (12, 90)):
         exact = Fraction(math.factorial(a - 1) * math.factorial(b - 1), math.factorial(a + b - 1))
         assert abs(log_beta(a, b) - math.log(exact)) < 1e-12 * abs(math.log(exact))
+
+
+def test_numbers_follow_the_order(spark, splitting):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, 1.0, 2.0, rng.random()]), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "x double, id long")
+    order = [F.col("x").desc_nulls_last(), F.col("id")]
+    found = sorted(ordered.numbered(df, order, "place").collect(), key=lambda r: r.place)
+    want = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0.0), r[1]))
+    assert [(r.x, r.id) for r in found] == want
+    assert [r.place for r in found] == list(range(1, 3001))
+    assert ordered.numbered(df.limit(0), order).collect() == []
+
+
+def test_no_task_sorts_a_whole_group(spark, splitting):
+    df = spark.createDataFrame([("a", float(i)) for i in range(500)], "g string, x double")
+    for keys in ([], ["g"]):
+        ranked = ordered.running_counts(ordered.value_counts(df, keys, "x"), keys, "x")
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"Window [^\n]*\n[^\n]*Sort[^\n]*\n[^\n]*Exchange SinglePartition", plan)
+        assert {(r.x, r.before, r.total) for r in ranked.collect()} == {(float(i), i, 500) for i in range(500)}
