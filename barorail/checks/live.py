@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ids, labels
 from ..operators import sketches
+from ..operators.polylines import PART
 from ..plans import accesslog, gtfs, messages, quality, realtime
 from ..schemas import COUNTRIES, LINE_TYPES
 from .registry import add
@@ -54,16 +55,25 @@ add(
 
 def _shape_lists(v) -> DataFrame:
     lists = gtfs.shape_polylines(v.shapes, gtfs.trip_shapes(v.trips, v.basic_routes))
-    return lists.select("shape_id", F.posexplode("points").alias("rang", "p")).select(
-        "shape_id", "rang", "p.lat", "p.lon"
+    return lists.select("shape_id", "part", F.posexplode("points").alias("pos", "p")).select(
+        "shape_id", (F.col("part") * PART + F.col("pos")).alias("rang"), "p.lat", "p.lon"
     )
 
 
+def _numbered_points(v) -> DataFrame:
+    placed = gtfs.numbered_shape_points(v.shapes, gtfs.trip_shapes(v.trips, v.basic_routes))
+    return placed.select("shape_id", F.col("rang").cast("int").alias("rang"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
+
+
+_NUMBERED = """SELECT shape_id, CAST(row_number() OVER (PARTITION BY shape_id ORDER BY seq) - 1 AS INTEGER) AS rang,
+        latitude AS lat, longitude AS lon FROM shape_pts WHERE shape_id IN (SELECT shape_id FROM rail)"""
+add("dp12_shape_points_numbered", _numbered_points, _NUMBERED)
+
+
 add(
     "dp12_shape_lists",
     _shape_lists,
-    """SELECT shape_id, CAST(row_number() OVER (PARTITION BY shape_id ORDER BY seq) - 1 AS INTEGER) AS rang,
-        latitude AS lat, longitude AS lon FROM shape_pts WHERE shape_id IN (SELECT shape_id FROM rail)""",
+    _NUMBERED,
 )
 add(
     "dp13_rail_routes",

@@ -70,6 +70,23 @@ def numbered(df: DataFrame, order: list[Column], name: str = "number") -> DataFr
     return rows.join(offsets, "_part").withColumn(name, place).drop("_part", "_at", "_offset", "total")
 
 
+def numbered_within(df: DataFrame, keys: list[str], order: list[str], name: str = "number") -> DataFrame:
+    """``df`` with 0, 1, 2, ... in ``order`` inside each group, whatever the size of a group.
+
+    A shuffle by range on keys and order cuts a large group into several partitions and keeps small ones
+    together; a row's number is its place in its partition, less that of the first of its group there,
+    plus the rows of the group in the partitions before.
+    """
+    sorted_ = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    rows = written(sorted_.withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    rows = rows.withColumn("_part", F.shiftright("_at", ROW_BITS).cast("int"))
+    sizes = rows.groupBy(*keys, "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_size"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, "_part", (F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    placed = _meet(rows, offsets, [*keys, "_part"])
+    return placed.withColumn(name, F.col("_at") + F.col("_shift")).drop("_part", "_at", "_shift")
+
+
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Rows per group and distinct non-null value."""
     return df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))

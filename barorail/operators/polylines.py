@@ -1,22 +1,86 @@
-"""Ordered point lists."""
+"""Tracks: numbered points, lists of them for export, and the point nearest to a position."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import geo
+from .ordered import numbered_within
+
+#: Most points in a row of ``polyline_parts``.
+PART = 10_000
+#: Side of a cell of the grid of ``nearest_points``, in degrees.
+CELL = 0.02
+#: How many cells around a position are searched, one ring after the other; then the whole track.
+RINGS = (1, 4, 16)
+
+
+def _point(p: Column) -> Column:
+    return F.struct(p["latitude"].alias("lat"), p["longitude"].alias("lon"))
+
 
 def polylines(points: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    """Points in sequence order as ``points`` arrays, one row per key.
+    """Points in sequence order as ``points`` arrays, one row per key: for lines that are drawn at once.
 
-    A line is as long as the track it draws. Whoever needs no list works on the points themselves.
+    Tracks of any length go through ``polyline_parts``; whoever needs no list works on the points themselves.
     """
     rows = points.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(seq, "latitude", "longitude"))).alias("_points")
     )
-    return rows.select(
-        *keys,
-        F.transform(
-            "_points", lambda p: F.struct(p["latitude"].alias("lat"), p["longitude"].alias("lon"))
-        ).alias("points"),
-    )
+    return rows.select(*keys, F.transform("_points", _point).alias("points"))
+
+
+def numbered_points(points: DataFrame, keys: list[str], seq: str, name: str = "rang") -> DataFrame:
+    """Points with 0, 1, 2, ... along each track; equal sequence numbers follow by latitude and longitude."""
+    return numbered_within(points, keys, [seq, "latitude", "longitude"], name)
+
+
+def polyline_parts(points: DataFrame, keys: list[str], seq: str, part: int = PART) -> DataFrame:
+    """Tracks as lists of at most ``part`` points: ``keys``, ``part`` (0, 1, 2, ... along the track), ``points``."""
+    placed = numbered_points(points, keys, seq, "_place")
+    rows = placed.withColumn("part", F.floor(F.col("_place") / F.lit(part)).cast("int")).groupBy(*keys, "part")
+    listed = rows.agg(F.sort_array(F.collect_list(F.struct("_place", "latitude", "longitude"))).alias("_points"))
+    return listed.select(*keys, "part", F.transform("_points", _point).alias("points"))
+
+
+def _cell(degrees: Column, cell: float) -> Column:
+    return F.floor(degrees / F.lit(cell)).cast("int")
+
+
+def nearest_points(
+    track: DataFrame, positions: DataFrame, key: str, seq: str, cell: float = CELL, rings: tuple[int, ...] = RINGS
+) -> DataFrame:
+    """``key, d2, cut, compared``: for each position the sequence number of its track's nearest point.
+
+    ``track`` holds ``key, seq, latitude, longitude``, ``positions`` one row per ``key`` with ``_latitude`` and
+    ``_longitude``. Points are looked up by cell of a grid, in growing squares around a position: one found
+    nearer than the square reaches is the nearest of the whole track. ``compared`` counts the points looked at
+    in the last square. A position without coordinates, or farther than the last square from its track, is
+    compared with all of it. Of equally near points the first counts; points without coordinates do not.
+    """
+    points = track.where("latitude IS NOT NULL AND longitude IS NOT NULL").select(
+        key, F.col(seq).alias("cut"), "latitude", "longitude",
+        _cell(F.col("latitude"), cell).alias("_y"), _cell(F.col("longitude"), cell).alias("_x"),
+    )
+    d2 = geo.squared_degrees(F.col("latitude"), F.col("longitude"), F.col("_latitude"), F.col("_longitude"))
+
+    def best(met: DataFrame) -> DataFrame:
+        rows = met.groupBy(key).agg(F.min(F.struct(d2.alias("d2"), "cut")).alias("_n"), F.count("*").alias("compared"))
+        return rows.select(key, "_n.d2", "_n.cut", "compared")
+
+    found, left = [], positions.select(key, "_latitude", "_longitude")
+    for ring in rings:
+        around = F.sequence(F.lit(-ring), F.lit(ring))
+        cells = left.withColumn("_dy", F.explode(around)).withColumn("_dx", F.explode(around)).select(
+            key, "_latitude", "_longitude",
+            (_cell(F.col("_latitude"), cell) + F.col("_dy")).alias("_y"),
+            (_cell(F.col("_longitude"), cell) + F.col("_dx")).alias("_x"),
+        )
+        sure = best(cells.join(points, [key, "_y", "_x"])).where(F.col("d2") < F.lit((ring * cell) ** 2))
+        found.append(sure)
+        left = left.join(sure, key, "left_anti")
+    found.append(best(left.join(points, key)))
+    return reduce(DataFrame.unionByName, found)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import safe_double, safe_int
 from ..functions.text import not_blank
 from ..functions.times import clock_seconds
-from ..operators.polylines import polylines
+from ..operators.polylines import numbered_points, polyline_parts
 
 # The rail family of the extended route types, and rail among the basic ones.
 EXTENDED_RAIL = (100, 117)
@@ -83,9 +83,17 @@ def shape_points(points: DataFrame) -> DataFrame:
 
 
 def shape_polylines(points: DataFrame, shapes_of_trips: DataFrame) -> DataFrame:
-    """Ordered point lists of the shapes that rail trips use, one row per shape."""
-    used = shape_points(points).join(shapes_of_trips, "shape_id", "left_semi")
-    return polylines(used, ["shape_id"], "shape_pt_sequence")
+    """Ordered point lists of the shapes that rail trips use: ``shape_id, part, points``, long ones in parts."""
+    return polyline_parts(used_shape_points(points, shapes_of_trips), ["shape_id"], "shape_pt_sequence")
+
+
+def numbered_shape_points(points: DataFrame, shapes_of_trips: DataFrame) -> DataFrame:
+    """The same points one row each, with their place ``rang`` along the shape."""
+    return numbered_points(used_shape_points(points, shapes_of_trips), ["shape_id"], "shape_pt_sequence")
+
+
+def used_shape_points(points: DataFrame, shapes_of_trips: DataFrame) -> DataFrame:
+    return shape_points(points).join(shapes_of_trips, "shape_id", "left_semi")
 
 
 def stop_sequence_map(stop_times: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from ..functions.labels import delay_status, whole_minutes
 from ..functions.text import first_filled, preferred_translation
 from ..functions.times import present
 from ..operators.keyed import spread_nulls
-from ..operators.polylines import polylines
+from ..operators.polylines import nearest_points, polylines
 
 MAX_AGE_S = 600
 MAP_MARKERS = 500
@@ -382,18 +382,11 @@ def trip_shape(trip_ids: DataFrame, shapes_of_trips: DataFrame, points: DataFram
 def split_shape(shape: DataFrame, positions: DataFrame) -> DataFrame:
     """Split each track at the point nearest to the train; both halves keep that point.
 
-    ``positions`` holds ``trip_id, _latitude, _longitude``. The nearest point (the first of equally
-    near ones) is a minimum, so no track is gathered in one place.
+    ``positions`` holds ``trip_id, _latitude, _longitude``, and is read several times. The nearest point
+    (the first of equally near ones) is looked for among those around the train (``nearest_points``).
     """
-    d2 = geo.squared_degrees(
-        F.col("latitude"), F.col("longitude"), F.col("_latitude"), F.col("_longitude")
-    )
-    nearest = (
-        shape.join(positions.select("trip_id", "_latitude", "_longitude"), "trip_id")
-        .groupBy("trip_id")
-        .agg(F.min(F.struct(d2.alias("d2"), F.col("shape_pt_sequence").alias("cut"))).alias("_n"))
-        .select("trip_id", F.col("_n.cut").alias("_cut"))
-    )
+    found = nearest_points(shape, positions, "trip_id", "shape_pt_sequence")
+    nearest = found.select("trip_id", F.col("cut").alias("_cut"))
     sides = F.array_compact(
         F.array(
             F.when(F.col("shape_pt_sequence") <= F.col("_cut"), F.lit("parcouru")),

@@ -1,9 +1,11 @@
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from barorail import schemas as S
-from barorail.operators.polylines import polylines
+from barorail.operators.polylines import nearest_points, numbered_points, polyline_parts, polylines
 from barorail.plans import gtfs, stations
 
 
@@ -101,3 +103,59 @@ def test_a_line_is_one_list_whatever_its_numbers(spark):
     df = spark.createDataFrame(rows, "shape_id string, seq int, latitude double, longitude double")
     (line,) = polylines(df, ["shape_id"], "seq").collect()
     assert [p.lat for p in line.points] == [float(i) for i in range(2500)]
+
+
+def test_tracks_are_numbered_across_partitions(spark):
+    rng = random.Random(2)
+    sizes = {"hot": 4000, "b": 7, "c": 1, None: 12}
+    rows = [(k, rng.choice([i, i // 2]), rng.random(), rng.random()) for k, n in sizes.items() for i in range(n)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, seq int, latitude double, longitude double")
+    settings = {"spark.sql.shuffle.partitions": "9", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        placed = numbered_points(df, ["k"], "seq")
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+        assert "collect_list" not in plan
+        found = placed.collect()
+        parts = polyline_parts(df, ["k"], "seq", part=100).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    for k, n in sizes.items():
+        want = sorted(r[1:] for r in rows if r[0] == k)
+        own = sorted((r for r in found if r.k == k), key=lambda r: r.rang)
+        assert [r.rang for r in own] == list(range(n))
+        assert [(r.seq, r.latitude, r.longitude) for r in own] == want
+        lists = sorted((r for r in parts if r.k == k), key=lambda r: r.part)
+        assert max(len(r.points) for r in lists) <= 100
+        assert [(p.lat, p.lon) for r in lists for p in r.points] == [w[1:] for w in want]
+    assert numbered_points(df.limit(0), ["k"], "seq").collect() == []
+
+
+def test_nearest_points_look_around_only(spark):
+    rng = random.Random(4)
+    tracks, places = [], []
+    for trip in range(30):
+        lat, lon = 45 + rng.random(), 4 + rng.random()
+        for seq in range(600):
+            tracks.append((f"t{trip}", seq, lat, lon))
+            lat, lon = lat + rng.uniform(-0.004, 0.01), lon + rng.uniform(-0.004, 0.01)
+        _, _, a, b = tracks[-rng.randint(1, 600)]
+        far = 5.0 if trip == 7 else 0.3 if trip == 8 else 0.003
+        places.append((f"t{trip}", a + rng.uniform(-far, far), b + rng.uniform(-far, far)))
+    tracks += [("t0", 9000, None, None), ("t3", 700, 50.0, 8.0), ("t3", 701, 50.0, 8.0)]
+    places[3] = ("t3", 50.0, 8.0)
+    places += [("nowhere", 45.0, 4.0), ("unplaced", None, None)]
+    tracks += [("unplaced", 3, 45.0, 4.0), ("unplaced", 4, 45.0, 4.1)]
+    track = spark.createDataFrame(tracks, "trip_id string, seq int, latitude double, longitude double")
+    positions = spark.createDataFrame(places, "trip_id string, _latitude double, _longitude double")
+    found = {r.trip_id: r for r in nearest_points(track, positions, "trip_id", "seq").collect()}
+    for trip, lat, lon in places[:30]:
+        own = [(((a - lat) ** 2 + (b - lon) ** 2), s) for t, s, a, b in tracks if t == trip and a is not None]
+        assert (found[trip].cut, pytest.approx(found[trip].d2)) == (min(own)[1], min(own)[0])
+    assert found["t3"].cut == 700 and found["unplaced"].cut == 3 and "nowhere" not in found
+    near = sorted(r.compared for t, r in found.items() if t not in ("t7", "t8"))
+    assert near[len(near) // 2] < 60 and found["t7"].compared >= 600
