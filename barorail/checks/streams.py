@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +50,7 @@ def _streamed(v: Views, table: str) -> StreamViews:
 def _published(v: Views) -> DataFrame:
     """Snapshots to resolved message lines, through a stream."""
     out = scratch_dir(v.spark, "messages")
-    stop_map = v.written("stop_map", messages.trip_timetables(v.stop_map))
+    stop_map = messages.write_timetable(v.stop_map, f"timetable_{uuid.uuid4().hex}", scratch_dir(v.spark, "timetable"), buckets=8)
 
     def to_messages(feeds: DataFrame) -> DataFrame:
         return messages.trip_messages(

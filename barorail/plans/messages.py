@@ -9,6 +9,7 @@ from ..functions.times import iso_epoch, midnight_epoch, minutes_to_seconds
 from ..functions.ids import dated_trip_id
 from ..operators.keyed import latest_per_key
 from ..schemas import STOPS
+from ..session import written
 
 SEQUENCE_TZ = "Europe/Warsaw"
 
@@ -71,8 +72,22 @@ def last_map_entries(stop_map: DataFrame) -> DataFrame:
     )
 
 
+def write_timetable(stop_map: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
+    """The reduced timetable as a table in buckets of trip and stop number, for joins that do not move it.
+
+    A trip's entries lie in all buckets, however many it has. Choose the buckets for the size of the
+    timetable; batches of messages come to them. The files lie below ``path``.
+    """
+    known = last_map_entries(stop_map).filter(F.col("stop_sequence").isNotNull())
+    keys = ("trip_id", "stop_sequence")
+    dealt = known.repartition(buckets, *keys)
+    writer = dealt.write.mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return stop_map.sparkSession.table(table)
+
+
 def trip_timetables(stop_map: DataFrame) -> DataFrame:
-    """One row per trip with its timetable as a map from stop number to entry."""
+    """One row per trip with its timetable as a map from stop number to entry: for trips of ordinary length."""
     entry = F.struct("stop_id", "arrival_seconds", "departure_seconds")
     entries = F.collect_list(F.struct(F.col("stop_sequence"), entry))
     known = last_map_entries(stop_map).filter(F.col("stop_sequence").isNotNull())
@@ -84,33 +99,56 @@ def resolved_stops(
 ) -> DataFrame:
     """``stops`` with ids and delays filled from the timetable.
 
-    The timetable is reduced to one row per trip and meets the messages on the trip; stops are filled
-    inside the array they came in, so messages stay apart however equal they are. A stream reduces the
-    timetable once with ``trip_timetables``, writes it, and says so by ``map_is_reduced``.
+    Every stop of a message meets the timetable on trip and stop number, so neither a trip nor its
+    timetable is ever one row here; messages are numbered in a written table first, and get their stops
+    back by that number, so they stay apart however equal they are. A stream reduces the timetable once,
+    with ``write_timetable``, and says so by ``map_is_reduced``; one made by ``trip_timetables`` meets
+    whole messages on the trip.
     """
-    timetables = stop_map if map_is_reduced else trip_timetables(stop_map)
     # Midnight is worked out once per message, not for every time of every stop.
     dated = entities.withColumn("_midnight", midnight_epoch(F.col("start_date"), tz))
-    met = dated.join(timetables.withColumnRenamed("timetable", "_timetable"), "trip_id", "left")
+    if "timetable" in stop_map.columns:
+        met = dated.join(stop_map.withColumnRenamed("timetable", "_timetable"), "trip_id", "left")
+
+        def filled(update: Column) -> Column:
+            return _filled(update, F.try_element_at("_timetable", F.coalesce(update["stop_sequence"], F.lit(0))))
+
+        return met.withColumn("stops", F.transform("updates", filled).cast(STOPS)).drop("updates", "_midnight", "_timetable")
+    known = stop_map if map_is_reduced else last_map_entries(stop_map)
+    entry = ["stop_id", "arrival_seconds", "departure_seconds"]
+    known = known.select("trip_id", "stop_sequence", F.struct(*entry).alias("_entry"))
+    kept = [c for c in entities.columns if c != "updates"]
+    messages = written(dated.withColumn("_message", F.monotonically_increasing_id()), "entities")
+    rows = messages.select(
+        "_message", "trip_id", F.struct(*[c for c in kept if c != "trip_id"]).alias("_kept"), "_midnight",
+        F.posexplode("updates").alias("_pos", "_update"),
+    )
+    rows = rows.withColumn("stop_sequence", F.coalesce(F.col("_update.stop_sequence"), F.lit(0)))
+    met = rows.join(known, ["trip_id", "stop_sequence"], "left")
+    stop = F.struct("_pos", _filled(F.col("_update"), F.col("_entry")).alias("s"))
+    # All rows of a message carry the same trip and envelope.
+    whole = met.groupBy("_message").agg(
+        F.any_value("trip_id").alias("trip_id"), F.any_value("_kept").alias("_kept"), F.sort_array(F.collect_list(stop)).alias("_stops")
+    )
+    stops = F.transform("_stops", lambda s: s["s"]).cast(STOPS)
+    return whole.select(*[F.col(c) if c == "trip_id" else F.col(f"_kept.{c}") for c in kept], stops.alias("stops"))
 
-    def stop(update: Column) -> Column:
-        entry = F.try_element_at("_timetable", F.coalesce(update["stop_sequence"], F.lit(0)))
 
-        def delay(event: str, seconds: str) -> Column:
-            planned = F.col("_midnight") + entry[seconds]
-            return F.coalesce(update[event]["delay"], update[event]["time"] - planned)
+def _filled(update: Column, entry: Column) -> Column:
+    """A stop of a message whose timetable entry is ``entry``, NULL if it has none."""
 
-        published = update["stop_id"]
-        return _stop(
-            F.when(published != "", published).otherwise(F.coalesce(entry["stop_id"], F.lit(""))),
-            update["arrival"]["time"],
-            delay("arrival", "arrival_seconds"),
-            update["departure"]["time"],
-            delay("departure", "departure_seconds"),
-        )
+    def delay(event: str, seconds: str) -> Column:
+        planned = F.col("_midnight") + entry[seconds]
+        return F.coalesce(update[event]["delay"], update[event]["time"] - planned)
 
-    stops = F.transform("updates", stop).cast(STOPS)
-    return met.withColumn("stops", stops).drop("updates", "_midnight", "_timetable")
+    published = update["stop_id"]
+    return _stop(
+        F.when(published != "", published).otherwise(F.coalesce(entry["stop_id"], F.lit(""))),
+        update["arrival"]["time"],
+        delay("arrival", "arrival_seconds"),
+        update["departure"]["time"],
+        delay("departure", "departure_seconds"),
+    )
 
 
 def as_messages(entities: DataFrame, country: str | None, captured_at: Column | None = None) -> DataFrame:

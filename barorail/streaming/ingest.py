@@ -59,8 +59,8 @@ def country_messages(
 ) -> DataFrame:
     """Messages of snapshots that carry ``pays``, each country with its own allowlist and timetable.
 
-    The timetables in ``stop_maps`` are reduced by ``trip_timetables`` beforehand, once, not with
-    every micro-batch.
+    The timetables in ``stop_maps`` are reduced by ``write_timetable`` or ``trip_timetables`` beforehand,
+    once, not with every micro-batch.
     """
     special = sorted({*rail_routes, *rail_trips, *stop_maps})
     parts = [

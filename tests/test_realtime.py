@@ -356,3 +356,32 @@ def test_equal_snapshots_stay_two_messages(spark, tmp_path):
     for timetable in (None, stop_map):
         rows = messages.trip_messages(feeds, "PL", stop_map=timetable).collect()
         assert [len(r.stops) for r in rows] == [1, 1]
+
+
+def test_a_timetable_in_buckets_stays_where_it_is(spark, tmp_path):
+    long_trip = spark.range(1_000_000).select(
+        F.lit("t1").alias("trip_id"), F.col("id").cast("int").alias("stop_sequence"),
+        F.concat(F.lit("S"), "id").alias("stop_id"), F.col("id").alias("arrival_seconds"), F.lit(None).cast("bigint").alias("departure_seconds"),
+    )
+    table = messages.write_timetable(long_trip, "long_timetable", str(tmp_path / "timetable"), buckets=6)
+    sizes = [r["count"] for r in table.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 6 and max(sizes) < 200_000
+    updates = [{"stop_sequence": n, "arrival": {"delay": 1}} for n in (5, 999_999, 1_000_000, 5)] + [{"stop_id": "x"}]
+    feeds = _read_feed(spark, tmp_path, _feed(updates), _feed(updates), _feed(updates[:1], trip="t2"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = messages.trip_messages(feeds, "PL", stop_map=table, map_is_reduced=True)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        timetable = plan[plan.index("SortMergeJoin") :].split("Scan parquet")
+        # The side of the timetable goes from its scan to the join without an exchange.
+        (side,) = [i for i, part in enumerate(timetable) if "long_timetable" in part[:200]]
+        above = timetable[side - 1].rsplit("\n", 8)[-8:]
+        assert "Bucketed: true" in timetable[side] and not any("Exchange" in line for line in above[-4:])
+        rows = sorted(found.collect(), key=lambda r: r.trip_id)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP TABLE long_timetable")
+    assert [r.trip_id for r in rows] == ["t1", "t1", "t2"]  # equal messages stay apart
+    assert [s.stop_id for s in rows[0].stops] == ["S5", "S999999", "", "S5", "x"]
+    assert [s.stop_id for s in rows[2].stops] == [""]
