@@ -346,9 +346,24 @@ add(
         SELECT rank() OVER (ORDER BY x) + (COUNT(*) OVER (PARTITION BY x) - 1) / 2e0 AS rx,
           rank() OVER (ORDER BY y) + (COUNT(*) OVER (PARTITION BY y) - 1) / 2e0 AS ry FROM {_POINTS})""",
 )
+# Student's t in closed form: finite sums over the squared cosine 1 - rho^2, one for even and one for odd freedom.
+_RANK_TEST = f"""SELECT * FROM (WITH r AS (SELECT COUNT(*) AS n, CORR(rx, ry) AS rho FROM (
+        SELECT rank() OVER (ORDER BY x) + (COUNT(*) OVER (PARTITION BY x) - 1) / 2e0 AS rx,
+          rank() OVER (ORDER BY y) + (COUNT(*) OVER (PARTITION BY y) - 1) / 2e0 AS ry FROM {_POINTS})),
+    k AS (SELECT n, rho, unnest(generate_series(0, (n - 2) // 2 - 1)) AS k FROM r),
+    s AS (SELECT n, rho,
+        SUM(exp(lgamma(2 * k + 1) - 2 * lgamma(k + 1) - k * ln(4) + k * ln(1 - rho * rho))) AS even,
+        SUM(exp(2 * (k * ln(2) + lgamma(k + 1)) - lgamma(2 * k + 2) + k * ln(1 - rho * rho))) AS odd
+        FROM k GROUP BY n, rho),
+    p AS (SELECT n, rho, 1 - CASE WHEN n % 2 = 0 THEN abs(rho) * even
+        ELSE 2 / pi() * (asin(abs(rho)) + abs(rho) * sqrt(1 - rho * rho) * odd) END AS p FROM s)
+    SELECT n, ROUND(rho, 6) AS rho, ROUND(p, 9) AS p_value, p < 0.05 AS significatif FROM p)"""
 add(
     "sx3_price_rank_test",
-    lambda v: stats.price_rank_test(analytics.price_punctuality_points(v.fares_table, v.fact_table)),
+    lambda v: stats.price_rank_test(analytics.price_punctuality_points(v.fares_table, v.fact_table)).select(
+        "n", F.round("rho", 6).alias("rho"), F.round("p_value", 9).alias("p_value"), "significatif"
+    ),
+    _RANK_TEST,
 )
 add(
     "sx6_group_descriptives",

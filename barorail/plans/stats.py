@@ -6,7 +6,6 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.numeric import exact_mean
 from ..operators.ordered import spearman
@@ -83,9 +82,51 @@ def rank_test_p(rho: float | None, n: int) -> float | None:
     return incomplete_beta(freedom / 2.0, 0.5, freedom / (freedom + t2))
 
 
-# Both run on a single result row.
-_f_test_p = F.udf(lambda f, between, within: f_test_p(f, between, within), T.DoubleType())
-_rank_test_p = F.udf(lambda rho, n: rank_test_p(rho, n), T.DoubleType())
+#: Coefficients of Stirling's series in 1/z, 1/z^3, ...
+STIRLING = (1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188)
+#: Arguments of the logarithm of the gamma function are moved up by so much, where the series is exact.
+SHIFT = 12
+
+
+def log_gamma(z: Column) -> Column:
+    """ln of the gamma function for positive ``z``."""
+    moved = z + SHIFT
+    series = sum((F.lit(c) / F.pow(moved, F.lit(float(2 * i + 1))) for i, c in enumerate(STIRLING)), F.lit(0.0))
+    product = F.aggregate(F.sequence(F.lit(0), F.lit(SHIFT - 1)), F.lit(0.0), lambda s, i: s + F.log(z + i))
+    return (moved - 0.5) * F.log(moved) - moved + F.lit(0.5 * math.log(2 * math.pi)) + series - product
+
+
+def with_beta_tail(df: DataFrame, a: Column, b: Column, x: Column, name: str) -> DataFrame:
+    """``df`` with the regularised incomplete beta function of each row, as column expressions.
+
+    A continued fraction from the front, by a fold over its steps; their number grows with the root of the
+    parameters, as its convergence asks. On the far side of the mean the mirrored fraction converges.
+    """
+    far = x > (a + 1) / (a + b + 2)
+    held = df.withColumn("_far", far).withColumn(
+        "_t",
+        F.when(F.col("_far"), F.struct(b.alias("a"), a.alias("b"), (1 - x).alias("x"))).otherwise(
+            F.struct(a.alias("a"), b.alias("b"), x.alias("x"))
+        ),
+    )
+    p, q, y = F.col("_t.a"), F.col("_t.b"), F.col("_t.x")
+    steps = (2 * (60 + 6 * F.ceil(F.sqrt(F.greatest(p, q))))).cast("int")
+
+    def step(s: Column, i: Column) -> Column:
+        m = F.floor((i + 1) / 2)
+        odd = m * (q - m) * y / ((p + 2 * m - 1) * (p + 2 * m))
+        even = -(p + m) * (p + q + m) * y / ((p + 2 * m) * (p + 2 * m + 1))
+        term = F.when(i % 2 == 1, odd).otherwise(even)
+        d, c = 1 / (1 + term * s["d"]), 1 + term / s["c"]
+        return F.struct(c.alias("c"), d.alias("d"), (s["h"] * d * c).alias("h"))
+
+    first = 1 / (1 - (p + q) * y / (p + 1))
+    begin = F.struct(F.lit(1.0).alias("c"), first.alias("d"), first.alias("h"))
+    fraction = F.aggregate(F.sequence(F.lit(1), steps), begin, step)["h"]
+    scale = F.exp(log_gamma(p + q) - log_gamma(p) - log_gamma(q) + p * F.log(y) + q * F.log(1 - y)) / p
+    inside = F.when(y <= 0, F.lit(0.0)).when(y >= 1, F.lit(1.0)).otherwise(scale * fraction)
+    tail = F.when(x.isNull() | a.isNull() | b.isNull(), F.lit(None)).when(F.col("_far"), 1 - inside).otherwise(inside)
+    return held.withColumn(name, tail.cast("double")).drop("_far", "_t")
 
 
 def sums_of_squares(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -160,14 +201,12 @@ def anova_statistic(fact: DataFrame, grain: str = "axis") -> DataFrame:
 
 def anova(fact: DataFrame, grain: str = "axis") -> DataFrame:
     """``anova_statistic`` with its p-value and the significance flag."""
-    p = _f_test_p(
-        "f_stat",
-        (F.col("nb_groupes") - 1).cast("double"),
-        (F.col("n") - F.col("nb_groupes")).cast("double"),
-    )
-    return anova_statistic(fact, grain).withColumn("p_value", p).withColumn(
-        "significatif", F.col("p_value") < ALPHA
-    )
+    between = (F.col("nb_groupes") - 1).cast("double")
+    within = (F.col("n") - F.col("nb_groupes")).cast("double")
+    f = F.col("f_stat")
+    x = F.when(f == math.inf, F.lit(0.0)).otherwise(within / (within + between * f))
+    found = with_beta_tail(anova_statistic(fact, grain), within / 2, between / 2, x, "p_value")
+    return found.withColumn("significatif", F.col("p_value") < ALPHA)
 
 
 def price_rank_correlation(points: DataFrame) -> DataFrame:
@@ -178,11 +217,13 @@ def price_rank_correlation(points: DataFrame) -> DataFrame:
 
 
 def price_rank_test(points: DataFrame) -> DataFrame:
-    return (
-        price_rank_correlation(points)
-        .withColumn("p_value", _rank_test_p("rho", "n"))
-        .withColumn("significatif", F.col("p_value") < ALPHA)
-    )
+    """``price_rank_correlation`` with its two-sided p-value by the t approximation, and the flag."""
+    rho, freedom = F.col("rho"), (F.col("n") - 2).cast("double")
+    # freedom / (freedom + t^2), with t^2 = rho^2 freedom / (1 - rho^2)
+    x = F.greatest((1 - rho) * (1 + rho), F.lit(0.0))
+    known = F.when(F.col("n") >= 3, freedom / 2)
+    found = with_beta_tail(price_rank_correlation(points), known, F.lit(0.5), F.when(rho.isNotNull(), x), "p_value")
+    return found.withColumn("significatif", F.col("p_value") < ALPHA)
 
 
 def group_descriptives(fact: DataFrame) -> DataFrame:

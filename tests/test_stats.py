@@ -179,3 +179,19 @@ def test_no_task_sorts_a_whole_group(spark, splitting):
         plan = ranked._jdf.queryExecution().executedPlan().toString()
         assert not re.search(r"Window [^\n]*\n[^\n]*Sort[^\n]*\n[^\n]*Exchange SinglePartition", plan)
         assert {(r.x, r.before, r.total) for r in ranked.collect()} == {(float(i), i, 500) for i in range(500)}
+
+
+def test_p_values_as_columns(spark):
+    rng = random.Random(9)
+    rows = [(rng.uniform(-1, 1), rng.randint(3, 400)) for _ in range(40)] + [(0.0, 5), (1.0, 5), (-1.0, 9), (0.01, 90_000)]
+    df = spark.createDataFrame([(r, n, r * r, stats.rank_test_p(r, n)) for r, n in rows], "rho double, n long, r2 double, p double")
+    a, x = (F.col("n") - 2) / 2, (1 - F.col("rho")) * (1 + F.col("rho"))
+    for r in stats.with_beta_tail(df, a, F.lit(0.5), x, "found").collect():
+        assert r.found == pytest.approx(r.p, rel=1e-8, abs=1e-13)
+    tests = [(rng.uniform(0, 9), float(rng.randint(1, 30)), float(rng.randint(1, 3000))) for _ in range(40)]
+    df = spark.createDataFrame([(*t, stats.f_test_p(*t)) for t in tests], "f double, between double, within double, p double")
+    x = F.col("within") / (F.col("within") + F.col("between") * F.col("f"))
+    for r in stats.with_beta_tail(df, F.col("within") / 2, F.col("between") / 2, x, "found").collect():
+        assert r.found == pytest.approx(r.p, rel=1e-8, abs=1e-13)
+    nothing = spark.createDataFrame([(None, 5), (None, 0)], "rho double, n long")
+    assert [r.found for r in stats.with_beta_tail(nothing, F.col("n") / 2, F.lit(0.5), F.col("rho"), "found").collect()] == [None, None]
