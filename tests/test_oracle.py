@@ -2,6 +2,8 @@
 
 import os
 import re
+import subprocess
+import sys
 
 import pytest
 from compare import connect, differences
@@ -37,3 +39,13 @@ def test_entry(spark):
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).columns[:2] == ["type_ligne", "axe_label"]
+
+
+@pytest.mark.parametrize("missing", ["zstandard", "barorail.llm", "corpus_pipeline"])
+def test_queries_without_an_optional_part(missing):
+    code = (
+        f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; "
+        "assert len(e.queries()) > 130 and 'pipeline' not in e.queries(); assert set(e.oracle_sql()) <= set(e.queries())"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=root, check=True)
