@@ -23,14 +23,12 @@ from pyspark.sql import DataFrame
 
 from .common import kept, map_rows
 from .hashing import Recent
+from .merging import Merges, cut_runs
 
 MARK = "▁"  # stands for a space
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = range(1, 7)
-NEVER = 2**31
 #: Longer runs of characters are merged for themselves, with a heap.
 LONG = 128
-#: More than there are pieces and code points.
-SYMBOLS = 2**31
 #: Characters of the texts that are encoded at once.
 BLOCK = 500_000
 #: Entries of a generation of either memory of a worker, and the longest text remembered.
@@ -332,61 +330,27 @@ class PieceModel:
         return found
 
     @cached_property
-    def joins(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Every pair of pieces that make up a piece: left * SYMBOLS + right, ascending, rank and piece made."""
-        made = sorted(
-            (self.ids[p[:i]] * SYMBOLS + self.ids[p[i:]], self.ranks[p], number)
-            for p, number in self.ids.items()
-            for i in range(1, len(p))
-            if p[:i] in self.ids and p[i:] in self.ids
+    def merges(self) -> Merges:
+        """Every pair of pieces that make up a piece."""
+        return Merges(
+            [
+                (self.ids[p[:i]], self.ids[p[i:]], self.ranks[p], number)
+                for p, number in self.ids.items()
+                for i in range(1, len(p))
+                if p[:i] in self.ids and p[i:] in self.ids
+            ]
         )
-        keys, ranks, numbers = np.array(made or [(-1, NEVER, 0)], np.int64).T
-        return keys.copy(), ranks.copy(), numbers.copy()
-
-    def _joined(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank of each pair, NEVER if it makes up no piece, and the piece."""
-        keys, ranks, numbers = self.joins
-        wanted = left * SYMBOLS + right
-        at = np.searchsorted(keys, wanted).clip(max=len(keys) - 1)
-        return np.where(keys[at] == wanted, ranks[at], NEVER), numbers[at]
 
     def _merged_all(self, runs: list[str]) -> list[bytes]:
-        """The pieces of many short runs, all merged side by side: in each round one pair of every run."""
+        """The pieces of many short runs, all merged side by side."""
         out = [b""] * len(runs)
         codes = np.frombuffer("".join(runs).encode("utf-32-le"), "<u4")
         run = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
-        piece = self.letters[codes]
         size = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
-        rank, made = np.full(len(run), NEVER, np.int64), np.zeros(len(run), np.int64)
-
-        def judge(at: np.ndarray) -> None:
-            """Look up the pairs that begin there."""
-            rank[at] = NEVER
-            at = at[at < len(run) - 1]
-            at = at[run[at] == run[at + 1]]
-            rank[at], made[at] = self._joined(piece[at], piece[at + 1])
-
-        judge(np.arange(len(run)))
-        while len(run):
-            first = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
-            least = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.append(first, len(run))))
-            live = least < NEVER
-            if not live.all():
-                of, numbers, sizes = self._spelled(run[~live], piece[~live], size[~live])
-                ended = np.stack([numbers, sizes], axis=1).astype("<u4").tobytes()
-                cuts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-                for name, a, b in zip(of[cuts].tolist(), cuts.tolist(), [*cuts[1:].tolist(), len(of)]):
-                    out[name] = ended[8 * a : 8 * b]
-                run, piece, size, rank, made, least = (x[live] for x in (run, piece, size, rank, made, least))
-            at = np.flatnonzero(rank == least)
-            at = at[np.append(True, run[at][1:] != run[at][:-1])[: len(at)]]  # the leftmost of each run
-            piece[at] = made[at]
-            size[at] += size[at + 1]
-            stays = np.ones(len(run), bool)
-            stays[at + 1] = False
-            run, piece, size, rank, made = (x[stays] for x in (run, piece, size, rank, made))
-            at = at - np.arange(len(at))
-            judge(np.concatenate([at, at[at > 0] - 1]))
+        for ended in self.merges.apply(run, self.letters[codes], size):
+            of, numbers, sizes = self._spelled(*ended)
+            for name, coded in cut_runs(of, np.stack([numbers, sizes], axis=1)):
+                out[name] = coded
         return out
 
     def _spelled(self, run: np.ndarray, piece: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
