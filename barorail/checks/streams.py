@@ -106,6 +106,38 @@ add(
         stop_id, a_time AS arrival_time, a_delay AS arrival_delay, d_time AS departure_time, d_delay AS departure_delay
         FROM (SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY event_id DESC) AS rn FROM stops) WHERE rn = 1""",
 )
+def _replayed(v: Views) -> DataFrame:
+    """The state after messages, their replays with a newer message for every second trip, and very late ones.
+
+    Each of the three comes as a folder of its own and a micro-batch, or several, of its own. Trips last
+    updated before the expiry are gone.
+    """
+    folders, path, checkpoint = (scratch_dir(v.spark, name) for name in ("arriving", "state", "checkpoint"))
+    first = v.messages.where("trip_id IS NOT NULL")
+    even = F.pmod(F.xxhash64("trip_id"), F.lit(2)) == 0
+    own = F.col("feed_timestamp") - F.when(even, 60).otherwise(0)
+    newer = first.where(even).withColumn("feed_timestamp", F.col("feed_timestamp") + 60)
+    late = first.withColumn("feed_timestamp", F.col("feed_timestamp") - 800 * 86_400)
+    for name, sent in (("1", first), ("2", first.unionByName(newer)), ("3", late)):
+        writers.publish_json(sent, f"{folders}/{name}")
+        stream = v.spark.readStream.schema(TRIP_MESSAGE).json(f"{folders}/*").withColumn("arrivee", readers.arrival_order())
+        # Of one trip's messages the newest comes last here; replays are no messages.
+        ordered = state.once_each(stream, "400 days").withColumn("arrivee", F.struct("feed_timestamp"))
+        query = state.upsert_stream(ordered, path, checkpoint, once=True, clock=lambda: F.timestamp_seconds(own))
+        query.awaitTermination()
+    batches = [int(r[0]) for r in v.spark.read.parquet(f"{path}/changes").select("batch_id").distinct().collect()]
+    state.compact(v.spark, path, max(batches), expired_before=F.timestamp_seconds(F.lit(EXPIRY)))
+    now = state.current_state(v.spark, path)
+    return now.select("trip_id", "pays", own.alias("premier"), F.size("stops").alias("arrets"))
+
+
+EXPIRY = NOW - 14 * 86_400
+add(
+    "str9_replayed_state",
+    _replayed,
+    f"""SELECT trip_id, pays, MAX(sec) AS premier, CAST(COUNT(*) AS INTEGER) AS arrets FROM stops
+        WHERE trip_id IS NOT NULL GROUP BY 1, 2 HAVING MAX(sec) >= {EXPIRY}""",
+)
 add(
     "str8_fresh_state",
     lambda v: fresh(v.state, F.lit(NOW), 3600).select("trip_id", "pays", "feed_timestamp"),

@@ -20,6 +20,8 @@ from ..plans.messages import with_default_country
 from ..schemas import TRIP_STATE
 
 POLL_SECONDS = 120
+#: How far behind the newest feed time a message may come and still count.
+LATENESS = "1 hour"
 
 
 def batch_changes(messages: DataFrame, keys: list[str], updated_at: Column) -> DataFrame:
@@ -40,6 +42,19 @@ def batch_changes(messages: DataFrame, keys: list[str], updated_at: Column) -> D
     )
 
 
+def once_each(messages: DataFrame, lateness: str = LATENESS) -> DataFrame:
+    """A stream of messages without replays: each message passes once, however often it is sent.
+
+    What has passed is remembered until the watermark, ``lateness`` behind the newest feed time, is beyond
+    it; what comes after that is late and does not pass at all. So the memory holds the messages of
+    ``lateness``, not of all time, and a replay of any age changes nothing.
+    """
+    at = F.timestamp_seconds(F.coalesce("feed_timestamp", "captured_at", F.lit(0)))
+    named = with_default_country(messages).withColumn("_at", at).withColumn("_said", F.xxhash64("route_id", "stops"))
+    watched = named.withWatermark("_at", lateness)
+    return watched.dropDuplicatesWithinWatermark(["trip_id", "pays", "feed_timestamp", "_said"]).drop("_at", "_said")
+
+
 def _write_batch(path: str, keys: list[str], clock: Callable[[], Column]) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch_changes(batch, keys, clock()).write.mode("overwrite").parquet(
@@ -111,13 +126,22 @@ def current_state(
     return _latest(versions, keys or ["trip_id"]).drop("batch_id")
 
 
-def compact(spark: SparkSession, path: str, upto: int, keys: list[str] | None = None) -> None:
-    """Fold all changes up to batch ``upto`` into a snapshot. Readers use it once it is noted."""
+def compact(
+    spark: SparkSession, path: str, upto: int, keys: list[str] | None = None, expired_before: Column | None = None
+) -> None:
+    """Fold all changes up to batch ``upto`` into a snapshot. Readers use it once it is noted.
+
+    Keys last updated before ``expired_before`` do not go on into the snapshot: they have left the state,
+    until a message brings them back.
+    """
     last = _last_snapshot(spark, path)
     if last is not None and last >= upto:
         return
     versions = _versions(spark, path, last).filter(F.col("batch_id") <= upto)
-    _latest(versions, keys or ["trip_id"]).write.mode("overwrite").parquet(f"{path}/snapshots/upto={upto}")
+    latest = _latest(versions, keys or ["trip_id"])
+    if expired_before is not None:
+        latest = latest.filter(F.col("updated_at") >= expired_before)
+    latest.write.mode("overwrite").parquet(f"{path}/snapshots/upto={upto}")
     spark.range(1).select(F.lit(upto).cast("bigint").alias("upto")).write.mode("append").parquet(
         f"{path}/snapshot_log"
     )

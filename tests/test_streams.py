@@ -163,3 +163,38 @@ def test_stop_time_defaults(spark, tmp_path):
     _drop(folder, "a.json", [_feed("p", 5, None)], 1000)
     (row,) = messages.trip_messages(readers.read_feeds(spark, str(folder)), "FR").collect()
     assert row.stops[0].stop_id == ""
+
+
+def test_replays_and_late_messages_change_nothing(spark, tmp_path):
+    feed, out, checkpoint = tmp_path / "in", tmp_path / "state", tmp_path / "cp"
+    day = 86_400
+
+    def run():
+        stream = readers.read_messages(spark, str(feed), stream=True)
+        state.upsert_stream(state.once_each(stream, "1 day"), str(out), str(checkpoint), once=True).awaitTermination()
+        return _trips(spark, out)
+
+    _drop(feed, "a.json", [_message("t1", 10 * day), _message("t2", 10 * day), _message("old", 9 * day, None)], 1000)
+    before = run()
+    assert before == {"t1": ("FR", 10 * day), "t2": ("FR", 10 * day), "old": ("FR", 9 * day)}
+    _drop(feed, "b.json", [_message("t2", 10 * day + 5)], 2000)
+    after = run()
+    assert after == before | {"t2": ("FR", 10 * day + 5)}
+    # The first message of t2 again, which would win as the last to arrive; and one from before the watermark.
+    _drop(feed, "c.json", [_message("t2", 10 * day), _message("t1", 10 * day), _message("t1", 8 * day)], 3000)
+    assert run() == after
+    _drop(feed, "d.json", [_message("t2", 10 * day + 1)], 4000)  # out of order, but new and in time
+    assert run() == after | {"t2": ("FR", 10 * day + 1)}
+
+
+def test_expired_keys_leave_the_state(spark, tmp_path):
+    out = tmp_path / "state"
+    for batch_id, rows in enumerate([[_message("t1", 1), _message("t2", 1)], [_message("t1", 2)], [_message("t2", 9)]]):
+        folder = tmp_path / f"in{batch_id}"
+        _drop(folder, "a.json", rows, 1000)
+        write = state._write_batch(str(out), ["trip_id"], lambda b=batch_id: F.timestamp_seconds(F.lit(100 * b)))
+        write(readers.read_messages(spark, str(folder)), batch_id)
+        if batch_id == 1:
+            state.compact(spark, str(out), 1, expired_before=F.timestamp_seconds(F.lit(50)))
+            assert _trips(spark, out) == {"t1": ("FR", 2)}
+    assert _trips(spark, out) == {"t1": ("FR", 2), "t2": ("FR", 9)}
