@@ -26,6 +26,7 @@ from ..schemas import (
 from ..session import scratch_dir
 from ..sinks import writers
 from ..sources import readers
+from ..sources.snapshots import snapshot_feeds
 from ..streaming import ingest, state, telemetry
 from .facts import FACT, SLICE
 from .live import _FEED, FINNISH_SQL, _start, _stop_rows, quantile_sql, ranked_right
@@ -77,6 +78,41 @@ add(
 )
 
 
+def _polled(v: Views) -> DataFrame:
+    """Snapshots of two countries, polled by a stream that stops after the first ones and goes on with the others."""
+    root, out, checkpoint = (scratch_dir(v.spark, name) for name in ("snapshots", "messages", "checkpoint"))
+    folders = {pays: f"{root}/{pays}" for pays in ("PL", "SE")}
+    turn = F.pmod(F.floor(F.col("header.timestamp") / 1800), F.lit(4))  # country and snapshot of a feed
+    feeds = v.feeds.select("header", "entity")
+
+    def land(names: dict[str, tuple[int, str]]) -> None:
+        for pays, (which, name) in names.items():
+            feeds.where(turn == which).write.json(f"{folders[pays]}/{name}")
+
+    def poll() -> None:
+        stream = snapshot_feeds(v.spark, folders)
+        shape = lambda batch: ingest.country_messages(batch, {}, {}, {}, F.lit(NOW).cast("bigint"))
+        ingest.publish_stream(stream, shape, out, checkpoint, once=True).awaitTermination()
+
+    land({"PL": (0, "001"), "SE": (1, "001")})
+    poll()
+    poll()  # nothing new
+    land({"PL": (2, "002")})
+    poll()
+    land({"SE": (3, "002")})
+    poll()
+    read = v.spark.read.schema(TRIP_MESSAGE).json(f"{out}/batch=*")
+    return _stop_rows(read, "trip_id", "pays", "feed_timestamp").select("trip_id", "pays", "feed_timestamp", "stop_id", "arrival_time")
+
+
+add(
+    "str1_polled_snapshots",
+    _polled,
+    f"""SELECT trip_id, CASE WHEN instant // 1800 % 2 = 0 THEN 'PL' ELSE 'SE' END AS pays, instant AS feed_timestamp,
+        stop_id, instant AS arrival_time FROM ({_FEED})""",
+)
+
+
 def _latest(v: Views) -> DataFrame:
     """Latest state per trip, through a stream; the arrival order is the order of the stop events."""
     path = scratch_dir(v.spark, "state")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from barorail.plans.messages import trip_timetables
 from barorail import schemas as S
 from barorail.plans import accesslog, messages
-from barorail.sources import readers
+from barorail.sources import readers, snapshots
 from barorail.streaming import ingest, state, telemetry
 
 
@@ -198,3 +198,36 @@ def test_expired_keys_leave_the_state(spark, tmp_path):
             state.compact(spark, str(out), 1, expired_before=F.timestamp_seconds(F.lit(50)))
             assert _trips(spark, out) == {"t1": ("FR", 2)}
     assert _trips(spark, out) == {"t1": ("FR", 2), "t2": ("FR", 9)}
+
+
+def test_snapshots_resume_between_countries(spark, tmp_path):
+    folders = {c: str(tmp_path / c) for c in ("PL", "FR")}
+
+    def land(country, name, *feeds, complete=True):
+        folder = tmp_path / country / name
+        folder.mkdir(parents=True)
+        for i, feed in enumerate(feeds):
+            (folder / f"part-{i}.json").write_text(json.dumps(feed) + "\n\nno feed\n")
+        if complete:
+            (folder / "_SUCCESS").touch()
+
+    seen = []
+
+    def poll(countries=("PL", "FR")):
+        got = []
+        stream = snapshots.snapshot_feeds(spark, {c: folders[c] for c in countries})
+        collect = lambda batch, _: got.extend((r.pays, r.snapshot, r.header.timestamp) for r in batch.where("header IS NOT NULL").collect())
+        stream.writeStream.foreachBatch(collect).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+        seen.extend(got)
+        return sorted(got)
+
+    land("PL", "001", _feed("p", 1, 1), _feed("p", 2, 1))
+    assert poll(("PL",)) == [("PL", "001", 1), ("PL", "001", 2)]
+    land("FR", "001", _feed("f", 3, 1))
+    land("PL", "002", _feed("p", 4, 1), complete=False)
+    assert poll() == [("FR", "001", 3)]  # a country that came later starts from its first snapshot
+    assert poll() == []
+    (tmp_path / "PL" / "002" / "_SUCCESS").touch()
+    land("PL", "003", _feed("p", 5, 1))
+    assert poll() == [("PL", "002", 4), ("PL", "003", 5)]
+    assert len(seen) == len(set(seen)) == 5
