@@ -311,12 +311,13 @@ def _fi_json(v: Views) -> DataFrame:
 
 
 def _array_files(v: Views, df: DataFrame, label: str) -> str:
-    """Files of one JSON array each, one per partition of ``df``."""
+    """Files of one JSON array each, of at most a thousand objects."""
     path = scratch_dir(v.spark, label)
     rows = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    rows = v.written(label, rows.withColumn("at", F.monotonically_increasing_id()))
     whole = F.concat(F.lit("["), F.array_join(F.collect_list("value"), ","), F.lit("]"))
-    files = rows.groupBy(F.spark_partition_id().alias("file")).agg(whole.alias("value"))
-    files.write.partitionBy("file").text(path)
+    files = rows.groupBy(F.floor(F.col("at") / 1000).alias("file")).agg(whole.alias("value"))
+    files.repartition("file").write.partitionBy("file").text(path)
     return path
 
 
@@ -387,6 +388,24 @@ add(
     ),
     "SELECT numero_train, cause, gravite FROM causes",
 )
+
+
+def _undeclared(v: Views) -> DataFrame:
+    """Disruptions of arrays with a field that no schema names, and that field beside the causes."""
+    zoned = v.disruptions.withColumn("zone", F.struct(F.concat(F.lit("Z"), F.pmod("event_id", F.lit(7))).alias("code")))
+    read = readers.read_json_variants(v.spark, _array_files(v, zoned, "zones"), f"event_id bigint, {DISRUPTIONS}")
+    zones = read.select("event_id", F.try_variant_get("brut", "$.zone.code", "string").alias("zone"))
+    causes = disruption_causes(read.drop("brut"), ["event_id"]).agg(F.count("*").alias("causes"))
+    per_zone = zones.groupBy("zone").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+    return per_zone.withColumn("causes", causes.scalar())
+
+
+add(
+    "src13_disruption_variants",
+    _undeclared,
+    """SELECT 'Z'||(event_id % 7) AS zone, COUNT(*) AS n, CAST(SUM(event_id) AS BIGINT) AS ids,
+        (SELECT COUNT(*) FROM causes) AS causes FROM events WHERE event_type = 'error' GROUP BY 1""",
+)
 add(
     "src14_alert_arrays",
     lambda v: alert_causes(

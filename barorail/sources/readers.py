@@ -51,6 +51,24 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return spark.read.schema(schema).json(path, multiLine=True)
 
 
+def read_json_variants(spark: SparkSession, path: str, schema: T.StructType | str, raw: str = "brut") -> DataFrame:
+    """Objects of documents that are arrays or single objects: the declared fields, and all of each in ``raw``.
+
+    Arrays are taken apart without a schema, so fields that nobody declared can still be had from ``raw``, a
+    VARIANT. A field that does not fit its declared type is NULL, and the rest of its object stays. Files
+    that are no JSON give no rows. Spark bounds the size of a VARIANT, and so of a document here; larger
+    arrays go through ``read_json_array``.
+    """
+    declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    whole = spark.read.option("multiLine", True).option("singleVariantColumn", "_document").json(path)
+    whole = whole.where("_document IS NOT NULL")
+    listed = F.schema_of_variant("_document").startswith("ARRAY")
+    elements = whole.where(listed).lateralJoin(spark.tvf.variant_explode(F.col("_document").outer()))
+    objects = elements.select(F.col("value").alias(raw)).unionByName(whole.where(~listed).select(F.col("_document").alias(raw)))
+    fields = [F.try_variant_get(raw, f"$['{f.name}']", f.dataType.simpleString()).alias(f.name) for f in declared]
+    return objects.select(*fields, raw)
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
 

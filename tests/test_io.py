@@ -164,3 +164,22 @@ def test_columns_nobody_declared_are_kept(spark, tmp_path):
     assert spark.read.parquet(empty).columns == ["route_id", "colour"]
     report = {(r.mesure, r.colonne): r.valeur for r in run(spark, ["profile", "--raw", str(raw), "--split"]).collect()}
     assert report[("colonnes", "")] == 3 and report[("doublons", "")] == 1
+
+
+def test_variants_keep_what_nobody_declared(spark, tmp_path):
+    documents = {
+        "a.json": json.dumps([{"id": 1, "name": {"fr": "x"}, "zz": [1, 2]}, {"id": "2", "name": 5}, {"other": True}, None], indent=1),
+        "b.json": json.dumps({"id": 7, "name": {"fr": "y"}}),
+        "c.json": "no json [",
+        "d.json": "[]",
+    }
+    for name, text in documents.items():
+        (tmp_path / name).write_text(text)
+    read = readers.read_json_variants(spark, str(tmp_path), "id bigint, name struct<fr: string>")
+    assert read.columns == ["id", "name", "brut"]
+    rows = sorted(((r.id, r.name and r.name.fr, r.j) for r in read.select("id", "name", F.to_json("brut").alias("j")).collect()), key=str)
+    assert rows == sorted(
+        [(1, "x", '{"id":1,"name":{"fr":"x"},"zz":[1,2]}'), (2, None, '{"id":"2","name":5}'), (None, None, '{"other":true}'),
+         (None, None, "null"), (7, "y", '{"id":7,"name":{"fr":"y"}}')], key=str
+    )
+    assert [r[0] for r in read.where("id = 1").select(F.try_variant_get("brut", "$.zz[1]", "int")).collect()] == [2]
