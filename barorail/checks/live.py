@@ -10,6 +10,8 @@ from ..operators import sketches
 from ..operators.polylines import PART
 from ..plans import accesslog, gtfs, messages, quality, realtime
 from ..schemas import COUNTRIES, LINE_TYPES
+from ..session import scratch_dir
+from ..sinks import writers
 from .registry import add
 from .sql import CTES, station_key
 from .views import NOW
@@ -246,12 +248,26 @@ add("rt14_live_summary", lambda v: realtime.live_summary(v.live), """
       COUNT(*) FILTER (WHERE retard_s BETWEEN 120 AND 600) AS warn, COUNT(*) FILTER (WHERE retard_s > 600) AS crit,
       COUNT(*) FILTER (WHERE retard_s IS NULL) AS idle, CAST(floor(AVG(retard_s) / 60 + 0.5) AS BIGINT) AS retard_moyen_min
     FROM live""")
+
+
+_MARKERS = """SELECT trip_id, latitude, longitude FROM live WHERE latitude BETWEEN -60 AND 60 AND longitude BETWEEN -150 AND 150
+        ORDER BY trip_id LIMIT 500"""
+
+
+def _markers_by_place(v) -> DataFrame:
+    """The markers of a box, out of a live view that is laid out by place."""
+    path = scratch_dir(v.spark, "live")
+    writers.replace_by_place(v.live_table.drop("stops"), path, 8)
+    read = v.spark.read.parquet(path)
+    return realtime.map_markers(read, -60.0, -150.0, 60.0, 150.0).select("trip_id", "latitude", "longitude")
+
+
 add(
     "sl5_map_markers",
     lambda v: realtime.map_markers(v.live, -60.0, -150.0, 60.0, 150.0).select("trip_id", "latitude", "longitude"),
-    """SELECT trip_id, latitude, longitude FROM live WHERE latitude BETWEEN -60 AND 60 AND longitude BETWEEN -150 AND 150
-        ORDER BY trip_id LIMIT 500""",
+    _MARKERS,
 )
+add("sl5_markers_by_place", _markers_by_place, _MARKERS)
 add(
     "fn13_delay_texts",
     lambda v: v.stop_events.select(

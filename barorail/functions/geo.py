@@ -36,3 +36,22 @@ def between_points(start: Column, end: Column, fraction: Column) -> Column:
 
 def squared_degrees(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return F.pow(lat1 - lat2, F.lit(2)) + F.pow(lon1 - lon2, F.lit(2))
+
+
+def _every_second_bit(x: Column) -> Column:
+    """The lower sixteen bits of a number, each with an empty bit above it."""
+    for shift in (8, 4, 2, 1):
+        mask = sum(((1 << shift) - 1) << at for at in range(0, 32, 2 * shift))
+        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask).cast("bigint"))
+    return x
+
+
+def z_order(latitude: Column, longitude: Column) -> Column:
+    """Place on a curve through all cells of a grid of 65,536 by 65,536 on which near places have near numbers."""
+
+    def cell(degrees: Column, span: float) -> Column:
+        share = F.floor((degrees + span / 2) / span * 65_536)
+        return F.greatest(F.lit(0), F.least(F.lit(65_535), share)).cast("bigint")
+
+    rows, columns = _every_second_bit(cell(latitude, 180.0)), _every_second_bit(cell(longitude, 360.0))
+    return F.when(latitude.isNotNull() & longitude.isNotNull(), F.shiftleft(rows, 1).bitwiseOR(columns))

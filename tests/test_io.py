@@ -1,11 +1,14 @@
 import datetime
 import json
+import random
 
+import pyarrow.parquet as pq
 from data import GARES, INTERCITES, TARIFS_IC, TARIFS_TGV, TER, TGV
 from pyspark.sql import functions as F
 
 from barorail import schemas as S
-from barorail.plans import build
+from barorail.functions import geo
+from barorail.plans import build, realtime
 from barorail.sinks import writers
 from barorail.sources import readers
 from barorail.sources.registry import SOURCES
@@ -183,3 +186,36 @@ def test_variants_keep_what_nobody_declared(spark, tmp_path):
          (None, None, "null"), (7, "y", '{"id":7,"name":{"fr":"y"}}')], key=str
     )
     assert [r[0] for r in read.where("id = 1").select(F.try_variant_get("brut", "$.zz[1]", "int")).collect()] == [2]
+
+
+def test_a_box_reads_few_files(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(f"t{i}", rng.uniform(41, 55), rng.uniform(-5, 16)) for i in range(4000)] + [("nowhere", None, None)]
+    df = spark.createDataFrame(rows, "trip_id string, latitude double, longitude double")
+    out = str(tmp_path / "live")
+    writers.replace_by_place(df, out, 32)
+    south, west, north, east = 48.0, 1.0, 49.5, 3.5
+    files = [pq.ParquetFile(p) for p in (tmp_path / "live").glob("part-*.parquet")]
+    met, groups = 0, 0
+    for f in files:
+        for g in range(f.metadata.num_row_groups):
+            lat, lon = (f.metadata.row_group(g).column(i).statistics for i in (1, 2))
+            groups += 1
+            met += lat.has_min_max and lat.max >= south and lat.min <= north and lon.max >= west and lon.min <= east
+    assert groups >= 30 and 0 < met <= 6
+    inside = sorted(t for t, a, b in rows if a is not None and south <= a <= north and west <= b <= east)
+    found = spark.read.parquet(out)
+    assert found.count() == len(rows)
+    assert sorted(r.trip_id for r in realtime.in_view(found, south, west, north, east).collect()) == inside
+
+
+def test_the_curve_interleaves_rows_and_columns(spark):
+    places = [(0.0, 0.0), (-90.0, -180.0), (90.0, 180.0), (48.85, 2.35), (-12.3, 170.0), (None, 1.0)]
+    df = spark.createDataFrame(places, "a double, b double")
+
+    def want(a, b):
+        cells = [max(0, min(65535, int((x + s / 2) // (s / 65536)))) for x, s in ((a, 180.0), (b, 360.0))]
+        return sum(((cells[0] >> i & 1) << 2 * i + 1) | ((cells[1] >> i & 1) << 2 * i) for i in range(16))
+
+    got = [r.z for r in df.select(geo.z_order(F.col("a"), F.col("b")).alias("z")).collect()]
+    assert got == [None if a is None else want(a, b) for a, b in places]
