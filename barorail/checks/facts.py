@@ -85,16 +85,13 @@ add(
         FROM standard JOIN (SELECT type_ligne AS axis_type, axe_label, centiemes, mois_mesures FROM axis_sums)
           ON (axis_type, axe_label) = (type_ligne, axe_label_regularite) GROUP BY ALL""",
 )
-add(
-    "q10_consolidated",
-    lambda v: analytics.consolidated(v.fact_table, v.lines_table, v.fares_table),
-    f"""SELECT type_ligne, axe_label, nb_mois, taux_ponctualite_moyen, taux_annulation_moyen,
+CONSOLIDATED = f"""SELECT type_ligne, axe_label, nb_mois, taux_ponctualite_moyen, taux_annulation_moyen,
         (SELECT MAX(distance_km) FROM lines WHERE (lines.type_ligne, lines.axe_label) = (axes.type_ligne, axes.axe_label))
           AS distance_km,
         (SELECT {mean('prix_moyen_km', 3, 3)} FROM standard
          WHERE (standard.type_ligne, axe_label_regularite) = (axes.type_ligne, axes.axe_label)) AS prix_moyen_km
-        FROM axes""",
-)
+        FROM axes"""
+add("q10_consolidated", lambda v: analytics.consolidated(v.fact_table, v.lines_table, v.fares_table), CONSOLIDATED)
 STATION = "id_gare, station_id, nom_gare, trigramme, code_uic, latitude, longitude, pays"
 add(
     "q11_station_list",

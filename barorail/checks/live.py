@@ -9,7 +9,7 @@ from ..functions import ids, labels
 from ..operators import sketches
 from ..operators.polylines import PART
 from ..plans import accesslog, gtfs, messages, quality, realtime
-from ..schemas import COUNTRIES, LINE_TYPES
+from ..schemas import COUNTRIES, LINE_TYPES, TRIP_MESSAGE
 from ..session import scratch_dir
 from ..sinks import writers
 from .registry import add
@@ -176,10 +176,13 @@ add(
 )
 add(
     "snk9_keyed_messages",
-    lambda v: messages.with_default_country(v.messages).select(
-        F.col("trip_id").alias("key"), F.size("stops").cast("bigint").alias("n_stops")
+    lambda v: _stop_rows(
+        writers.keyed_messages(v.messages).select("key", F.from_json("value", TRIP_MESSAGE).alias("m")).select("key", "m.*"),
+        "key", "trip_id", "pays", "feed_timestamp",
     ),
-    "SELECT trip_id AS key, COUNT(*) AS n_stops FROM stops GROUP BY trip_id",
+    """SELECT trip_id AS key, trip_id, pays, MAX(sec) OVER (PARTITION BY trip_id, route_id, pays) AS feed_timestamp,
+        CAST(row_number() OVER (PARTITION BY trip_id, route_id, pays ORDER BY event_id) - 1 AS INTEGER) AS rang, stop_id,
+        a_time AS arrival_time, a_delay AS arrival_delay, d_time AS departure_time, d_delay AS departure_delay FROM stops""",
 )
 
 # Positions

@@ -28,7 +28,7 @@ from ..sinks import writers
 from ..sources import readers
 from ..sources.snapshots import snapshot_feeds
 from ..streaming import ingest, state, telemetry
-from .facts import FACT, SLICE
+from .facts import CONSOLIDATED, FACT, SLICE
 from .live import _FEED, FINNISH_SQL, _start, _stop_rows, quantile_sql, ranked_right
 from .registry import add
 from .views import NOW, Views
@@ -418,12 +418,10 @@ add(
 def _gold(v: Views) -> DataFrame:
     path = scratch_dir(v.spark, "gold")
     writers.replace_table(v.dim_stations, path)
-    return readers.read_gold(v.spark, path, ["pays", "code_uic"]).groupBy("pays").agg(
-        F.count("code_uic").alias("n")
-    )
+    return readers.read_gold(v.spark, path, ["pays", "code_uic"]).groupBy("pays", "code_uic").agg(F.count("*").alias("n"))
 
 
-add("src7_gold_read", _gold, "SELECT pays, COUNT(code_uic) AS n FROM dim GROUP BY pays")
+add("src7_gold_read", _gold, "SELECT pays, code_uic, COUNT(*) AS n FROM dim GROUP BY ALL")
 
 
 def _bronze(v: Views) -> DataFrame:
@@ -438,14 +436,14 @@ def _bronze(v: Views) -> DataFrame:
     for _ in range(2):
         writers.land_partitioned(rows, path)
     landed = v.spark.read.schema(rows.schema).parquet(path)
-    return landed.groupBy("operateur", "category", "dt").agg(F.count("*").alias("n"))
+    return landed.groupBy("operateur", "category", "dt", "api_key").agg(F.count("*").alias("n"))
 
 
 add(
     "snk7_partitioned_landing",
     _bronze,
-    """SELECT 'gtfs-get' AS operateur, CAST(status AS VARCHAR) AS category, strftime(ts,'%Y-%m-%d') AS dt, COUNT(*) AS n
-        FROM log GROUP BY ALL""",
+    """SELECT 'gtfs-get' AS operateur, CAST(status AS VARCHAR) AS category, strftime(ts,'%Y-%m-%d') AS dt, api_key,
+        COUNT(*) AS n FROM log GROUP BY ALL""",
 )
 
 
@@ -453,9 +451,8 @@ def _result_export(v: Views) -> DataFrame:
     path = scratch_dir(v.spark, "result")
     result = consolidated(v.fact_table, v.lines_table, v.fares_table)
     n = writers.export_result(result, path)
-    return v.spark.read.csv(path, header=True).agg(F.count("*").alias("lignes")).withColumn(
-        "annoncees", F.lit(n).cast("bigint")
-    )
+    back = v.spark.read.schema(result.schema).csv(path, header=True, escape='"')
+    return back.withColumn("annoncees", F.lit(n).cast("bigint"))
 
 
-add("snk4_result_export", _result_export, "SELECT COUNT(*) AS lignes, COUNT(*) AS annoncees FROM axes")
+add("snk4_result_export", _result_export, f"SELECT *, (SELECT COUNT(*) FROM axes) AS annoncees FROM ({CONSOLIDATED})")
