@@ -107,7 +107,12 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filters": OP2_SQL, "op8_chat_formatting": OP8_SQL}
+    return {
+        "op2_url_filters": OP2_SQL,
+        "op8_chat_formatting": OP8_SQL,
+        "op12_importance_resampling": OP12_SQL,
+        "op13_centroid_clustering": OP13_SQL,
+    }
 
 
 OP2_SQL = r"""
@@ -166,3 +171,74 @@ SELECT conv_id, count(*) AS n_turns,
                           WHEN 'assistant' THEN coalesce(earlier = 'user', false) ELSE false END) AS valid
 FROM follow GROUP BY conv_id
 """
+
+OP12_SQL = r"""
+WITH tab AS (
+    SELECT list(c ORDER BY i) AS t FROM (
+        SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) AS c
+        FROM (SELECT unnest(range(256)) AS i))
+), texts AS (
+    SELECT 0 AS side, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark
+), words AS MATERIALIZED (
+    SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+), found AS MATERIALIZED (
+    SELECT side, id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+        || list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS f FROM words
+), hexed AS (
+    SELECT f, hex(f) AS h FROM (SELECT DISTINCT f FROM found)
+), hashed AS MATERIALIZED (
+    SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(h), 2),
+        lambda i: 16 * (strpos('0123456789ABCDEF', h[i]) - 1) + strpos('0123456789ABCDEF', h[i + 1]) - 1)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket FROM hexed, tab
+), placed AS MATERIALIZED (
+    SELECT side, id, bucket FROM found JOIN hashed USING (f)
+), counts AS (
+    SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM placed GROUP BY bucket
+), gains AS (
+    SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+        / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS BIGINT) AS gain FROM counts
+), weighed AS (
+    SELECT id, count(*) AS n, sum(gain) AS weight FROM placed JOIN gains USING (bucket) WHERE side = 0 GROUP BY id
+), scored AS (
+    SELECT id AS doc_id, coalesce(n, 0) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight, len(w) >= 20 AS fits,
+        CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+    FROM words LEFT JOIN weighed USING (id) WHERE side = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY fits ORDER BY score DESC, doc_id) AS place, count(*) FILTER (fits) OVER () AS total FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN fits AND place <= 5 * total // 100 THEN place END AS rank FROM ranked
+"""
+
+_ROUND = """a{r} AS MATERIALIZED (
+    SELECT vec_id, c, distance FROM (
+        SELECT vec_id, c, distance, row_number() OVER (PARTITION BY vec_id ORDER BY distance, c) AS place FROM (
+            SELECT x.vec_id, k.c, sum((x.x - k.x) * (x.x - k.x)) AS distance FROM x JOIN c{r} k USING (d) GROUP BY ALL))
+    WHERE place = 1
+)"""
+_MOVE = """c{n} AS MATERIALIZED (
+    SELECT k.c, k.d, CASE WHEN m.n > 0 THEN (m.s - (m.s % m.n + m.n) % m.n) // m.n ELSE k.x END AS x
+    FROM c{r} k LEFT JOIN (SELECT c, d, sum(x) AS s, count(*) AS n FROM a{r} JOIN x USING (vec_id) GROUP BY c, d) m
+    ON m.c = k.c AND m.d = k.d
+)"""
+OP13_SQL = (
+    """
+WITH kept AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(1024 * CAST(e AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64
+), x AS MATERIALIZED (
+    SELECT vec_id, unnest(range(64)) AS d, unnest(v) AS x FROM kept
+), c0 AS MATERIALIZED (
+    SELECT c, d, x FROM x JOIN (SELECT vec_id, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS c FROM kept) USING (vec_id)
+    WHERE c < 8
+), """
+    + ", ".join(_ROUND.format(r=r) + (", " + _MOVE.format(r=r, n=r + 1) if r < 10 else "") for r in range(11))
+    + """, named AS (
+    SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c10 GROUP BY c
+)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+    CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+    centroid_sha256
+FROM a10 JOIN named USING (c)
+"""
+)

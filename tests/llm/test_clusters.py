@@ -6,10 +6,11 @@ import os
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from compare import connect, differences
 
 from barorail.llm import clusters
 from barorail.llm.clusters import LARGEST, Move, cluster_vectors, fitted, moved, scanned, squared_distances
-from barorail.llm.queries import op13_centroid_clustering
+from barorail.llm.queries import op13_centroid_clustering, oracle_sql
 
 SF = "/root/testdata/sf0.001"
 
@@ -134,3 +135,7 @@ def test_squared_distances_of_large_numbers():
         [sum((int(a) + int(b)) ** 2 for a, b in zip(u, v)) for v in x] for u in x
     ]
     assert clusters.LARGEST == LARGEST
+
+
+def test_sql(spark):
+    assert differences(op13_centroid_clustering(spark, SF), connect(SF), oracle_sql()["op13_centroid_clustering"]) is None

@@ -8,10 +8,11 @@ from collections import Counter
 
 import numpy as np
 import pyarrow.parquet as pq
+from compare import connect, differences
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from barorail.llm.queries import op12_importance_resampling
+from barorail.llm.queries import op12_importance_resampling, oracle_sql
 from barorail.llm.resampling import PART, crc32s, drawn_documents, feature_buckets, resampled
 
 SF = "/root/testdata/sf0.001"
@@ -108,3 +109,7 @@ def test_all_are_drawn_in_order(spark):
     target = spark.createDataFrame([("w1 and",)], "text string")
     found = {r.doc_id: tuple(r)[1:] for r in resampled(docs, target, percent=100, fewest=1).collect()}
     assert found == brute([(i, f"w{i} and more") for i in range(300)], ["w1 and"], 100, 1)
+
+
+def test_sql(spark):
+    assert differences(op12_importance_resampling(spark, SF), connect(SF), oracle_sql()["op12_importance_resampling"]) is None
