@@ -150,9 +150,10 @@ _LINES = f"""SELECT type_ligne, axe_label, {mean('taux_ponctualite', 2, 1)} AS p
 add(
     "q17_top_lines",
     lambda v: analytics.top_lines(v.fact, 7),
-    f"""SELECT * FROM (SELECT *, 'Top' AS classement FROM ({_LINES}) ORDER BY ponctualite DESC, type_ligne, axe_label LIMIT 7)
-        UNION ALL
-        SELECT * FROM (SELECT *, 'Bottom' AS classement FROM ({_LINES}) ORDER BY ponctualite, type_ligne, axe_label LIMIT 7)""",
+    f"""SELECT r.* EXCLUDE (haut, bas), classement FROM (
+          SELECT *, row_number() OVER (ORDER BY ponctualite DESC, type_ligne, axe_label) AS haut,
+            row_number() OVER (ORDER BY ponctualite, type_ligne, axe_label) AS bas FROM ({_LINES})) r
+        JOIN (VALUES ('Top'), ('Bottom')) c(classement) ON CASE classement WHEN 'Top' THEN haut ELSE bas END <= 7""",
 )
 add(
     "q18_extent",

@@ -356,6 +356,27 @@ add(
     lambda v: accesslog.anonymized(v.log).select("ip", "path", "status", "api_key"),
     f"SELECT {_MASKED} AS ip, path, status, api_key FROM log",
 )
+
+
+def _v6(v) -> DataFrame:
+    """Callers by IPv6 address, some in short form, and by what is no address."""
+    user, event = F.hex(F.pmod("user_id", F.lit(65_536))), F.hex(F.pmod("event_id", F.lit(65_536)))
+    ip = (
+        F.when(F.col("event_type") == "view", F.concat(F.lit("2001:db8:"), user, F.lit(":0:0:"), event, F.lit(":1:2")))
+        .when(F.col("event_type") == "click", F.concat(F.lit("fe80::"), user))
+        .when(F.col("event_type") == "purchase", F.concat(user, F.lit("::")))
+        .when(F.col("event_type") == "error", F.concat(F.lit("host-"), user))
+    )
+    return accesslog.anonymized(v.table("events").select("event_id", ip.alias("ip")))
+
+
+add(
+    "lg5_anonymized_v6",
+    _v6,
+    """SELECT event_id, CASE event_type WHEN 'view' THEN '2001:db8:'||upper(hex(user_id % 65536))||':0:0:0:0:0'
+        WHEN 'click' THEN 'fe80::'||upper(hex(user_id % 65536)) WHEN 'purchase' THEN upper(hex(user_id % 65536))||'::'
+        ELSE 'unknown' END AS ip FROM events""",
+)
 add(
     "lg5_log_lines",
     lambda v: accesslog.log_lines(v.log).select("ligne"),
