@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,20 +18,63 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_passing: list[list[str]] = []
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared scratch folder and read back: lineage is cut and nothing runs twice."""
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
+    if _passing:
+        _passing[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-#: Name of the column by which ``keyed`` tells rows apart.
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables that are ``saved`` inside are removed at the end, but for those saved by what this gives.
+
+    So a result that is kept has to be saved that way, since nothing else it could be read from is left.
+    """
+    made: list[str] = []
+    kept_tables: list[str] = []
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        table = saved(df, label)
+        kept_tables.append(made.pop())
+        return table
+
+    _passing.append(made)
+    try:
+        yield keep
+    finally:
+        _passing.pop()
+        if _passing:
+            _passing[-1].extend(kept_tables)
+        for path in made:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, or that behind as many underscores as no column has (whatever its case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+#: Name of the column by which ``keyed`` tells rows apart, if the table has none of that name.
 ROW = "_row"
 
 
-def keyed(df: DataFrame) -> DataFrame:
-    """``df`` with a key of its own for every row, written with the table: repeated rows and NULL ids too."""
-    return saved(df.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
+def keyed(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with a key of its own for every row, written with the table, and the key's name.
+
+    Repeated rows and rows with NULL ids have keys of their own, too.
+    """
+    row = unused(df.columns, ROW)
+    return saved(df.withColumn(row, F.monotonically_increasing_id()), "keyed"), row
 
 
 #: Bytes of a batch of rows that goes to a Python worker, unless the session's settings name another size.

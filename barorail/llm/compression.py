@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import label_sample, map_rows
+from .common import label_sample, map_rows, unused
 
 #: Texts are compressed in pieces, or a long text would teach the compressor more than the dictionary.
 PIECE = 1024
@@ -134,8 +134,8 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5))
 
 
-def _scored(docs: DataFrame, model: CompressionClassifier) -> DataFrame:
-    """``docs`` and the score of every row."""
+def _scored(docs: DataFrame, model: CompressionClassifier, name: str) -> DataFrame:
+    """``docs`` and the score of every row, as ``name``."""
     place = docs.columns.index("text")
 
     def score(*columns) -> Iterator[tuple]:
@@ -143,13 +143,14 @@ def _scored(docs: DataFrame, model: CompressionClassifier) -> DataFrame:
         yield from zip(*columns, model.score(difference).tolist())
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_rows(docs, score, schema + ", _score double")
+    return map_rows(docs, score, f"{schema}, `{name}` double")
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` that ``classify`` predicts to be good, each by its own text."""
     model = fit(docs, labels.where(fold(F.col("doc_id")) != 0))
-    return _scored(docs, model).where(F.col("_score") >= threshold).drop("_score")
+    name = unused(docs.columns, "_score")
+    return _scored(docs, model, name).where(F.col(f"`{name}`") >= threshold).drop(name)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
@@ -160,7 +161,7 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> Data
     """
     model = fit(docs, labels.where(fold(F.col("doc_id")) != 0))
 
-    scored = _scored(docs.select("doc_id", "text"), model).withColumnRenamed("_score", "score")
+    scored = _scored(docs.select("doc_id", "text"), model, "score")
     return scored.select(
         "doc_id",
         F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),

@@ -6,10 +6,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import passing, saved
 
-#: Tasks that share the links of one id. The minimum of an id, one short row, goes to each of them.
-SALTS = 32
+#: Tasks that share the links of one id. The minimum of an id, one short row, goes to each of them; where
+#: Spark broadcasts the minima instead, they are so many times as large as its threshold at most.
+SALTS = 8
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -19,6 +20,14 @@ def components(links: DataFrame) -> DataFrame:
     takes a number of rounds in the order of the logarithm of the ids. An id with very many links is only
     ever reduced by a minimum or spread over the tasks of a join, never gathered.
     """
+    with passing(links.sparkSession) as keep:
+        edges = keep(_hung(links), "edges")
+    roots = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
+
+
+def _hung(links: DataFrame) -> DataFrame:
+    """Every id but the smallest of its component, as u, with the smallest, as v."""
     edges = _saved(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
     mark = _fingerprint(edges)
     while True:
@@ -31,9 +40,7 @@ def components(links: DataFrame) -> DataFrame:
         edges = _saved(small.unionByName(lower.withColumnRenamed("m", "v")))
         before, mark = mark, _fingerprint(edges)
         if mark == before:
-            break
-    roots = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
+            return edges
 
 
 def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:

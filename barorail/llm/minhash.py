@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, keyed, map_groups, map_rows, saved
+from .common import ROW, keyed, map_groups, map_rows, passing, saved
 from .graph import components, hung
 from .hashing import STEP, U, mixed, word_codes, words_of
 
@@ -297,15 +297,22 @@ def _classes(
 
 
 def near_duplicate_rows(
-    rows: DataFrame, words: int = 5, similarity: float = 0.8, bands: int = 24, band_rows: int = 5, first_bands: int = 4
+    rows: DataFrame,
+    row: str = ROW,
+    words: int = 5,
+    similarity: float = 0.8,
+    bands: int = 24,
+    band_rows: int = 5,
+    first_bands: int = 4,
 ) -> DataFrame:
-    """_row, class_row of each row of a ``keyed`` table that has a word; doc_id plays no part.
+    """``row``, class_row of each row of a ``keyed`` table that has a word; doc_id plays no part.
 
-    Rows are linked as documents are in ``near_duplicates``; class_row is the smallest _row of the class.
+    Rows are linked as documents are in ``near_duplicates``; class_row is the smallest key of the class.
     """
-    texts = rows.select(F.col(ROW).alias("doc_id"), "text")
-    found = _classes(texts, words, similarity, bands, band_rows, first_bands)
-    return saved(found.select(F.col("doc_id").alias(ROW), F.col("class_id").alias("class_row")), "classes")
+    texts = rows.select(F.col(row).alias("doc_id"), "text")
+    with passing(rows.sparkSession) as keep:
+        found = _classes(texts, words, similarity, bands, band_rows, first_bands)
+        return keep(found.select(F.col("doc_id").alias(row), F.col("class_id").alias("class_row")), "classes")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, **bands: int) -> DataFrame:
@@ -325,9 +332,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, **
     each of its texts. A NULL id has a row of its own, class_id NULL and kept; ``near_duplicate_rows``
     compares such rows too. Other columns are ignored; an empty table gives no rows.
     """
-    rows = keyed(docs.where("doc_id IS NOT NULL").select("doc_id", "text"))
-    found = near_duplicate_rows(rows, words, similarity, **bands)
-    named = saved(rows.select(ROW, "doc_id").join(found, ROW).select("doc_id", "class_row"), "named")
+    with passing(docs.sparkSession) as keep:
+        rows, row = keyed(docs.where("doc_id IS NOT NULL").select("doc_id", "text"))
+        found = near_duplicate_rows(rows, row, words, similarity, **bands)
+        named = keep(rows.select(row, "doc_id").join(found, row).select("doc_id", "class_row"), "named")
     # Texts of one id bring their classes together.
     own = named.groupBy("doc_id").agg(F.min("class_row").alias("class_row"), F.max("class_row").alias("_high"))
     several = own.where("class_row < _high").select("doc_id", F.col("class_row").alias("b"))

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_groups, map_rows, saved
+from .common import map_groups, map_rows, passing, saved, unused
 from .hashing import U, mixed, word_codes
 
 #: Suffixes that agree are compared by one task up to so many documents; beyond, by aggregation.
@@ -185,6 +185,12 @@ def repeated_passages(
         raise ValueError("spread leaves too few words in common")
     docs = docs.where(F.col(by).isNotNull() & F.col("text").isNotNull())
     docs = docs.select(F.col(by).alias("key"), "doc_id", "text")
+    with passing(docs.sparkSession) as keep:
+        return keep(_passages(docs, length, spread, run).withColumnRenamed("key", by), "passages")
+
+
+def _passages(docs: DataFrame, length: int, spread: int, run: int) -> DataFrame:
+    """key, start, end, copy of ``docs`` with key, doc_id and text."""
     candidates = _candidates(docs, length, spread, run)
     extended = saved(_extended(docs, candidates, length, spread, run), "extended")
     done = extended.where("suffix IS NULL").select(
@@ -204,7 +210,7 @@ def repeated_passages(
         yield key[0], begin, last, key[1]
 
     kind = docs.schema["key"].dataType.simpleString()
-    return map_groups(found.distinct(), ["key", "copy"], merge, f"{by} {kind}, start int, end int, copy boolean")
+    return map_groups(found.distinct(), ["key", "copy"], merge, f"key {kind}, start int, end int, copy boolean")
 
 
 def cut_passages(docs: DataFrame, passages: DataFrame, by: str = "doc_id") -> DataFrame:
@@ -212,10 +218,11 @@ def cut_passages(docs: DataFrame, passages: DataFrame, by: str = "doc_id") -> Da
 
     A text may become empty; no row is dropped, and texts without copies stay as they are.
     """
-    cuts = passages.where("copy").groupBy(by).agg(F.collect_list(F.struct("start", "end")).alias("_cuts"))
+    listed = unused(docs.columns, "_cuts")
+    cuts = passages.where("copy").groupBy(by).agg(F.collect_list(F.struct("start", "end")).alias(listed))
     joined = docs.join(cuts, by, "left")
     names = joined.columns
-    text_at, cuts_at = names.index("text"), names.index("_cuts")
+    text_at, cuts_at = names.index("text"), names.index(listed)
 
     def cut(text: str, spans) -> str:
         places = [m.start() for m in WORD.finditer(text)] + [len(text)]
@@ -233,6 +240,6 @@ def cut_passages(docs: DataFrame, passages: DataFrame, by: str = "doc_id") -> Da
                 row[text_at] = cut(row[text_at], row[cuts_at])
             yield (*row[:cuts_at], *row[cuts_at + 1 :])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name != "_cuts")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name != listed)
     done = map_rows(joined, rows, schema).select(*docs.columns)
     return done.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in names else done

@@ -120,3 +120,20 @@ def test_each_row_has_its_own_verdict(spark):
     good = verdicts.where("predicted = 1").count()
     shared = corpus_pipeline.good_documents(spark, docs.union(docs.withColumn("doc_id", F.lit(None).cast("long"))), SF)
     assert shared.where("doc_id IS NULL").count() == shared.where("doc_id IS NOT NULL").count() == good
+
+
+def test_columns_with_names_of_helpers(spark):
+    """A table's own columns come through as they are, whatever they are called."""
+    names = ["_row", "_cuts", "_score", "__row", "class_row", "missing", "hash", "copy", "score"]
+    rows = [(1, LONG, 1, *(f"{n}1" for n in names)), (2, LONG, 1, *(f"{n}2" for n in names)), (3, OTHER, 1, *[None] * len(names))]
+    schema = "doc_id long, text string, n_chars long, " + ", ".join(f"{n} string" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    found = corpus_pipeline.one_of_each_group(spark, docs, SF)
+    assert found.schema == docs.schema
+    assert sorted(map(tuple, found.collect())) == [rows[0], rows[2]]
+    found = corpus_pipeline.without_repeats(spark, docs, SF)
+    assert found.columns == docs.columns
+    assert sorted(r[3:] for r in found.collect() if r[0] < 3) == [r[3:] for r in rows[:2]]
+    assert sorted((r.doc_id, r.text) for r in found.collect()) == [(1, LONG), (2, ""), (3, OTHER)]
+    assert corpus_pipeline.good_documents(spark, docs, SF).schema == docs.schema
+    assert corpus_pipeline.without_secrets(spark, docs, SF).columns == docs.columns
