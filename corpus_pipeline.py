@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barorail.llm.common import ROW, keyed, saved, table
+from barorail.llm.common import keyed, saved, table
 from barorail.llm.compression import accepted
 from barorail.llm.minhash import near_duplicate_rows
 from barorail.llm.packing import pack_documents
@@ -25,19 +25,19 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Every row is a document of its own, so of a row that is there twice one stays. Rows without a word
     belong to no class and all stay.
     """
-    rows = keyed(docs)
-    classes = near_duplicate_rows(rows)
-    place = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.xxhash64("text").alias("hash"), ROW)
-    ranked = rows.select(ROW, place.alias("place")).join(classes, ROW)
-    first = ranked.groupBy("class_row").agg(F.min("place").alias("place")).select(F.col(f"place.{ROW}").alias(ROW))
-    dropped = classes.join(first, ROW, "left_anti")
-    return rows.join(dropped, ROW, "left_anti").select(*docs.columns)
+    rows, row = keyed(docs)
+    classes = near_duplicate_rows(rows, row)
+    place = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.xxhash64("text").alias("hash"), row)
+    ranked = rows.select(row, place.alias("place")).join(classes, row)
+    first = ranked.groupBy("class_row").agg(F.min("place").alias("place")).select(F.col(f"place.{row}").alias(row))
+    dropped = classes.join(first, row, "left_anti")
+    return rows.join(dropped, row, "left_anti").select(*docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 50 words or more that an earlier place holds already, in any row."""
-    rows = keyed(docs)
-    return cut_passages(rows, repeated_passages(rows, by=ROW), by=ROW).select(*docs.columns)
+    rows, row = keyed(docs)
+    return cut_passages(rows, repeated_passages(rows, by=row), by=row).select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
