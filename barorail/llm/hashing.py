@@ -43,6 +43,12 @@ class Recent:
                 self.put(key, found)
         return found
 
+    def renewed(self) -> dict:
+        """The newer generation, begun anew if it is full: the caller may fill it as it likes."""
+        if len(self.new) >= self.size:
+            self.old, self.new = self.new, {}
+        return self.new
+
     def put(self, key, value) -> None:
         if len(self.new) >= self.size:
             self.old, self.new = self.new, {}

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -13,26 +15,42 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import CACHED_CHARS, SPACE
-from .common import map_rows, saved
+from .bpe import CACHED_CHARS, SPACE, byte_letters
+from .common import kept, map_rows, saved
 from .hashing import Recent
+from .merging import Merges, cut_runs
 
 CHUNK = re.compile(rf"[^{SPACE}]+")
 #: Separators that str.split takes for white space and the tokenizer does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 END_ID = 1
-#: Entries of a generation of either memory: both generations of both come to some 600 MB a worker.
-CHUNKS_KEPT, WORDS_KEPT = 1_000_000, 600_000
-#: Marks that are tokens of their own whatever word they follow; and where letters stop being simple.
-MARKS, SIMPLE = ".,;:!?", chr(0x130)
+#: Entries of a generation of a worker's memory: both generations come to some 150 MB.
+WORDS_KEPT = 300_000
+#: Characters of the texts that are encoded at once.
+BLOCK = 500_000
+#: Up to here letters have one simple lower case and no other spelling.
+SIMPLE = chr(0x130)
+COMPLEX = re.compile(f"[{SIMPLE}-{chr(0x10FFFF)}]")
+#: Fixed by the vocabulary: how it splits words.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _simple_split() -> re.Pattern:
+    """``SPLIT`` for lower-case text of simple characters."""
+    simple = [chr(c) for c in range(ord(SIMPLE))]
+    letters = "".join(c for c in simple if unicodedata.category(c)[0] == "L")
+    numbers = "".join(c for c in simple if unicodedata.category(c)[0] == "N")
+    pattern = SPLIT.replace(r"\p{L}", letters).replace(r"\p{N}", numbers).replace(r"\s", SPACE)
+    return re.compile(pattern)
 
 
 class WordTokenizer:
     """Token ids by a tokenizer of the tokenizers library that drops white space and case.
 
-    White space bounds its words, so ids are looked up by what stands between, and what was not met lately
-    is looked up as a word and the marks behind it. Only new words go through the library. Strings of
-    special tokens are cut out first, as the library does.
+    Texts of simple characters are split as the tokenizer splits them, in lower case, and ids looked up by
+    word. Words not met lately are merged here, many at a time; marks, digits and whatever holds other
+    characters goes through the library, bounded by white space. Strings of special tokens are cut out
+    first, as the library does.
     """
 
     def __init__(self, config: str):
@@ -42,96 +60,97 @@ class WordTokenizer:
         self.library = Tokenizer.from_str(config)
         self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.chunks, self.words = Recent(CHUNKS_KEPT), Recent(WORDS_KEPT)
-        suffix = getattr(self.library.model, "end_of_word_suffix", None)
-        vocabulary = self.library.get_vocab(with_added_tokens=True)
-        self.ending = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ending[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+        self.words = Recent(WORDS_KEPT)
+        self._learn(json.loads(config))
+
+    def _learn(self, told: dict) -> None:
+        """The merges of a byte-level BPE whose words end in letters of their own, if this is one."""
+        self.split = None  # everything goes through the library
+        model, suffix, letters = told["model"], told["model"].get("end_of_word_suffix"), byte_letters()
+        odd = any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "ignore_merges"))
+        steps = (told.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        lower = [n["type"] for n in (told.get("normalizer") or {}).get("normalizers", [])]
+        splits = [s["pattern"].get("Regex") for s in steps if s["type"] == "Split"]
+        if model["type"] != "BPE" or not suffix or odd or splits != [SPLIT] or lower != ["NFC", "Replace", "Lowercase"]:
+            return
+        vocabulary = model["vocab"]
+        if all(c in vocabulary and c + suffix in vocabulary for c in letters):
+            self.split = _simple_split()
+            self.inner, self.last = np.zeros(256, np.int64), np.zeros(256, np.int64)
+            for letter, byte in letters.items():
+                self.inner[byte], self.last[byte] = vocabulary[letter], vocabulary[letter + suffix]
+            pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
+            made = [(vocabulary[a], vocabulary[b], rank, vocabulary[a + b]) for rank, (a, b) in enumerate(pairs)]
+            self.merges = Merges(made)
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        if self.cut is None or not any(s in text for s in self.special):
-            return self._plain(text)
-        parts = self.cut.split(text)
-        marks = [np.array([self.special[p]], "<u4").tobytes() if i % 2 else self._plain(p) for i, p in enumerate(parts)]
-        return b"".join(marks)
-
-    def _plain(self, text: str) -> bytes:
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """``encode`` of many texts: what none of them has shown lately is looked up at once."""
+        listed = [self._words(text) for text in texts]
+        known = self.words.renewed()
+        long = self._look_up(set().union(*listed).difference(known), known)
+        for words in listed:
+            yield b"".join(map(known.__getitem__, words))
+        for word in long:
+            del known[word]
+
+    def _words(self, text: str) -> list[str]:
+        """Strings that are encoded for themselves: of simple characters in lower case, or as they stand."""
+        if self.cut is not None and any(s in text for s in self.special):
+            parts = self.cut.split(text)
+            return [w for i, p in enumerate(parts) for w in ([p] if i % 2 else self._words(p))]
+        if self.split and (text.isascii() or not COMPLEX.search(text)):
+            return self.split.findall(text.lower())
         chunks = CHUNK.findall(text) if SEPARATORS.search(text) else text.split()
-        found = list(map(self.chunks.new.get, chunks))
-        if None in found:
-            told = self._looked_up({c for c, ids in zip(chunks, found) if ids is None})
-            found = [told[c] if ids is None else ids for c, ids in zip(chunks, found)]
-        return b"".join(found)
-
-    def _looked_up(self, chunks: set[str]) -> dict[str, bytes]:
-        told: dict[str, bytes] = {}
-        words: dict[str, list[tuple[str, str]]] = {}
-        others = []
-        for chunk in chunks:
-            ids = self.chunks.get(chunk)
-            if ids is not None:
-                told[chunk] = ids
-                continue
-            word = chunk.rstrip(MARKS)
-            # Letters up to U+012F have one simple lower case and no other spelling.
-            if word.isalpha() and (word.isascii() or max(word) < SIMPLE):
-                words.setdefault(word.lower(), []).append((chunk, chunk[len(word) :]))
-            else:
-                others.append(chunk)
-        for chunk, coded in zip(others, self._encoded(others)):
-            told[chunk] = coded
-        known = {w: self.words.get(w) for w in words}
-        new = [w for w, ids in known.items() if ids is None]
-        for word, ids in zip(new, self._encoded_words(new)):
-            known[word] = ids
-            if len(word) <= CACHED_CHARS:
-                self.words.put(word, ids)
-        for word, found in words.items():
-            for chunk, marks in found:
-                told[chunk] = known[word] + self._marks(marks) if marks else known[word]
-        for chunk in (*others, *(chunk for found in words.values() for chunk, _ in found)):
-            if len(chunk) <= CACHED_CHARS:
-                self.chunks.put(chunk, told[chunk])
-        return told
+        if not self.split:
+            return chunks
+        return [w for c in chunks for w in (self.split.findall(c.lower()) if max(c) < SIMPLE else [c])]
+
+    def _look_up(self, words: set[str], known: dict[str, bytes]) -> list[str]:
+        """Put the ids of ``words`` into ``known``; those that are too long to stay there are given back."""
+        earlier = self.words.old
+        new = [w for w in words if w not in earlier]
+        known.update((w, earlier[w]) for w in words.difference(new))
+        plain = [w for w in new if self.split and len(w) <= CACHED_CHARS and w.isalpha() and max(w) < SIMPLE]
+        others = list(set(new).difference(plain))
+        known.update(zip(plain, self._merged(plain)))
+        known.update(zip(others, self._encoded(others)))
+        return [w for w in others if len(w) > CACHED_CHARS]
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         coded = self.library.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [np.array(e.ids, "<u4").tobytes() for e in coded]
 
-    def _encoded_words(self, words: list[str]) -> list[bytes]:
-        """Words of letters: one text for the library, cut where its tokens end a word."""
+    def _merged(self, words: list[str]) -> list[bytes]:
+        """Short words of lower-case letters, all merged side by side."""
+        out = [b""] * len(words)
         if not words:
-            return []
-        ids = np.frombuffer(self._encoded([" ".join(words)])[0], "<u4")
-        ends = (4 * (np.flatnonzero(self.ending[ids]) + 1)).tolist()
-        if len(ends) != len(words):
-            return self._encoded(words)
-        data = ids.tobytes()
-        return [data[a:b] for a, b in zip([0, *ends], ends)]
-
-    def _marks(self, marks: str) -> bytes:
-        found = self.words.get(marks)
-        if found is None:
-            (found,) = self._encoded([marks])
-            self.words.put(marks, found)
-        return found
-
-
-_tokenizers: dict[int, WordTokenizer] = {}
-
-
-def _tokenizer(config: str) -> WordTokenizer:
-    """The tokenizer of a worker, kept with what it has met from task to task."""
-    key = zlib.crc32(config.encode())
-    if key not in _tokenizers:
-        _tokenizers[key] = WordTokenizer(config)
-    return _tokenizers[key]
-
-
-def _forget() -> None:
-    """Give back what the tokenizers of this worker have met: what comes after them needs the memory."""
-    _tokenizers.clear()
+            return out
+        data = [w.encode() for w in words]
+        sizes = np.fromiter(map(len, data), np.int64, len(data))
+        codes = np.frombuffer(b"".join(data), np.uint8)
+        symbol = self.inner[codes]
+        ends = np.cumsum(sizes) - 1
+        symbol[ends] = self.last[codes[ends]]
+        run = np.repeat(np.arange(len(words)), sizes)
+        for of, ids, _ in self.merges.apply(run, symbol, np.ones(len(run), np.int64)):
+            for name, coded in cut_runs(of, ids):
+                out[name] = coded
+        return out
+
+
+def _encoded(tokenizer: WordTokenizer, texts: list[str | None]) -> Iterator[bytes]:
+    held, load = [], 0
+    for text in texts:
+        held.append(text or "")
+        load += len(held[-1])
+        if load >= BLOCK:
+            yield from tokenizer.encode_all(held)
+            held, load = [], 0
+    yield from tokenizer.encode_all(held)
 
 
 def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 4096, keep_ids: bool = False) -> DataFrame:
@@ -145,10 +164,10 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 4096, kee
         shared = docs.sparkSession.sparkContext.broadcast(f.read())  # its size is that of the vocabulary
 
     def rows(doc_ids, texts) -> Iterator[tuple]:
-        tokenizer = _tokenizer(shared.value)
+        tokenizer = kept(("word tokenizer", zlib.crc32(shared.value.encode())), lambda: WordTokenizer(shared.value))
         end = np.array([END_ID], "<u4").tobytes()
-        for doc_id, text in zip(doc_ids, texts):
-            ids = tokenizer.encode(text or "") + end
+        for doc_id, ids in zip(doc_ids, _encoded(tokenizer, texts)):
+            ids += end
             for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at : at + 4 * capacity]
                 told = doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)
@@ -156,7 +175,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 4096, kee
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
-    return map_rows(docs.select("doc_id", "text"), rows, schema + ", ids array<int>" * keep_ids)
+    return map_rows(docs.select("doc_id", "text"), rows, schema + ", ids array<int>" * keep_ids, keeps=True)
 
 
 class Stock:
@@ -238,7 +257,6 @@ def pack(pieces: DataFrame, capacity: int = 4096, group_rows: int = 20_000) -> D
     dealt = pieces.withColumn("_group", F.pmod(F.monotonically_increasing_id(), F.lit(parts)))
 
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
-        _forget()
         bins, offsets = best_two_fit(rows["length"].to_numpy(), capacity)
         out = rows.drop(columns="_group")
         return out.assign(sequence_id=(int(key[0]) << 32) + bins, offset=offsets)
