@@ -5,7 +5,7 @@ import pytest
 from test_minhash import classes_of
 
 from barorail.llm import vectors as V
-from barorail.llm.vectors import CapFilters, near_vectors
+from barorail.llm.vectors import CapFilters, near_vectors, random_pairs
 
 SCHEMA = "vec_id long, embedding array<float>, label int, id string"
 
@@ -53,6 +53,17 @@ def test_recall(dims, spread):
     assert sum(bool(caps[i] & caps[j]) for i, j in zip(a, b)) / len(a) > 0.999
 
 
+@pytest.mark.parametrize("dims,code", [(64, 11), (64, 26), (64, 48), (200, 26)])
+def test_recall_at_the_cosine_itself(dims, code):
+    """Pairs that are just similar enough, with the codes of tables of up to half a million vectors."""
+    filters = CapFilters(dims, code)
+    one, other = random_pairs(np.random.default_rng(99), 1500, dims, 0.98)
+    assert abs((one * other).sum(axis=1) - 0.98).max() < 1e-9
+    caps = filters.decode(one)
+    missed = sum(not len(np.intersect1d(x, y)) for x, y in zip(caps, filters.decode(other)))
+    assert missed <= 9 and np.mean([len(c) for c in caps]) < 64
+
+
 def test_decoding_finds_all_caps():
     filters = CapFilters(16, 6, caps=20)
     x = np.random.default_rng(1).normal(size=(30, 16))
