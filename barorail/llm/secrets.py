@@ -86,8 +86,10 @@ def pair_counts(docs: DataFrame) -> np.ndarray:
 class MarkovScan:
     """log(P(c | before) under secrets / under ordinary text) for each pair of characters.
 
-    A run of at least ``shortest`` characters with a letter and a digit is a secret where the sum over
-    it exceeds ``log_odds``, the logarithm of how much rarer secrets are taken to be than other runs.
+    Of what base spans leave of a run of characters, the part of largest sum is a secret if it has at least
+    ``shortest`` characters and its sum exceeds ``log_odds``, the logarithm of how much rarer secrets are
+    taken to be than other text; so are further parts beside it. Without base matches, or without other
+    text, there is nothing to compare: all sums are 0, and only base spans are found.
     """
 
     ratios: np.ndarray
@@ -101,27 +103,45 @@ class MarkovScan:
         ratios = np.zeros((SIZE, SIZE))
         if counts[0].sum() and counts[1].sum():  # without samples of both there is nothing to compare
             ratios[:, 1:] = table[1] - table[0]
+            # Marks join the parts of paths and names as they do those of secrets: they speak for neither.
+            mark = np.array([False] + [not c.isalnum() for c in ALPHABET])
+            either = mark[:, None] | mark[None, :]
+            ratios[either] = np.minimum(ratios[either], 0.0)
         return cls(ratios.ravel(), **options)
 
     def spans(self, text: str) -> list[Span]:
-        """Base spans, and runs that look random and touch none of them; by start, then kind."""
+        """Base spans, and parts of runs that look random and overlap none of them; by start, then kind."""
         found = base_spans(text)
-        more, at = [], 0
-        ends = np.maximum.accumulate([s[1] for s in found]) if found else []
-        starts = [s[0] for s in found]
+        more: list[Span] = []
         for run in RUN.finditer(text):
-            if run.end() - run.start() < self.shortest:
-                continue
-            at = int(np.searchsorted(starts, run.end()))
-            if at and ends[at - 1] > run.start():
-                continue
-            word = run[0]
-            if not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
-                continue
-            if float(self.ratios[_pairs(word)].sum()) > self.log_odds:
-                more.append((run.start(), run.end(), 3))
+            if run.end() - run.start() >= self.shortest:
+                at = run.start()
+                for start, end, _ in found:
+                    if start >= run.end():
+                        break
+                    if end > at:
+                        more += self._random(text, at, min(start, run.end()))
+                        at = end
+                more += self._random(text, at, run.end())
         return sorted(found + more, key=lambda s: (s[0], s[2]))
 
+    def _random(self, text: str, begin: int, end: int) -> Iterator[Span]:
+        """Parts of a run that look random. What lies beside one, too short for itself, goes with it."""
+        if end - begin < self.shortest:
+            return
+        sums = np.concatenate([[0.0], np.cumsum(self.ratios[_pairs(text[begin:end])])])
+        gains = sums - np.minimum.accumulate(sums)
+        last = int(gains.argmax())
+        if gains[last] <= self.log_odds:
+            return
+        first, last = begin + int(sums[: last + 1].argmin()), begin + last
+        first = begin if first - begin < self.shortest else first
+        last = end if end - last < self.shortest else last
+        yield from self._random(text, begin, first)
+        if last - first >= self.shortest:
+            yield first, last, 3
+        yield from self._random(text, last, end)
+
 
 def listed(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, b, k in spans)

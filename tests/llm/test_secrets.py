@@ -82,6 +82,42 @@ def test_random_strings_are_found_and_words_are_not(spark):
         assert scan.spans(calm) == []
 
 
+def test_parts_of_runs(spark):
+    """Letters alone, strings beside base spans and behind paths; and how often clean text is taken for one."""
+    rng = random.Random(11)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    scan = MarkovScan.fit(pair_counts(docs))
+
+    def word(alphabet, n):
+        return "".join(rng.choice(alphabet) for _ in range(n))
+
+    # What is ordinary is what the corpus holds: paths are made of its words.
+    texts = [r.text or "" for r in docs.limit(4000).collect()]
+    words = [w for w in " ".join(texts).split() if w.isalpha() and w.islower() and len(w) > 5]
+    path = "/" + "/".join(rng.sample(words, 5)) + "/"
+    found = {"letters": 0, "behind hex": 0, "behind a path": 0}
+    for _ in range(300):
+        found["letters"] += scan.spans(f"see {word(letters, 40)} there") == [(4, 44, 3)]
+        spans = scan.spans(word("0123456789abcdef", 24) + "-" + word(letters + "0123456789", 36))
+        # The hexadecimal part may reach into the dash only if the dash were hexadecimal.
+        found["behind hex"] += spans == [(0, 24, 2), (24, 61, 3)]
+        spans = scan.spans(path + word(letters + "0123456789", 36))
+        found["behind a path"] += len(spans) == 1 and spans[0][0] <= len(path) + 2 and spans[0][1] == len(path) + 36
+    assert found["letters"] > 290 and found["behind hex"] > 290 and found["behind a path"] > 280, found
+    assert sum(scan.spans("/" + "/".join(rng.sample(words, 8))) != [] for _ in range(300)) < 6
+    # Texts of the table: what is found besides base spans, as a share of the texts.
+    taken = [t[a:b] for t in texts for a, b, k in scan.spans(t) if k == 3]
+    assert len(taken) < 0.01 * len(texts), taken[:20]
+
+
+def test_nothing_to_learn_from(spark):
+    docs = spark.createDataFrame([(1, "plain words and no secret at all")], "doc_id long, text string")
+    scan = MarkovScan.fit(pair_counts(docs))
+    assert scan.spans("see qZ8xK2vN4mB7cT1yR5wE9uP3sD6fG0hJ there") == []
+    assert [k for _, _, k in scan.spans("0123456789abcdef01234567")] == [2]
+
+
 def test_redaction_and_odd_tables(spark):
     rows = [
         (1, 'x token = "abcdef123456" y ' + "0123456789abcdef" * 2, "a", 3),
