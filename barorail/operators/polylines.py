@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,31 +54,35 @@ def nearest_points(
     """``key, d2, cut, compared``: for each position the sequence number of its track's nearest point.
 
     ``track`` holds ``key, seq, latitude, longitude``, ``positions`` one row per ``key`` with ``_latitude`` and
-    ``_longitude``. Points are looked up by cell of a grid, in growing squares around a position: one found
+    ``_longitude``. Points lie in the cells of a grid, and count in growing squares around a position: one found
     nearer than the square reaches is the nearest of the whole track. ``compared`` counts the points looked at
     in the last square. A position without coordinates, or farther than the last square from its track, is
     compared with all of it. Of equally near points the first counts; points without coordinates do not.
+
+    A point meets the position of its track once and tells by the two cells which squares hold it, so positions
+    are never multiplied by the cells around them, and a long track shrinks to a row per task before it moves.
     """
     points = track.where("latitude IS NOT NULL AND longitude IS NOT NULL").select(
-        key, F.col(seq).alias("cut"), "latitude", "longitude",
-        _cell(F.col("latitude"), cell).alias("_y"), _cell(F.col("longitude"), cell).alias("_x"),
-    )
-    d2 = geo.squared_degrees(F.col("latitude"), F.col("longitude"), F.col("_latitude"), F.col("_longitude"))
+        key, F.col(seq).alias("cut"), "latitude", "longitude"
+    )
 
-    def best(met: DataFrame) -> DataFrame:
-        rows = met.groupBy(key).agg(F.min(F.struct(d2.alias("d2"), "cut")).alias("_n"), F.count("*").alias("compared"))
-        return rows.select(key, "_n.d2", "_n.cut", "compared")
-
-    found, left = [], positions.select(key, "_latitude", "_longitude")
-    for ring in rings:
-        around = F.sequence(F.lit(-ring), F.lit(ring))
-        cells = left.withColumn("_dy", F.explode(around)).withColumn("_dx", F.explode(around)).select(
-            key, "_latitude", "_longitude",
-            (_cell(F.col("_latitude"), cell) + F.col("_dy")).alias("_y"),
-            (_cell(F.col("_longitude"), cell) + F.col("_dx")).alias("_x"),
-        )
-        sure = best(cells.join(points, [key, "_y", "_x"])).where(F.col("d2") < F.lit((ring * cell) ** 2))
-        found.append(sure)
-        left = left.join(sure, key, "left_anti")
-    found.append(best(left.join(points, key)))
-    return reduce(DataFrame.unionByName, found)
+    def steps(point: str, position: str) -> Column:
+        return F.abs(_cell(F.col(point), cell).cast("bigint") - _cell(F.col(position), cell))
+
+    away = F.when(
+        F.col("_latitude").isNotNull() & F.col("_longitude").isNotNull(),
+        F.greatest(steps("latitude", "_latitude"), steps("longitude", "_longitude")),
+    )
+    d2 = geo.squared_degrees(F.col("latitude"), F.col("longitude"), F.col("_latitude"), F.col("_longitude"))
+    met = positions.select(key, "_latitude", "_longitude").join(points, key)
+    met = met.select(key, F.struct(d2.alias("d2"), "cut").alias("_n"), away.alias("_away"))
+    squares = {f"_in{ring}": F.col("_away") <= ring for ring in rings} | {"_in": F.lit(True)}
+    best = met.groupBy(key).agg(
+        *[
+            F.struct(F.min(F.when(inside, F.col("_n"))).alias("n"), F.count_if(inside).alias("compared")).alias(name)
+            for name, inside in squares.items()
+        ]
+    )
+    sure = [F.when(F.col(f"_in{ring}.n.d2") < F.lit((ring * cell) ** 2), F.col(f"_in{ring}")) for ring in rings]
+    last = F.coalesce(*sure, F.col("_in")).alias("_last")
+    return best.select(key, last).select(key, "_last.n.d2", "_last.n.cut", "_last.compared")

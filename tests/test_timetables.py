@@ -159,3 +159,13 @@ def test_nearest_points_look_around_only(spark):
     assert found["t3"].cut == 700 and found["unplaced"].cut == 3 and "nowhere" not in found
     near = sorted(r.compared for t, r in found.items() if t not in ("t7", "t8"))
     assert near[len(near) // 2] < 60 and found["t7"].compared >= 600
+
+
+def test_nearest_points_do_not_multiply_positions(spark):
+    track = spark.createDataFrame([("t", 1, 45.0, 4.0), ("t", 2, 45.1, 4.1)], "trip_id string, seq int, latitude double, longitude double")
+    positions = spark.createDataFrame([("t", 45.09, 4.1)], "trip_id string, _latitude double, _longitude double")
+    found = nearest_points(track, positions, "trip_id", "seq")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # The cells around a position are no rows: there may be a thousand, and a join would broadcast them.
+    assert "Generate" not in plan and plan.count("Join") == 1
+    assert [(r.cut, r.compared) for r in found.collect()] == [(2, 1)]
