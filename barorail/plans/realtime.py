@@ -416,9 +416,9 @@ def itinerary(
     read several times: for more than one train, write the live view first.
     """
     chosen = trains if trip_id is None else trains.filter(F.col("trip_id") == trip_id)
-    tracked = chosen.filter(F.col("pays") == "NL").join(
-        shapes_of_trips.join(points.select("shape_id"), "shape_id", "left_semi"), "trip_id", "left_semi"
-    )
+    # A shape counts once here, not with every point: Spark may take the ids for small and broadcast them.
+    known = shapes_of_trips.join(points.select("shape_id").distinct(), "shape_id", "left_semi")
+    tracked = chosen.filter(F.col("pays") == "NL").join(known, "trip_id", "left_semi")
     by_track = split_shape(trip_shape(tracked, shapes_of_trips, points), tracked)
     by_station = station_route(
         chosen.join(tracked.select("trip_id"), "trip_id", "left_anti"), swiss_stops, lookup
