@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions.times import iso_epoch, midnight_epoch, minutes_to_seconds
 from ..functions.ids import dated_trip_id
-from ..operators.keyed import latest_per_key
 from ..schemas import STOPS
 from ..session import written
 
 SEQUENCE_TZ = "Europe/Warsaw"
+#: Rows of a timetable in one of its buckets.
+BUCKET_ROWS = 500_000
+FEWEST_BUCKETS = 8
 
 
 def feed_entities(feeds: DataFrame) -> DataFrame:
@@ -64,20 +66,21 @@ def published_stops(entities: DataFrame) -> DataFrame:
 
 def last_map_entries(stop_map: DataFrame) -> DataFrame:
     """One timetable entry per trip and stop number; of repeated ones the highest stop id stays."""
-    order = F.struct("stop_id", "arrival_seconds", "departure_seconds")
-    return latest_per_key(
-        stop_map.select("trip_id", "stop_sequence", "stop_id", "arrival_seconds", "departure_seconds"),
-        ["trip_id", "stop_sequence"],
-        order,
-    )
+    keys = ["trip_id", "stop_sequence"]
+    # An entry is its own order, so it moves once, not as value and as order.
+    entry = F.max(F.struct("stop_id", "arrival_seconds", "departure_seconds")).alias("_entry")
+    return stop_map.groupBy(*keys).agg(entry).select(*keys, "_entry.*")
 
 
-def write_timetable(stop_map: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
+def write_timetable(stop_map: DataFrame, table: str, path: str, buckets: int | None = None) -> DataFrame:
     """The reduced timetable as a table in buckets of trip and stop number, for joins that do not move it.
 
-    A trip's entries lie in all buckets, however many it has. Choose the buckets for the size of the
-    timetable; batches of messages come to them. The files lie below ``path``.
+    A trip's entries lie in all buckets, however many it has. Batches of messages come to the buckets, one
+    task each: without a number there is one for every ``BUCKET_ROWS`` rows of the timetable, ``FEWEST_BUCKETS``
+    at least. The files lie below ``path``.
     """
+    if buckets is None:
+        buckets = max(FEWEST_BUCKETS, -(-stop_map.count() // BUCKET_ROWS))
     known = last_map_entries(stop_map).filter(F.col("stop_sequence").isNotNull())
     keys = ("trip_id", "stop_sequence")
     dealt = known.repartition(buckets, *keys)
@@ -95,7 +98,11 @@ def trip_timetables(stop_map: DataFrame) -> DataFrame:
 
 
 def resolved_stops(
-    entities: DataFrame, stop_map: DataFrame, tz: str = SEQUENCE_TZ, map_is_reduced: bool = False
+    entities: DataFrame,
+    stop_map: DataFrame,
+    tz: str = SEQUENCE_TZ,
+    map_is_reduced: bool = False,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """``stops`` with ids and delays filled from the timetable.
 
@@ -103,8 +110,11 @@ def resolved_stops(
     timetable is ever one row here; messages are numbered in a written table first, and get their stops
     back by that number, so they stay apart however equal they are. A stream reduces the timetable once,
     with ``write_timetable``, and says so by ``map_is_reduced``; one made by ``trip_timetables`` meets
-    whole messages on the trip.
+    whole messages on the trip. All columns but ``updates`` stay, or those to ``keep``: what is not asked for
+    is neither written nor moved.
     """
+    if keep is not None:
+        entities = entities.select(*{c: None for c in (*keep, "trip_id", "start_date", "updates")})
     # Midnight is worked out once per message, not for every time of every stop.
     dated = entities.withColumn("_midnight", midnight_epoch(F.col("start_date"), tz))
     if "timetable" in stop_map.columns:
@@ -113,11 +123,12 @@ def resolved_stops(
         def filled(update: Column) -> Column:
             return _filled(update, F.try_element_at("_timetable", F.coalesce(update["stop_sequence"], F.lit(0))))
 
-        return met.withColumn("stops", F.transform("updates", filled).cast(STOPS)).drop("updates", "_midnight", "_timetable")
+        met = met.withColumn("stops", F.transform("updates", filled).cast(STOPS)).drop("updates", "_midnight", "_timetable")
+        return met if keep is None else met.select(*keep, "stops")
     known = stop_map if map_is_reduced else last_map_entries(stop_map)
     entry = ["stop_id", "arrival_seconds", "departure_seconds"]
     known = known.select("trip_id", "stop_sequence", F.struct(*entry).alias("_entry"))
-    kept = [c for c in entities.columns if c != "updates"]
+    kept = [c for c in (entities.columns if keep is None else keep) if c != "updates"]
     messages = written(dated.withColumn("_message", F.monotonically_increasing_id()), "entities")
     rows = messages.select(
         "_message", "trip_id", F.struct(*[c for c in kept if c != "trip_id"]).alias("_kept"), "_midnight",
@@ -187,7 +198,8 @@ def trip_messages(
     if stop_map is None:
         with_stops = published_stops(entities)
     else:
-        with_stops = resolved_stops(entities, stop_map, tz, map_is_reduced)
+        envelope = ["trip_id", "route_id", "feed_timestamp", *(["pays"] if country is None else [])]
+        with_stops = resolved_stops(entities, stop_map, tz, map_is_reduced, envelope)
     return as_messages(with_stops, country, captured_at)
 
 

@@ -385,3 +385,27 @@ def test_a_timetable_in_buckets_stays_where_it_is(spark, tmp_path):
     assert [r.trip_id for r in rows] == ["t1", "t1", "t2"]  # equal messages stay apart
     assert [s.stop_id for s in rows[0].stops] == ["S5", "S999999", "", "S5", "x"]
     assert [s.stop_id for s in rows[2].stops] == [""]
+
+
+def test_messages_leave_behind_what_they_do_not_carry(spark, tmp_path):
+    feeds = _read_feed(spark, tmp_path, _feed([{"stop_sequence": 1, "arrival": {"time": 5}}]))
+    feeds = feeds.withColumn("source_file", F.lit("a long path"))
+    stop_map = spark.createDataFrame([("t1", 1, "B", 2, 3), ("t1", 1, "A", 9, 9)], S.STOP_SEQUENCE_MAP)
+    found = messages.trip_messages(feeds, "PL", stop_map=stop_map, captured_at=F.lit(1).cast("bigint"))
+    assert [s.stop_id for s in found.head().stops] == ["B"]
+    written = spark.read.parquet(*found.inputFiles())  # the numbered messages, which are moved twice more
+    assert not {"source_file", "entity_pos"} & set(written.columns)
+    whole = messages.resolved_stops(messages.feed_entities(feeds), stop_map)
+    assert {"source_file", "entity_pos", "start_date"} <= set(whole.columns)
+
+
+def test_buckets_grow_with_the_timetable(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(messages, "BUCKET_ROWS", 100)
+    stop_map = spark.range(2_000).selectExpr(
+        "'t' AS trip_id", "CAST(id AS int) AS stop_sequence", "'S' AS stop_id", "id AS arrival_seconds", "id AS departure_seconds"
+    )
+    for rows, buckets in ((2_000, 20), (10, 8)):
+        messages.write_timetable(stop_map.limit(rows), f"grown_{rows}", str(tmp_path / f"t{rows}"))
+        told = spark.sql(f"DESCRIBE EXTENDED grown_{rows}").where("col_name = 'Num Buckets'").head()
+        spark.sql(f"DROP TABLE grown_{rows}")
+        assert told.data_type == str(buckets)
