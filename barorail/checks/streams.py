@@ -51,7 +51,7 @@ def _streamed(v: Views, table: str) -> StreamViews:
 def _published(v: Views) -> DataFrame:
     """Snapshots to resolved message lines, through a stream."""
     out = scratch_dir(v.spark, "messages")
-    stop_map = messages.write_timetable(v.stop_map, f"timetable_{uuid.uuid4().hex}", scratch_dir(v.spark, "timetable"), buckets=8)
+    stop_map = messages.write_timetable(v.stop_map, f"timetable_{uuid.uuid4().hex}", scratch_dir(v.spark, "timetable"))
 
     def to_messages(feeds: DataFrame) -> DataFrame:
         return messages.trip_messages(

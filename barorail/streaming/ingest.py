@@ -24,7 +24,7 @@ def publish_stream(
     checkpoint: str,
     once: bool = False,
 ) -> StreamingQuery:
-    """Turn each micro-batch of snapshots into message lines below ``out``.
+    """Turn each micro-batch of snapshots into message lines below ``out``, in compressed files.
 
     The conversion runs on the batch rows, so the static lookups join and regroup as in a batch
     job, without stream state. The folder of a batch is replaced when that batch is run again.
@@ -32,7 +32,7 @@ def publish_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         keyed_messages(to_messages(batch)).select("value").write.mode("overwrite").text(
-            f"{out}/batch={batch_id:09d}"
+            f"{out}/batch={batch_id:09d}", compression="gzip"
         )
 
     trigger = {"availableNow": True} if once else {"processingTime": f"{POLL_SECONDS} seconds"}
