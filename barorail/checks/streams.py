@@ -87,7 +87,7 @@ def _polled(v: Views) -> DataFrame:
 
     def land(names: dict[str, tuple[int, str]]) -> None:
         for pays, (which, name) in names.items():
-            feeds.where(turn == which).write.json(f"{folders[pays]}/{name}")
+            feeds.where(turn == which).write.json(f"{folders[pays]}/{name}", compression="gzip")
 
     def poll() -> None:
         stream = snapshot_feeds(v.spark, folders)

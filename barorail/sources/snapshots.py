@@ -7,9 +7,11 @@ the order of their names, and only once they are complete (marked by ``_SUCCESS`
 
 from __future__ import annotations
 
+import io
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pyarrow as pa
 from pyarrow import fs
@@ -57,13 +59,12 @@ class SnapshotReader(DataSourceStreamReader):
 
     def read(self, partition: SnapshotFile) -> Iterator[pa.RecordBatch]:
         files, _ = self._root(partition.pays)
-        with files.open_input_stream(partition.path) as stream:
-            lines = stream.read().decode("utf-8").splitlines()
-        lines = [line for line in lines if line.strip()]
-        for at in range(0, len(lines), LINES):
-            part = lines[at : at + LINES]
-            named = [[partition.pays] * len(part), [partition.snapshot] * len(part), part]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in named], ["pays", "snapshot", "value"])
+        # A file is taken apart as it is read, compressed or not (its name says so), and never held as a whole.
+        with files.open_input_stream(partition.path) as stream, io.TextIOWrapper(stream, "utf-8") as text:
+            lines = (line.rstrip("\n") for line in text if line.strip())
+            while part := list(islice(lines, LINES)):
+                named = [[partition.pays] * len(part), [partition.snapshot] * len(part), part]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in named], ["pays", "snapshot", "value"])
 
     def commit(self, end: dict) -> None:
         pass

@@ -1,4 +1,5 @@
 import datetime
+import gzip
 import json
 import os
 
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from barorail.plans.messages import trip_timetables
 from barorail import schemas as S
 from barorail.plans import accesslog, messages
+from barorail.checks import streams
 from barorail.sources import readers, snapshots
 from barorail.streaming import ingest, state, telemetry
 
@@ -231,3 +233,34 @@ def test_snapshots_resume_between_countries(spark, tmp_path):
     land("PL", "003", _feed("p", 5, 1))
     assert poll() == [("PL", "002", 4), ("PL", "003", 5)]
     assert len(seen) == len(set(seen)) == 5
+
+
+def test_published_lines_are_compressed(spark, tmp_path):
+    _drop(tmp_path / "in", "0.json", [_feed("p", 1704900000, 1)], 1000)
+    feeds = ingest.country_feeds(spark, {"PL": str(tmp_path / "in")})
+    shape = lambda batch: ingest.country_messages(batch, {}, {}, {}, F.lit(1).cast("bigint"))
+    ingest.publish_stream(feeds, shape, str(tmp_path / "out"), str(tmp_path / "cp"), once=True).awaitTermination()
+    parts = list((tmp_path / "out").glob("batch=*/part-*"))
+    assert parts and all(p.name.endswith(".gz") for p in parts)
+    assert [r.trip_id for r in readers.read_messages(spark, str(tmp_path / "out" / "batch=*")).collect()] == ["p"]
+
+
+def test_snapshots_are_read_line_by_line_compressed_or_not(tmp_path):
+    lines = [json.dumps(_feed(f"p\u2028{i}", i, 1), ensure_ascii=False) for i in range(2_500)]
+    text = "\r\n".join(lines[:1]) + "\n\n" + "\n".join(lines[1:])
+    (tmp_path / "a.json").write_text(text, newline="")
+    with gzip.open(tmp_path / "b.json.gz", "wt", newline="") as file:
+        file.write(text)
+    reader = snapshots.SnapshotReader({"folders": json.dumps({"PL": str(tmp_path)})})
+    for name in ("a.json", "b.json.gz"):
+        batches = list(reader.read(snapshots.SnapshotFile("PL", "001", str(tmp_path / name))))
+        assert [b.num_rows for b in batches] == [1000, 1000, 500]
+        assert [x for b in batches for x in b.column("value").to_pylist()] == lines
+
+
+def test_snapshots_of_the_query_land_compressed(spark, tmp_path, monkeypatch):
+    folder = lambda _, label: f"{tmp_path}/{label}"
+    monkeypatch.setattr(streams, "scratch_dir", folder)
+    assert streams._polled(streams.Views(spark, "/root/testdata/sf0.001")).count() > 0
+    parts = list(tmp_path.glob("snapshots/*/*/part-*"))
+    assert parts and all(p.name.endswith(".json.gz") for p in parts)
