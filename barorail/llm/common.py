@@ -132,8 +132,8 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-def label_sample(labels: DataFrame, column: str, rows: int) -> DataFrame:
-    """At most ``rows`` labelled ids (doc_id, ``column``), those of lowest hash: the same on every run.
+def labelled(labels: DataFrame, column: str) -> DataFrame:
+    """All labelled ids (doc_id, ``column``), one row each.
 
     Ids with a NULL or with labels that contradict each other are no examples.
     """
@@ -143,11 +143,14 @@ def label_sample(labels: DataFrame, column: str, rows: int) -> DataFrame:
         .agg(F.min(column).alias(column), F.max(column).alias("_most"))
         .where(F.col(column) == F.col("_most"))
         .select("doc_id", column)
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(rows)
     )
 
 
+def label_sample(labels: DataFrame, column: str, rows: int) -> DataFrame:
+    """At most ``rows`` of the ``labelled`` ids, those of lowest hash: the same on every run."""
+    return labelled(labels, column).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+
+
 def map_groups(
     df: DataFrame, keys: list[str], group: Callable[[tuple, list[tuple]], Iterator[tuple]], schema: str
 ) -> DataFrame:

@@ -5,8 +5,10 @@ import re
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from barorail.llm.rules import COUNTS, IsolationForest, calibrate, quality_rules, text_counts, usual_depth
+from barorail.llm import rules
+from barorail.llm.rules import COUNTS, EXTRA, IsolationForest, calibrate, quality_rules, text_counts, usual_depth
 
 SF = "/root/testdata/sf0.01"
 
@@ -77,3 +79,27 @@ def test_odd_tables(spark):
     fine = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(60)))], "doc_id long, text string")
     assert [r["kept"] for r in quality_rules(fine, none).collect()] == [True]
     assert quality_rules(docs.limit(0), none).collect() == []
+
+
+def test_forest_and_threshold_come_from_all_examples(spark):
+    names = [*COUNTS, *EXTRA]
+    good = spark.range(30_000).selectExpr("id AS doc_id", "200 AS n_words", *[f"abs(hash(id, '{c}')) % 1000 AS {c}" for c in names[1:]])
+    forest = rules.fit_forest(good, 30_000, trees=10, tree_rows=500)
+    # Ten shares of one round: no row is left out, and a tree of more rows has no more nodes.
+    assert forest.rows == 3_000 and forest.depth.shape == (10, 512)
+    rows = good.toPandas()
+    anomaly = forest.anomaly(rules.features({c: rows[c].to_numpy() for c in names}))
+    table = spark.createDataFrame(pd.DataFrame({"anomaly": anomaly}))
+    for share in (0.005, 0.3, 0.0):
+        assert rules.threshold(table, 30_000, share) == calibrate(anomaly, np.ones(30_000), share)
+
+
+def test_rejects_few_of_more_examples_than_were_once_read(spark):
+    """21,000 good examples: those of highest hash, which a sample of 20,000 left out, are as safe as others."""
+    text = "concat_ws(' ', transform(sequence(1, 60), i -> concat(repeat('x', CAST(pmod(hash(id, i), 9) AS int)), i)))"
+    docs = spark.range(21_000).selectExpr("id AS doc_id", f"concat({text}, repeat(' #', CAST(id % 7 AS int))) AS text")
+    late = docs.orderBy(F.xxhash64("doc_id").desc()).limit(1_000).select("doc_id", F.lit(True).alias("late"))
+    docs = docs.join(late, "doc_id", "left").selectExpr("doc_id", "CASE WHEN late THEN concat(text, repeat(' $$$$$$', 40)) ELSE text END AS text")
+    labels = docs.selectExpr("doc_id", "1 AS quality")
+    got = quality_rules(docs, labels).join(late, "doc_id", "left").groupBy("late").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    assert {r["late"]: r["kept"] > 0.85 for r in got} == {None: True, True: True}
