@@ -159,7 +159,13 @@ def _element_rows(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _links(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) that are similar enough, by their whole shingle sets."""
+    """The pairs (a, b) that are similar enough, by their whole shingle sets.
+
+    Pairs and ids are written first, so that Spark knows how few they are and moves the shingles of those only.
+    """
+    pairs = saved(pairs, "pairs")
+    asked = saved(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "asked")
+    known = known.join(asked, "doc_id", "left_semi")
     right = known.select(F.col("doc_id").alias("b"), F.col("elements").alias("eb"))
     left = known.select(F.col("doc_id").alias("a"), F.col("elements").alias("ea"))
     met = pairs.join(right, "b").join(left, "a").select("a", "b", "ea", "eb")
@@ -236,7 +242,10 @@ def _cross_links(texts: DataFrame, classes: DataFrame, known: DataFrame, similar
         "doc_id", "component", "key", F.least("place", "other").alias("low"), F.greatest("place", "other").alias("high"),
         "place",
     )
-    met = met.join(own.select("doc_id", "keys"), "doc_id").join(known, "doc_id")
+    # Few texts are in mixed buckets: again only their shingles move.
+    met = saved(met.join(own.select("doc_id", "keys"), "doc_id"), "compared")
+    asked = saved(met.select("doc_id").distinct(), "asked")
+    met = met.join(known.join(asked, "doc_id", "left_semi"), "doc_id")
 
     def compare(key, rows) -> Iterator[tuple]:
         bucket, low, high = key

@@ -142,3 +142,12 @@ def test_every_text_of_an_id_links(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     for docs in (df, df.union(df)):
         assert result(near_duplicates(docs)) == {5: 3, 3: 3, 4: 3, 9: 9}
+
+
+def test_only_shingles_that_are_asked_for_move(spark):
+    known = spark.range(1_000).selectExpr("id AS doc_id", "CAST(unhex('0100000000000000') AS binary) AS elements")
+    pairs = spark.createDataFrame([(3, 900), (5, 6)], "a long, b long")
+    found = minhash._links(pairs, known, 0.8)
+    assert sorted(map(tuple, found.collect())) == [(3, 900), (5, 6)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan
