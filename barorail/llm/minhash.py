@@ -162,13 +162,14 @@ def _links(pairs: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) that are similar enough, by their whole shingle sets.
 
     Pairs and ids are written first, so that Spark knows how few they are and moves the shingles of those only.
+    Shingles are sorted and merged with them at any size: a small table moves its share of them as a large one does.
     """
     pairs = saved(pairs, "pairs")
     asked = saved(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "asked")
     known = known.join(asked, "doc_id", "left_semi")
     right = known.select(F.col("doc_id").alias("b"), F.col("elements").alias("eb"))
     left = known.select(F.col("doc_id").alias("a"), F.col("elements").alias("ea"))
-    met = pairs.join(right, "b").join(left, "a").select("a", "b", "ea", "eb")
+    met = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a").select("a", "b", "ea", "eb")
 
     def rows(*columns) -> Iterator[tuple]:
         for a, b, ea, eb in zip(*columns):
@@ -218,8 +219,9 @@ def _cross_links(texts: DataFrame, classes: DataFrame, known: DataFrame, similar
 
     In a bucket the members of its largest class need no comparison among themselves; they are cut into
     blocks, the others into blocks of their own, and each block of others meets each block. A pair that
-    shares several buckets is compared in the first. Links come out as a tree per block: id a hangs
-    together with id b.
+    shares several buckets is compared in the first, and only if the numbers of shingles allow a link. Which
+    pairs those are is told by keys and numbers alone, and shingles move to the blocks that have such a pair
+    of theirs. Links come out as a tree per block: id a hangs together with id b.
     """
     own = texts.join(classes.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     own = saved(own.withColumn("component", F.coalesce("component", "doc_id")), "labelled")
@@ -234,40 +236,54 @@ def _cross_links(texts: DataFrame, classes: DataFrame, known: DataFrame, similar
     others = F.ceil((F.col("all") - F.col("main.n")) / F.lit(GROUP)).cast("int")
     mains = F.ceil(F.col("main.n") / F.lit(GROUP)).cast("int")
     met = met.select("doc_id", "component", "key", main.alias("main"), others.alias("others"), mains.alias("mains"))
+    met = met.join(own.select("doc_id", "weight", "keys"), "doc_id")  # before blocks multiply the members
     deal = F.xxhash64("doc_id", "key")
     place = F.when(F.col("main"), F.col("others") + F.pmod(deal, "mains")).otherwise(F.pmod(deal, "others"))
     most = F.when(F.col("main"), F.col("others")).otherwise(F.col("others") + F.col("mains"))
     met = met.withColumn("place", place.cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), most - 1)))
-    met = met.select(
-        "doc_id", "component", "key", F.least("place", "other").alias("low"), F.greatest("place", "other").alias("high"),
-        "place",
-    )
-    # Few texts are in mixed buckets: again only their shingles move.
-    met = saved(met.join(own.select("doc_id", "keys"), "doc_id"), "compared")
-    asked = saved(met.select("doc_id").distinct(), "asked")
-    met = met.join(known.join(asked, "doc_id", "left_semi"), "doc_id")
+    block = ["key", F.least("place", "other").alias("low"), F.greatest("place", "other").alias("high")]
+    met = met.select(*block, "doc_id", "component", "place", "weight", "keys")
 
-    def compare(key, rows) -> Iterator[tuple]:
+    def to_compare(key, component, place, weight, keys) -> np.ndarray:
+        """Which pairs of a block this block has to compare."""
         bucket, low, high = key
-        ids, component, place, keys, elements = zip(*rows)
-        component, place, keys = np.array(component), np.array(place), np.array(keys)
+        component, place, weight, keys = (np.array(x) for x in (component, place, weight, keys))
         wanted = component[:, None] != component[None, :]
         if low != high:
             wanted &= place[:, None] != place[None, :]
-        band = int((keys[0] == bucket).argmax())
-        for earlier in range(band):
+        wanted &= _may_be_alike(weight, similarity)
+        for earlier in range(int((keys[0] == bucket).argmax()) if wanted.any() else 0):
             wanted &= keys[:, earlier][:, None] != keys[:, earlier][None, :]
-        if wanted.any():
-            near = wanted & (similarities([np.frombuffer(e, U) for e in elements]) >= similarity)
-            first = hung(near)
-            for i in np.flatnonzero(near.any(axis=1)):
-                yield ids[i], ids[first[i]]
+        return wanted
+
+    def choose(key, rows) -> Iterator[tuple]:
+        _, *told = zip(*rows)
+        for i in np.flatnonzero(to_compare(key, *told).any(axis=1)):
+            yield (*key, *rows[i])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in met.schema)
+    met = saved(map_groups(met, ["key", "low", "high"], choose, schema), "compared")
+    asked = saved(met.select("doc_id").distinct(), "asked")
+    met = met.join(known.join(asked, "doc_id", "left_semi"), "doc_id")
+
+    def compare(key, rows) -> Iterator[tuple]:
+        ids, *told, elements = zip(*rows)
+        near = similarities([np.frombuffer(e, U) for e in elements]) >= similarity
+        near &= to_compare(key, *told)
+        first = hung(near)
+        for i in np.flatnonzero(near.any(axis=1)):
+            yield ids[i], ids[first[i]]
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    met = met.select("key", "low", "high", "doc_id", "component", "place", "keys", "elements")
+    met = met.select("key", "low", "high", "doc_id", "component", "place", "weight", "keys", "elements")
     return map_groups(met, ["key", "low", "high"], compare, f"a {kind}, b {kind}")
 
 
+def _may_be_alike(weight: np.ndarray, similarity: float) -> np.ndarray:
+    """Of each two sets of so many shingles, whether they could be similar enough: sum(min) is the smaller at most."""
+    return np.minimum.outer(weight, weight) >= similarity * np.maximum.outer(weight, weight) - 1e-6
+
+
 def _classes(
     docs: DataFrame, words: int, similarity: float, bands: int, band_rows: int, first_bands: int
 ) -> DataFrame:

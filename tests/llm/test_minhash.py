@@ -151,3 +151,25 @@ def test_only_shingles_that_are_asked_for_move(spark):
     assert sorted(map(tuple, found.collect())) == [(3, 900), (5, 6)]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan
+
+
+def test_shingles_move_only_where_a_block_compares_them(spark, monkeypatch):
+    """Two texts of different classes share every bucket and meet once; a third is too long to be like either."""
+    moved = []
+    groups = minhash.map_groups
+
+    def watched(df, *rest):
+        if "elements" in df.columns:
+            moved.extend(r["doc_id"] for r in df.select("doc_id").collect())
+        return groups(df, *rest)
+
+    monkeypatch.setattr(minhash, "map_groups", watched)
+    one = np.arange(1, 101, dtype=np.uint64)
+    sets = {1: one, 2: np.append(one[:95], np.arange(500, 505, dtype=np.uint64)), 3: np.arange(1, 401, dtype=np.uint64)}
+    texts = [(i, len(s), list(range(10, 34))) for i, s in sets.items()]
+    texts = spark.createDataFrame(texts, "doc_id long, weight long, keys array<bigint>")
+    known = spark.createDataFrame([(i, s.tobytes()) for i, s in sets.items()], "doc_id long, elements binary")
+    classes = spark.createDataFrame([], "id long, component long")
+    found = minhash._cross_links(texts, classes, known, 0.8)
+    assert sorted({*moved}) == [1, 2] and len(moved) <= 3
+    assert {tuple(sorted(r)) for r in found.collect() if r["a"] != r["b"]} == {(1, 2)}
