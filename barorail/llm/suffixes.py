@@ -92,7 +92,8 @@ def _extended(docs: DataFrame, candidates: DataFrame, length: int, spread: int,
 
     kinds = ", ".join(f"{name} {docs.schema[name].dataType.simpleString()}" for name in ("key", "doc_id"))
     listed = candidates.groupBy("key").agg(F.collect_set(F.struct("suffix", "hot")).alias("known"))
-    joined = docs.join(listed, "key").select("key", "doc_id", "text", "known")
+    # Texts are sorted and merged with what is found in them at any size, here and in ``cut_passages``.
+    joined = docs.join(listed.hint("merge"), "key").select("key", "doc_id", "text", "known")
     return map_rows(joined, rows, f"suffix long, hot boolean, {kinds}, start int, windows array<bigint>")
 
 
@@ -220,7 +221,7 @@ def cut_passages(docs: DataFrame, passages: DataFrame, by: str = "doc_id") -> Da
     """
     listed = unused(docs.columns, "_cuts")
     cuts = passages.where("copy").groupBy(by).agg(F.collect_list(F.struct("start", "end")).alias(listed))
-    joined = docs.join(cuts, by, "left")
+    joined = docs.join(cuts.hint("merge"), by, "left")
     names = joined.columns
     text_at, cuts_at = names.index("text"), names.index(listed)
 

@@ -31,7 +31,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     ranked = rows.select(row, place.alias("place")).join(classes, row)
     first = ranked.groupBy("class_row").agg(F.min("place").alias("place")).select(F.col(f"place.{row}").alias(row))
     dropped = classes.join(first, row, "left_anti")
-    return rows.join(dropped, row, "left_anti").select(*docs.columns)
+    return rows.join(dropped.hint("merge"), row, "left_anti").select(*docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

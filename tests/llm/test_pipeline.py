@@ -137,3 +137,11 @@ def test_columns_with_names_of_helpers(spark):
     assert sorted((r.doc_id, r.text) for r in found.collect()) == [(1, LONG), (2, ""), (3, OTHER)]
     assert corpus_pipeline.good_documents(spark, docs, SF).schema == docs.schema
     assert corpus_pipeline.without_secrets(spark, docs, SF).columns == docs.columns
+
+
+def test_texts_are_merged_with_what_is_found_in_them_at_any_size(spark):
+    """So a small table shuffles its share of the texts, and tells what a large one will."""
+    rows = frame(spark, [(4, LONG, 1), (5, LONG, 1), (3, OTHER, 1)])
+    for stage, kind in ((corpus_pipeline.one_of_each_group, "LeftAnti"), (corpus_pipeline.without_repeats, "LeftOuter")):
+        plan = stage(spark, rows, SF)._jdf.queryExecution().executedPlan().toString()
+        assert any("SortMergeJoin" in line and kind in line for line in plan.splitlines())
