@@ -14,9 +14,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .bpe import CACHED_CHARS, SPACE, byte_letters
-from .common import kept, map_rows, saved
+from .common import kept, map_rows, saved, small_batches
 from .hashing import Recent
 from .merging import Merges, cut_runs
 
@@ -36,12 +37,18 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def _simple_split() -> re.Pattern:
-    """``SPLIT`` for lower-case text of simple characters."""
+    """``SPLIT`` for lower-case text of simple characters: letters, the most frequent kind, are tried first.
+
+    What begins with letters, with a number and with other characters excludes each other.
+    """
     simple = [chr(c) for c in range(ord(SIMPLE))]
     letters = "".join(c for c in simple if unicodedata.category(c)[0] == "L")
     numbers = "".join(c for c in simple if unicodedata.category(c)[0] == "N")
-    pattern = SPLIT.replace(r"\p{L}", letters).replace(r"\p{N}", numbers).replace(r"\s", SPACE)
-    return re.compile(pattern)
+    return re.compile(rf"[{letters}]+|[{numbers}]|'(?:s|t|re|ve|m|ll|d)|[^{SPACE}{letters}{numbers}]+")
+
+
+def _simple(word: str) -> bool:
+    return word.isascii() or max(word) < SIMPLE
 
 
 class WordTokenizer:
@@ -114,7 +121,7 @@ class WordTokenizer:
         earlier = self.words.old
         new = [w for w in words if w not in earlier]
         known.update((w, earlier[w]) for w in words.difference(new))
-        plain = [w for w in new if self.split and len(w) <= CACHED_CHARS and w.isalpha() and max(w) < SIMPLE]
+        plain = [w for w in new if self.split and len(w) <= CACHED_CHARS and w.isalpha() and _simple(w)]
         others = list(set(new).difference(plain))
         known.update(zip(plain, self._merged(plain)))
         known.update(zip(others, self._encoded(others)))
@@ -153,13 +160,18 @@ def _encoded(tokenizer: WordTokenizer, texts: list[str | None]) -> Iterator[byte
     yield from tokenizer.encode_all(held)
 
 
-def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 4096, keep_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, and with ``keep_ids`` the ids, of every document.
+def coded(ids: bytes) -> bytes:
+    """Little-endian ids of 32 bits in 16 bits each, if all of them fit; ``decoded`` is told how many they are."""
+    values = np.frombuffer(ids, "<u4")
+    return values.astype("<u2").tobytes() if values.max() < 2**16 else ids
 
-    A document is its ids and then END_ID; what is longer than ``capacity`` is cut into pieces of that
-    many, the last one shorter. A NULL or empty text is the END_ID alone. Repeated rows are documents of
-    their own, other columns are ignored, an empty table gives no rows.
-    """
+
+def decoded(ids: bytes, length: int) -> np.ndarray:
+    return np.frombuffer(ids, f"<u{len(ids) // length}").astype("<u4", copy=False)
+
+
+def _pieces(docs: DataFrame, tokenizer_file: str, capacity: int, keep_ids: bool) -> DataFrame:
+    """``token_pieces`` with their ids ``coded``."""
     with open(tokenizer_file, encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())  # its size is that of the vocabulary
 
@@ -171,11 +183,42 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 4096, kee
             for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at : at + 4 * capacity]
                 told = doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)
-                yield (*told, np.frombuffer(part, "<i4")) if keep_ids else told
+                yield (*told, coded(part)) if keep_ids else told
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
-    return map_rows(docs.select("doc_id", "text"), rows, schema + ", ids array<int>" * keep_ids, keeps=True)
+    return map_rows(docs.select("doc_id", "text"), rows, schema + ", ids binary" * keep_ids, keeps=True)
+
+
+def listed_ids(pieces: DataFrame) -> DataFrame:
+    """``pieces`` with their ``coded`` ids as array<int>."""
+    small_batches(pieces.sparkSession)
+    names = pieces.columns
+    at, length_at = names.index("ids"), names.index("length")
+    fields = [T.StructField("ids", T.ArrayType(T.IntegerType())) if f.name == "ids" else f for f in pieces.schema]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                columns = list(batch.columns)
+                ids = [decoded(*x) for x in zip(columns[at].to_pylist(), columns[length_at].to_pylist())]
+                ends = np.cumsum([0, *map(len, ids)])
+                values = pa.array(np.concatenate(ids).astype(np.int32))
+                columns[at] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return pieces.mapInArrow(run, T.StructType(fields))
+
+
+def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = 4096, keep_ids: bool = False) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, and with ``keep_ids`` the ids, of every document.
+
+    A document is its ids and then END_ID; what is longer than ``capacity`` is cut into pieces of that
+    many, the last one shorter. A NULL or empty text is the END_ID alone. Repeated rows are documents of
+    their own, other columns are ignored, an empty table gives no rows.
+    """
+    pieces = _pieces(docs, tokenizer_file, capacity, keep_ids)
+    return listed_ids(pieces) if keep_ids else pieces
 
 
 class Stock:
@@ -265,31 +308,40 @@ def pack(pieces: DataFrame, capacity: int = 4096, group_rows: int = 20_000) -> D
     return dealt.groupBy("_group").applyInPandas(run, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = 4096, keep_ids: bool = False) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer_file: str, capacity: int = 4096, keep_ids: bool = False, as_coded: bool = False
+) -> DataFrame:
     """Pieces of all documents (see ``token_pieces``) with the sequence and the place each one got.
 
-    Only lengths are gathered to be packed; ids stay with the written pieces and meet their places by a join.
+    Only lengths are gathered to be packed; ids stay with the written pieces and meet their places by a join,
+    ``coded``, which is half as much. They come out as array<int>, or ``as_coded`` as they were stored.
     """
-    pieces = token_pieces(docs, tokenizer_file, capacity, keep_ids)
+    pieces = _pieces(docs, tokenizer_file, capacity, keep_ids)
     if not keep_ids:
         return pack(saved(pieces, "pieces"), capacity)
     pieces = saved(pieces.withColumn("_piece", F.monotonically_increasing_id()), "pieces")
     places = saved(pack(pieces.select("_piece", "length"), capacity).drop("length"), "places")
     told = [c for c in pieces.columns if c not in ("_piece", "ids")]
-    return pieces.join(places, "_piece").select(*told, "sequence_id", "offset", "ids")
+    packed = pieces.join(places, "_piece").select(*told, "sequence_id", "offset", "ids")
+    return packed if as_coded else listed_ids(packed)
 
 
 def packed_digests(packed: DataFrame) -> DataFrame:
-    """Pieces that were packed with their ids, with ids_crc32 taken from those ids in their place."""
+    """Pieces that were packed with their ids, with ids_crc32 taken from those ids, listed or coded, in their place."""
     names = [c for c in packed.columns if c != "ids"]
     struct = packed.select(*names).schema
-    at = names.index("ids_crc32")
+    at, length_at = names.index("ids_crc32"), names.index("length")
+    binary = packed.schema["ids"].dataType == T.BinaryType()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             *columns, ids = batch.columns
-            values, ends = ids.values.to_numpy().astype("<i4", copy=False), ids.offsets.to_pylist()
-            columns[at] = pa.array([zlib.crc32(values[a:b].tobytes()) for a, b in zip(ends, ends[1:])], pa.int64())
+            if binary:
+                parts = [decoded(*x) for x in zip(ids.to_pylist(), columns[length_at].to_pylist())]
+            else:
+                values, ends = ids.values.to_numpy().astype("<i4", copy=False), ids.offsets.to_pylist()
+                parts = [values[a:b] for a, b in zip(ends, ends[1:])]
+            columns[at] = pa.array([zlib.crc32(part.tobytes()) for part in parts], pa.int64())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return packed.select(*names, "ids").mapInArrow(run, struct)

@@ -48,7 +48,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     file = public_tokenizers.path("word_bpe_49k.json")
-    return packed_digests(pack_documents(table(spark, sf_dir, "documents"), file, keep_ids=True))
+    return packed_digests(pack_documents(table(spark, sf_dir, "documents"), file, keep_ids=True, as_coded=True))
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

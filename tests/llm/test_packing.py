@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from barorail.llm import packing
 from barorail.llm.packing import WordTokenizer, best_two_fit, pack, pack_documents, sequences
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -107,3 +108,17 @@ def test_groups_and_files(spark, library):
     got = pack(many, 1000, 500).toPandas()
     check(*(got[c].to_numpy() for c in ("length", "sequence_id", "offset")), 1000)
     assert got.sequence_id.nunique() <= got.length.sum() / 1000 + 10
+
+
+def test_ids_are_stored_in_as_few_bytes_as_they_need(spark, library):
+    docs = spark.createDataFrame([(1, "The train leaves at noon."), (2, None)], "doc_id long, text string")
+    found = pack_documents(docs, PATH, keep_ids=True, as_coded=True)
+    assert found.schema["ids"].dataType.simpleString() == "binary"
+    for row in found.collect():
+        assert len(row["ids"]) == 2 * row["length"]
+        assert zlib.crc32(packing.decoded(row["ids"], row["length"]).tobytes()) == row["ids_crc32"]
+    for ids in ([65535, 0, 7], [65536, 0, 7]):
+        stored = packing.coded(np.array(ids, "<u4").tobytes())
+        assert len(stored) == (6 if max(ids) < 2**16 else 12) and packing.decoded(stored, 3).tolist() == ids
+    listed = {r["doc_id"]: r["ids"] for r in packing.token_pieces(docs, PATH, keep_ids=True).collect()}
+    assert listed == {1: [*library.encode("The train leaves at noon.", add_special_tokens=False).ids, 1], 2: [1]}
