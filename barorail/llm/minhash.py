@@ -284,24 +284,33 @@ def _may_be_alike(weight: np.ndarray, similarity: float) -> np.ndarray:
     return np.minimum.outer(weight, weight) >= similarity * np.maximum.outer(weight, weight) - 1e-6
 
 
+def shared_keys(members: DataFrame) -> DataFrame:
+    """key, doc_id and low, the smallest doc_id of the key, of the ``members`` (doc_id, key) that share their key.
+
+    Members move once: Spark reuses what was dealt by key for the join with what is aggregated of it.
+    """
+    dealt = members.select("key", "doc_id").repartition("key")
+    ends = dealt.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    return dealt.join(ends.where("low <> high").select("key", "low"), "key")
+
+
 def _classes(
     docs: DataFrame, words: int, similarity: float, bands: int, band_rows: int, first_bands: int
 ) -> DataFrame:
     """doc_id, class_id of every text with a word, from ids that are all different."""
     own = saved(signed(docs, words, bands, band_rows), "signatures")
-    copies = saved(own.groupBy("copy_key").agg(F.min("doc_id").alias("text_id")), "copies")
-    texts = own.join(copies.select(F.col("text_id").alias("doc_id")), "doc_id", "left_semi")
-    texts = saved(texts.select("doc_id", "weight", "keys"), "texts")
+    texts = own.groupBy("copy_key").agg(
+        F.min("doc_id").alias("text_id"), F.min_by(F.struct("weight", "keys"), "doc_id").alias("of")
+    )
+    copies = saved(texts.select("copy_key", "text_id", "of.weight", "of.keys"), "copies")
+    texts = copies.select(F.col("text_id").alias("doc_id"), "weight", "keys")
 
     def members(df: DataFrame, keys) -> DataFrame:
         return df.select("*", F.explode(keys).alias("key")).drop("keys")
 
-    # Texts that share a key with another; only their shingles are ever compared.
-    shared = members(texts.select("doc_id", "keys"), F.col("keys")).groupBy("key")
-    shared = shared.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high")
-    open_keys = saved(shared.select("key", "low"), "buckets")
-    met = members(texts.select("doc_id", "keys"), F.col("keys")).join(open_keys, "key", "left_semi")
-    met = saved(met.select("doc_id").distinct(), "candidates")
+    shared = saved(shared_keys(members(texts.select("doc_id", "keys"), F.col("keys"))), "shared")
+    open_keys = shared.where("doc_id = low").select("key", "low")
+    met = saved(shared.select("doc_id").distinct(), "candidates")
     known = saved(_element_rows(docs.join(met, "doc_id", "left_semi"), words), "shingles")
     texts = saved(texts.join(met, "doc_id", "left_semi"), "texts")
 

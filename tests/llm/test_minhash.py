@@ -173,3 +173,15 @@ def test_shingles_move_only_where_a_block_compares_them(spark, monkeypatch):
     found = minhash._cross_links(texts, classes, known, 0.8)
     assert sorted({*moved}) == [1, 2] and len(moved) <= 3
     assert {tuple(sorted(r)) for r in found.collect() if r["a"] != r["b"]} == {(1, 2)}
+
+
+def test_members_of_keys_move_once(spark):
+    members = [(d, k) for k in range(40) for d in range(100) if (7 * d + 3 * k) % 31 < k % 3] + [(100 + k, 1000 + k) for k in range(50)]
+    found = minhash.shared_keys(spark.createDataFrame(members, "doc_id long, key long"))
+    holders = defaultdict(list)
+    for d, k in members:
+        holders[k].append(d)
+    want = {(k, d, min(own)) for k, own in holders.items() if len(own) > 1 for d in own}
+    assert sorted((r["key"], r["doc_id"], r["low"]) for r in found.collect()) == sorted(want)
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in plan and plan.count("+- Exchange ") == 1
