@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 from .bpe import CACHED_CHARS, SPACE, byte_letters
 from .common import kept, map_rows, saved, small_batches
 from .hashing import Recent
-from .merging import Merges, cut_runs
+from .merging import Merges
 
 CHUNK = re.compile(rf"[^{SPACE}]+")
 #: Separators that str.split takes for white space and the tokenizer does not.
@@ -28,7 +29,9 @@ END_ID = 1
 #: Entries of a generation of a worker's memory: both generations come to some 150 MB.
 WORDS_KEPT = 300_000
 #: Characters of the texts that are encoded at once.
-BLOCK = 500_000
+BLOCK = 4_000_000
+#: Words that are merged at once.
+WORDS_MERGED = 16_384
 #: Up to here letters have one simple lower case and no other spelling.
 SIMPLE = chr(0x130)
 COMPLEX = re.compile(f"[{SIMPLE}-{chr(0x10FFFF)}]")
@@ -47,6 +50,19 @@ def _simple_split() -> re.Pattern:
     return re.compile(rf"[{letters}]+|[{numbers}]|'(?:s|t|re|ve|m|ll|d)|[^{SPACE}{letters}{numbers}]+")
 
 
+LETTER, NUMBER, MARK, ODD = range(4)
+
+
+def _kind(code: int) -> int:
+    if code == ord("'") or code >= ord(SIMPLE):
+        return ODD  # may begin a word of the rule's own, or has another spelling
+    return {"L": LETTER, "N": NUMBER}.get(unicodedata.category(chr(code))[0], MARK)
+
+
+#: Of each simple character, and of all others, how words are told apart by it.
+KINDS = np.array([_kind(c) for c in range(ord(SIMPLE) + 1)], np.int8)
+
+
 def _simple(word: str) -> bool:
     return word.isascii() or max(word) < SIMPLE
 
@@ -54,10 +70,10 @@ def _simple(word: str) -> bool:
 class WordTokenizer:
     """Token ids by a tokenizer of the tokenizers library that drops white space and case.
 
-    Texts of simple characters are split as the tokenizer splits them, in lower case, and ids looked up by
-    word. Words not met lately are merged here, many at a time; marks, digits and whatever holds other
-    characters goes through the library, bounded by white space. Strings of special tokens are cut out
-    first, as the library does.
+    Strings of simple characters between white space are split as the tokenizer splits them, in lower case,
+    and their words merged here, those of many texts at a time. What is long, has an apostrophe or other
+    characters goes through the library, bounded by white space, unless it was met lately. Strings of special
+    tokens are cut out first, as the library does.
     """
 
     def __init__(self, config: str):
@@ -95,14 +111,110 @@ class WordTokenizer:
         return next(self.encode_all([text]))
 
     def encode_all(self, texts: list[str]) -> Iterator[bytes]:
-        """``encode`` of many texts: what none of them has shown lately is looked up at once."""
-        listed = [self._words(text) for text in texts]
+        """``encode`` of many texts: strings are numbered by Arrow, and each different one is looked up once."""
+        bare = [self._is_bare(text) for text in texts]
+        lower = pa.array([t.lower() for t, b in zip(texts, bare) if b], pa.string())
+        others = pa.array([self._words(t) for t, b in zip(texts, bare) if not b], pa.list_(pa.string()))
+        listed = pa.concat_arrays([pc.utf8_split_whitespace(lower), others])
+        numbered = listed.values.dictionary_encode()
+        values, starts, sizes = self._ids_of(numbered.dictionary)
+        string = numbered.indices.to_numpy()
+        length = sizes[string]
+        ends = np.cumsum(length)
+        place = np.repeat(starts[string] - (ends - length), length)
+        place += np.arange(len(place))
+        values = values[place]
+        cuts = np.append(0, ends)[listed.offsets.to_numpy()].tolist()
+        found = [values[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+        of_bare, of_other = iter(found[: len(lower)]), iter(found[len(lower) :])
+        for b in bare:
+            yield next(of_bare if b else of_other)
+
+    def _is_bare(self, text: str) -> bool:
+        """Whether a text is of simple characters, without special tokens, and bounded by what both call white space."""
+        return (
+            self.split is not None
+            and (text.isascii() or not COMPLEX.search(text))
+            and not any(s in text for s in "\x1c\x1d\x1e\x1f")
+            and not any(s in text for s in self.special)
+        )
+
+    def _ids_of(self, strings: pa.StringArray) -> tuple[np.ndarray, ...]:
+        """Ids of different strings, and where those of each begin and how many they are."""
+        if not len(strings):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        ends = np.frombuffer(strings.buffers()[1], np.int32)[strings.offset :][: len(strings) + 1].astype(np.int64)
+        codes = np.frombuffer(strings.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+        lengths, ends = np.diff(ends), ends - ends[0]
+        kind = self._kinds(codes)
+        odd = np.diff(np.append(0, np.cumsum(kind == ODD))[ends]) > 0
+        odd |= lengths > CACHED_CHARS
+        odd[pc.index_in(pa.array(list(self.special), pa.string()), strings).drop_null().to_numpy()] = True
+        if not self.split:
+            odd[:] = True
+        values, starts, sizes = self._merged(codes, kind, ends, odd)
+        rest = np.flatnonzero(odd)
+        ids = self._remembered(strings.take(pa.array(rest)).to_numpy(zero_copy_only=False).tolist())
+        sizes[rest] = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts[rest] = len(values) + np.cumsum(sizes[rest]) - sizes[rest]
+        return np.concatenate([values, np.frombuffer(b"".join(ids), "<u4")]), starts, sizes
+
+    def _kinds(self, codes: np.ndarray) -> np.ndarray:
+        """For each byte of UTF-8 what ``KINDS`` says of its character."""
+        after = np.append(codes[1:], 0).astype(np.int64)
+        point = np.where(codes < 0x80, codes, ((codes.astype(np.int64) & 0x1F) << 6) | (after & 0x3F))
+        kind = KINDS[np.where(codes < 0xE0, point, ord(SIMPLE)).clip(max=ord(SIMPLE))]
+        further = np.flatnonzero((codes & 0xC0) == 0x80)
+        kind[further] = kind[further - 1]  # of longer characters all bytes but the second and third are odd already
+        return kind
+
+    def _merged(self, codes: np.ndarray, kind: np.ndarray, ends: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, ...]:
+        """``_ids_of`` the strings that are not ``odd``: all their words are merged side by side."""
+        sizes = np.zeros(len(odd), np.int64)
+        if odd.all():
+            return np.zeros(0, "<u4"), sizes.copy(), sizes
+        begins = np.ones(len(codes), bool)
+        begins[1:] = kind[1:] != kind[:-1]
+        begins |= (kind == NUMBER) & ((codes & 0xC0) != 0x80)
+        begins[ends[:-1][ends[:-1] < len(codes)]] = True
+        kept_codes = np.repeat(~odd, np.diff(ends))
+        of = np.repeat(np.arange(len(odd)), np.diff(ends))[kept_codes]
+        codes, begins = codes[kept_codes], begins[kept_codes]
+        first = np.flatnonzero(begins)
+        width = np.diff(np.append(first, len(codes)))
+        last = first + width - 1
+        symbol = self.inner[codes]
+        symbol[last] = self.last[codes[last]]
+        made = []
+        for low in range(0, len(first), WORDS_MERGED):
+            high = min(low + WORDS_MERGED, len(first))
+            part = symbol[first[low] : last[high - 1] + 1]
+            made += [(n + low, ids) for n, ids in self.merges.apply_by_width(part, width[low:high])]
+        count = np.zeros(len(first), np.int64)
+        for n, ids in made:
+            count[n] = ids.shape[1]
+        at = np.cumsum(count) - count
+        values = np.zeros(int(count.sum()), "<u4")
+        for n, ids in made:
+            values[at[n][:, None] + np.arange(ids.shape[1])] = ids
+        sizes = np.bincount(of[first], weights=count, minlength=len(odd)).astype(np.int64)
+        return values, np.cumsum(sizes) - sizes, sizes
+
+    def _remembered(self, strings: list[str]) -> list[bytes]:
+        """Ids of different strings by the library, but for those met lately."""
+        parts = [self._parts(string) for string in strings]
         known = self.words.renewed()
-        long = self._look_up(set().union(*listed).difference(known), known)
-        for words in listed:
-            yield b"".join(map(known.__getitem__, words))
+        long = self._look_up({w for words in parts for w in words if w not in known}, known)
+        out = [known[words[0]] if len(words) == 1 else b"".join(map(known.__getitem__, words)) for words in parts]
         for word in long:
             del known[word]
+        return out
+
+    def _parts(self, string: str) -> list[str]:
+        """The words of a string of simple characters; any other string as it stands."""
+        if not self.split or string in self.special or not _simple(string):
+            return [string]
+        return self.split.findall(string)
 
     def _words(self, text: str) -> list[str]:
         """Strings that are encoded for themselves: of simple characters in lower case, or as they stand."""
@@ -121,33 +233,13 @@ class WordTokenizer:
         earlier = self.words.old
         new = [w for w in words if w not in earlier]
         known.update((w, earlier[w]) for w in words.difference(new))
-        plain = [w for w in new if self.split and len(w) <= CACHED_CHARS and w.isalpha() and _simple(w)]
-        others = list(set(new).difference(plain))
-        known.update(zip(plain, self._merged(plain)))
-        known.update(zip(others, self._encoded(others)))
-        return [w for w in others if len(w) > CACHED_CHARS]
+        known.update(zip(new, self._encoded(new)))
+        return [w for w in new if len(w) > CACHED_CHARS]
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         coded = self.library.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [np.array(e.ids, "<u4").tobytes() for e in coded]
 
-    def _merged(self, words: list[str]) -> list[bytes]:
-        """Short words of lower-case letters, all merged side by side."""
-        out = [b""] * len(words)
-        if not words:
-            return out
-        data = [w.encode() for w in words]
-        sizes = np.fromiter(map(len, data), np.int64, len(data))
-        codes = np.frombuffer(b"".join(data), np.uint8)
-        symbol = self.inner[codes]
-        ends = np.cumsum(sizes) - 1
-        symbol[ends] = self.last[codes[ends]]
-        run = np.repeat(np.arange(len(words)), sizes)
-        for of, ids, _ in self.merges.apply(run, symbol, np.ones(len(run), np.int64)):
-            for name, coded in cut_runs(of, ids):
-                out[name] = coded
-        return out
-
 
 def _encoded(tokenizer: WordTokenizer, texts: list[str | None]) -> Iterator[bytes]:
     held, load = [], 0

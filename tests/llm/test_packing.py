@@ -32,6 +32,27 @@ def test_ids(library):
         assert np.frombuffer(own.encode(text), "<u4").tolist() == want, repr(text)
 
 
+def test_strings_of_simple_characters_need_no_library(library, monkeypatch):
+    own = WordTokenizer(open(PATH, encoding="utf-8").read())
+    rng = random.Random(5)
+    letters = "aAbtheßÉ²ªº09#$.,<|>-\xad\x85\xa0\x00\u012f \n\t"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    texts += ["", "  ", "The 12:30 train, (delayed); no. 7!", "a" * 64, "é" * 32]
+
+    def refuse(strings):
+        assert not strings, strings
+        return []
+
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    with monkeypatch.context() as m:
+        m.setattr(own, "_encoded", refuse)
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode_all(texts)] == want
+    texts = ["rock'n'roll it's \"'s 'tis", "x" * 65 + "'", "it\u2019s \u4e2d. a,b", "a\x1cb.", "<|endoftext|>.", "", "ok, ok."] * 3
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode_all(texts)] == want
+    assert list(own.encode_all([])) == []
+
+
 def plain(lengths, capacity):
     """Best-two-fit over plain lists: the bins' contents."""
     rest, bins = sorted(lengths, reverse=True), []
