@@ -168,7 +168,9 @@ class WordTokenizer:
         kind[further] = kind[further - 1]  # of longer characters all bytes but the second and third are odd already
         return kind
 
-    def _merged(self, codes: np.ndarray, kind: np.ndarray, ends: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, ...]:
+    def _merged(
+        self, codes: np.ndarray, kind: np.ndarray, ends: np.ndarray, odd: np.ndarray
+    ) -> tuple[np.ndarray, ...]:
         """``_ids_of`` the strings that are not ``odd``: all their words are merged side by side."""
         sizes = np.zeros(len(odd), np.int64)
         if odd.all():

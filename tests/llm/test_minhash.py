@@ -176,7 +176,8 @@ def test_shingles_move_only_where_a_block_compares_them(spark, monkeypatch):
 
 
 def test_members_of_keys_move_once(spark):
-    members = [(d, k) for k in range(40) for d in range(100) if (7 * d + 3 * k) % 31 < k % 3] + [(100 + k, 1000 + k) for k in range(50)]
+    members = [(d, k) for k in range(40) for d in range(100) if (7 * d + 3 * k) % 31 < k % 3]
+    members += [(100 + k, 1000 + k) for k in range(50)]
     found = minhash.shared_keys(spark.createDataFrame(members, "doc_id long, key long"))
     holders = defaultdict(list)
     for d, k in members:
